@@ -31,6 +31,8 @@ def build_cohort(modules: dict, spine: str = "DEMO", key: str = C.ID_COL,
     """
     require_modules(modules, spine, critical if critical is not None else C.CRITICAL_LABS)
     order = order or [m for m in modules if m != spine]
+    if validate == "union":
+        return _cohort_by_union(modules, spine, key, order)
     out = modules[spine]
     for name in order:
         m = modules.get(name)
@@ -48,6 +50,49 @@ def build_cohort(modules: dict, spine: str = "DEMO", key: str = C.ID_COL,
     return out
 
 
+def _cohort_by_union(modules: dict, spine: str, key: str, order: list[str]) -> DataFrame:
+    """J1 for one-row-per-key modules in a single shuffle.
+
+    Every present module is projected to the wide schema (its own columns,
+    nulls elsewhere) plus a module tag, all are unioned, and one aggregate by
+    key picks each column from the module that owns it. Per key and module
+    the row count is checked inside the plan: a duplicate key raises (no
+    silent collapse), so the result always equals the left-join chain.
+    Keys absent from the spine are dropped, spine keys without a module row
+    get nulls — left-join semantics.
+    """
+    present = [(spine, modules[spine])] + [(m, modules[m]) for m in order if modules.get(m) is not None]
+    for m in order:
+        if modules.get(m) is None:
+            log.warning("module %s absent; skipped", m)
+    owner, cols = {}, []
+    for name, df in present:
+        for c in df.columns:
+            if c != key and c not in owner:
+                owner[c] = name
+                cols.append((c, df.schema[c].dataType))
+    parts = []
+    for i, (name, df) in enumerate(present):
+        sel = [F.col(key)]
+        for c, t in cols:
+            sel.append((F.col(c) if owner[c] == name else F.lit(None)).cast(t).alias(c))
+        for j in range(len(present)):
+            sel.append(F.lit(1 if i == j else 0).alias(f"__n{j}"))
+        parts.append(df.select(*sel))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    aggs = [F.max(c).alias(c) for c, _ in cols]  # at most one non-null per key (checked)
+    aggs += [F.sum(f"__n{j}").alias(f"__n{j}") for j in range(len(present))]
+    g = u.groupBy(key).agg(*aggs)
+    dup = F.greatest(*[F.col(f"__n{j}") for j in range(1, len(present))]) if len(present) > 1 else F.lit(0)
+    g = g.where(F.col("__n0") > 0)
+    # The check is part of the key column, so it can never be pruned away.
+    checked_key = F.when((dup > 1) | (F.col("__n0") > 1), F.raise_error(
+        F.concat(F.lit("duplicate key in a module: "), F.col(key).cast("string")))).otherwise(F.col(key))
+    return g.select(checked_key.alias(key), *[F.col(c) for c, _ in cols])
+
+
 def labelled_cohort(modules: dict, t: C.LabelThresholds = C.LabelThresholds(), **kw) -> DataFrame:
     """J1 then the P6 label."""
     return rules.label(build_cohort(modules, **kw), C.TARGET_COL, t)

@@ -62,15 +62,19 @@ def salted_row_number(df: DataFrame, keys: list[str], order: list, slice_col: Co
 
     ``slice_col`` must be non-decreasing along ``order`` within a key (e.g. the
     second of a timestamp when ordering by time). Rows are numbered inside
-    (key, slice) and offset by the row count of earlier slices, so a hot key
-    is spread over as many tasks as it has slices.
+    (key, slice) — one exchange, a hot key spreads over as many tasks as it
+    has slices — and offset by the row count of the key's earlier slices.
+    Slice sizes are read off the numbered rows (already partitioned by
+    (key, slice), so no second pass over the input); the offsets table has
+    one row per (key, slice) and is joined back by that key.
     """
     d = df.withColumn("__slice", slice_col)
-    counts = d.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
+    wi = Window.partitionBy(*keys, "__slice").orderBy(*_cols(order))
+    numbered = d.withColumn("__rn", F.row_number().over(wi))
+    counts = numbered.groupBy(*keys, "__slice").agg(F.max("__rn").alias("__n"))
     ws = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "__slice", F.coalesce(F.sum("__n").over(ws), F.lit(0)).alias("__off"))
-    wi = Window.partitionBy(*keys, "__slice").orderBy(*_cols(order))
-    out = d.withColumn("__rn", F.row_number().over(wi)).join(offsets, on=[*keys, "__slice"], how="inner")
+    out = numbered.join(offsets, on=[*keys, "__slice"], how="inner")
     return out.withColumn(name, F.col("__off") + F.col("__rn")).drop("__slice", "__off", "__rn")
 
 

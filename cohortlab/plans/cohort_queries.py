@@ -24,8 +24,11 @@ MODULE_CTE = {"DEMO": "demo", "BMX": "bmx", "SMQ": "smq", "ALQ": "alq", "DIQ": "
               "TRIGLY": "tri"}
 
 
-def cohort(spark, sf_dir):
-    return co.build_cohort(standins.survey_modules(spark, sf_dir))
+def cohort(spark, sf_dir, strategy: str | None = None):
+    """The cohort as the queries use it: the left-join chain. (``"union"``
+    gives the single-shuffle form for one-row-per-key modules; measured 2x
+    slower at sf0.01-0.1 where every module is broadcast.)"""
+    return co.build_cohort(standins.survey_modules(spark, sf_dir), validate=strategy)
 
 
 def labelled(spark, sf_dir):
@@ -83,8 +86,8 @@ COHORT_COLS = ["SEQN", *C.SPINE_COLUMNS, "SEGMENT", *[c for m in MODULE_ORDER fo
 
 @query("cohort_build", O.with_cohort("SELECT * FROM cohort"))
 def cohort_build(spark, sf_dir):
-    """Spine left-joined with the 12 modules on SEQN."""
-    return cohort(spark, sf_dir)
+    """Spine left-joined with the 12 modules on SEQN (join chain)."""
+    return cohort(spark, sf_dir, strategy=None)
 
 
 @query("label_cohort", O.with_cohort("SELECT SEQN, LIVER_HIGH_RISK_PROFILE FROM labelled"))
