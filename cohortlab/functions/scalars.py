@@ -93,7 +93,7 @@ def minute_part(c, missing: str = C.NOT_AVAILABLE) -> Column:
 
 
 def strict_date(c) -> Column:
-    return F.try_to_date(_c(c).cast("string"), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(_c(c).cast("string"), "yyyy-MM-dd")
 
 
 def date_time(d, t) -> Column:

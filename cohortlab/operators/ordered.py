@@ -70,12 +70,12 @@ def salted_row_number(df: DataFrame, keys: list[str], order: list, slice_col: Co
     """
     d = df.withColumn("__slice", slice_col)
     wi = Window.partitionBy(*keys, "__slice").orderBy(*_cols(order))
-    numbered = d.withColumn("__rn", F.row_number().over(wi))
-    counts = numbered.groupBy(*keys, "__slice").agg(F.max("__rn").alias("__n"))
+    numbered = d.withColumn("__rnw", F.row_number().over(wi))
+    counts = numbered.groupBy(*keys, "__slice").agg(F.max("__rnw").alias("__n"))
     ws = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "__slice", F.coalesce(F.sum("__n").over(ws), F.lit(0)).alias("__off"))
     out = numbered.join(offsets, on=[*keys, "__slice"], how="inner")
-    return out.withColumn(name, F.col("__off") + F.col("__rn")).drop("__slice", "__off", "__rn")
+    return out.withColumn(name, F.col("__off") + F.col("__rnw")).drop("__slice", "__off", "__rnw")
 
 
 def value_counts_long(df: DataFrame, group: str, value: str) -> DataFrame:
