@@ -78,11 +78,17 @@ def class_report(df: DataFrame, y: str, yhat: str, by: list[str] | None = None)
     return c.select(*by, F.inline(rows))
 
 
-def score_groups(df: DataFrame, y: str, score: str, by: list[str]) -> DataFrame:
-    """(by..., score, pos, neg): one row per distinct score."""
-    return (df.where(F.col(score).isNotNull())
-              .groupBy(*by, F.col(score).alias("score"))
-              .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")))
+def score_groups(df: DataFrame, y: str, score: str, by: list[str], materialize: bool = True) -> DataFrame:
+    """(by..., score, pos, neg): one row per distinct score. With
+    ``materialize`` the (small) table is written to the shared folder once,
+    since the running sums read it several times."""
+    g = (df.where(F.col(score).isNotNull())
+           .groupBy(*by, F.col(score).alias("score"))
+           .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")))
+    if materialize:
+        from ..sources.tables import checkpoint_table
+        g = checkpoint_table(g, "score_groups")
+    return g
 
 
 def roc_points(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:

@@ -85,14 +85,19 @@ def value_counts_long(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
-                    buckets: int = 64) -> DataFrame:
+                    buckets: int = 64, materialize: bool = True) -> DataFrame:
     """Exact quantiles (linear interpolation, like numpy's default) per group.
 
     ``long_df`` is (group, value). Works on distinct values with counts, so
     repeated values cost nothing; the rank lookup uses ``prefix_sums``.
-    Returns (group, p, q).
+    Returns (group, p, q). With ``materialize`` the value-count table (small
+    next to the input) is written to the shared folder once, so the several
+    passes below do not recompute the input.
     """
     vc = value_counts_long(long_df, group, value)
+    if materialize:
+        from ..sources.tables import checkpoint_table
+        vc = checkpoint_table(vc, "value_counts")
     cum = prefix_sums(vc, [group], value, ["n"], buckets=buckets)
     # One row per group with the wanted 0-based ranks: (p, pos, k0, k1).
     targets = F.array(*[F.struct(F.lit(float(p)).alias("p"),
