@@ -106,7 +106,7 @@ def fit_model(spec: ModelSpec, train: DataFrame, pre: Preprocessor) -> PipelineM
             else:
                 rff, feats = [], "features"
             z = PipelineModel(stages=rff).transform(data).persist() if rff else data
-            svc = LinearSVC(featuresCol=feats, labelCol=LABEL, regParam=1.0 / max(n, 1), maxIter=200,
+            svc = LinearSVC(featuresCol=feats, labelCol=LABEL, regParam=1.0 / max(n, 1), maxIter=100, tol=1e-4,
                             predictionCol="svm_prediction", rawPredictionCol="svm_raw").fit(z)
             margin = VectorSlicer(inputCol="svm_raw", outputCol="svm_margin", indices=[1])
             zm = margin.transform(svc.transform(z))
@@ -202,7 +202,7 @@ def grid_search(df: DataFrame, features: list[str], trees=(100, 200), depths=(30
                 .addGrid(rf.minInstancesPerNode, list(leaves)).build())
         ev = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
         cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, foldCol="fold",
-                            parallelism=parallelism, seed=C.SEED)
+                            numFolds=C.CV_FOLDS, parallelism=parallelism, seed=C.SEED)
         cvm = cv.fit(tr)
         best = PipelineModel(stages=list(prem.stages) + [cvm.bestModel])
         p = predict(best, test, [key, target])
