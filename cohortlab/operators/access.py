@@ -171,10 +171,15 @@ def access_decision(requests: DataFrame, status: DataFrame, key: str = "user_id"
     """
     st = status.select(F.col("id").alias("__uid"), F.col("role").alias("__role"),
                        F.col("status").alias("__status"), F.col("is_free").alias("__free"))
-    j = requests.join(st, F.col(key) == F.col("__uid"), "left")
-    anon = F.col(key).isNull()
     paid = (F.col("__role") == "admin") | ((F.col("__status") == "active") & ~F.coalesce(F.col("__free"), F.lit(True)))
-    paid = F.coalesce(paid, F.lit(False))
+    # The request log joined with account status is read by four passes
+    # (quota ranks, their slice counts, the anonymous check, the final
+    # join): write that narrow projection once instead of re-joining the log.
+    j = checkpoint_table(requests.join(st, F.col(key) == F.col("__uid"), "left")
+                         .select(*requests.columns, F.coalesce(paid, F.lit(False)).alias("__paid")),
+                         "access_joined")
+    anon = F.col(key).isNull()
+    paid = F.col("__paid")
     ep = F.col(endpoint)
     restricted = ep.isin(*C.PAID_ONLY_ENDPOINTS)
     scoring = ep == C.SCORING_ENDPOINT
