@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from . import cohort_queries  # noqa: F401
+from . import access_queries, activity_queries, cohort_queries, metric_queries, ml_queries  # noqa: F401
+from . import stream_queries  # noqa: F401  (reuses the batch oracles)
 from .registry import ORACLE, QUERIES
 
-_OPTIONAL = ["activity_queries", "access_queries", "metric_queries", "ml_queries", "stream_queries"]
-for _m in _OPTIONAL:
-    try:
-        __import__(f"{__package__}.{_m}")
-    except ModuleNotFoundError as e:  # module not written yet
-        if _m not in str(e):
-            raise
-
 
 def _wrap(fn):
     def run(spark, sf_dir):
