@@ -23,11 +23,10 @@ def build_cohort(modules: dict, spine: str = "DEMO", key: str = C.ID_COL,
     as a pandas left merge does; ``validate="one_to_one"`` raises instead
     (one distributed count per module, nothing collected).
 
-    Plan shape: every module arrives hash-partitioned by ``key`` (it is an
-    aggregate by key, or gets one exchange), so the chain of sort-merge joins
-    adds no exchange after the first; small modules become broadcast joins by
-    Spark's own size estimate. The row count of the spine is preserved when
-    modules are one-row-per-key.
+    Plan shape: each module gets one exchange by ``key``; the sort-merge
+    chain keeps that partitioning, so the left side is never re-shuffled.
+    Small modules become broadcast joins by Spark's own size estimate. The
+    row count of the spine is preserved when modules are one-row-per-key.
     """
     require_modules(modules, spine, critical if critical is not None else C.CRITICAL_LABS)
     order = order or [m for m in modules if m != spine]
