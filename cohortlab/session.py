@@ -59,20 +59,22 @@ def shared_dir(spark: SparkSession) -> str:
     d = None
     try:
         d = spark.sparkContext.getCheckpointDir()
-    except Exception:  # older API
+    except Exception:  # no SparkContext access (e.g. a remote session)
         d = None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
-    else:
         try:
-            if not spark.sparkContext.getCheckpointDir():
-                spark.sparkContext.setCheckpointDir(d)
-        except Exception:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # core conf may be read-only at runtime; the context setter below suffices
             pass
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(d)
+        d = spark.sparkContext.getCheckpointDir() or d
+    except Exception:
+        pass
     return d
 
 

@@ -42,10 +42,19 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    """Existence through the Hadoop FileSystem API; without JVM access, by
+    trying to list the path with a reader."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(jpath))
+    except Exception:
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).count()
+            return True
+        except Exception:
+            return False
 
 
 def load_module(spark: SparkSession, path: str, fmt: str = "parquet",
