@@ -90,6 +90,14 @@ def cohort_build(spark, sf_dir):
     return cohort(spark, sf_dir, strategy=None)
 
 
+@query("cohort_build_bucketed", O.with_cohort("SELECT * FROM cohort"))
+def cohort_build_bucketed(spark, sf_dir):
+    """J1 over module tables bucketed by SEQN (same bucket count): the
+    sort-merge chain reads co-partitioned buckets, no exchange at all."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return co.build_cohort(standins.survey_modules(spark, sf_dir, buckets=n))
+
+
 @query("label_cohort", O.with_cohort("SELECT SEQN, LIVER_HIGH_RISK_PROFILE FROM labelled"))
 def label_cohort(spark, sf_dir):
     """The rule-based 0/1 label per participant."""

@@ -90,13 +90,21 @@ def _lineitem_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def survey_modules(spark: SparkSession, sf_dir: str, absent: tuple = (),
-                   materialize: bool = True) -> dict:
+                   materialize: bool = True, buckets: int | None = None) -> dict:
     """Module name -> DataFrame(SEQN, columns...), or ``None`` when absent.
 
     With ``materialize`` (default) the modules are written once per input
     folder as parquet files in the shared folder and then loaded through
     ``load_module`` like real module files; otherwise they are lazy plans.
+    With ``buckets`` they are catalog tables bucketed and sorted by SEQN into
+    that many buckets, so the 12-way join reads co-partitioned buckets and
+    needs no shuffle at all.
     """
+    if buckets:
+        mods = module_tables(spark, sf_dir, buckets)
+        for m in absent:
+            mods[m] = None
+        return mods
     if materialize:
         paths = module_files(spark, sf_dir)
         mods = {m: load_module(spark, p) for m, p in paths.items()}
@@ -141,6 +149,35 @@ def module_files(spark: SparkSession, sf_dir: str) -> dict:
     return paths
 
 
+def module_tables(spark: SparkSession, sf_dir: str, buckets: int) -> dict:
+    """Module files rewritten as external tables bucketed by SEQN.
+
+    Files live under the shared folder (written once per input and bucket
+    count); each session registers them in its catalog with the bucket spec
+    (``CREATE TABLE ... CLUSTERED BY (SEQN) ... LOCATION``), so the join
+    planner sees matching bucketing on every side.
+    """
+    from .tables import _path_exists
+    paths = module_files(spark, sf_dir)
+    key = paths["DEMO"].rstrip("/").split("/")[-2]
+    base = paths["DEMO"].rsplit("/", 1)[0] + f"/bucketed{buckets}"
+    out = {}
+    for m, src in paths.items():
+        name = f"cohortlab_{key}_b{buckets}_{m.lower()}"
+        loc = f"{base}/{m}"
+        if not spark.catalog.tableExists(name):
+            df = load_module(spark, src)
+            if not _path_exists(spark, f"{loc}/_SUCCESS"):
+                (df.write.mode("overwrite").bucketBy(buckets, "SEQN").sortBy("SEQN")
+                   .option("path", loc).saveAsTable(name))
+            else:
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                          f"CLUSTERED BY (SEQN) SORTED BY (SEQN) INTO {buckets} BUCKETS LOCATION '{loc}'")
+        out[m] = spark.table(name)
+    return out
+
+
 MODULE_ORDER = ["BMX", "SMQ", "ALQ", "DIQ", "BPQ", "MCQ", "CBC", "GLU", "GHB", "HDL", "TCHOL", "TRIGLY"]
 
 

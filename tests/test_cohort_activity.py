@@ -116,3 +116,29 @@ def test_subscription_status_rules(spark):
 def test_count_by_sums_to_rows(spark):
     u = S.users(spark, SF001)
     assert sum(r["n"] for r in A.count_by(u, "role", "user").collect()) == u.count()
+
+
+def test_bucketed_modules_join_without_exchange(spark):
+    import contextlib
+    import io
+    mods = S.survey_modules(spark, SF001, buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = co.build_cohort(mods)
+        rows = sorted(map(tuple, df.collect()))
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        plan = buf.getvalue().split("== Initial Plan ==")[0]
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        if old_aqe:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old_aqe)
+        else:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    plain = co.build_cohort(S.survey_modules(spark, SF001)).select(*df.columns)
+    assert rows == sorted(map(tuple, plain.collect()))
