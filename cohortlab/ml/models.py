@@ -159,7 +159,7 @@ def train_and_evaluate(df: DataFrame, features: list[str], dataset: str, specs:
             model = fit_model(spec, train, pre)
             p = predict(model, test, [key, target]).persist()
             bm = M.binary_metrics(p, target, "prediction").first()
-            au = M.auc(p, target, "prob").first()
+            au = M.auc(p, target, "prob", materialize=False).first()  # p is persisted
             rows.append({"Model": spec.name, "Dataset": dataset, "Features_Count": len(num) + len(cat),
                          "Accuracy": bm["accuracy"], "Precision": bm["precision"], "Recall": bm["recall"],
                          "F1-Score": bm["f1"], "AUC-ROC": au["auc"]})

@@ -107,11 +107,12 @@ def roc_points(df: DataFrame, y: str, score: str, by: list[str] | None = None) -
                     _safe_div(F.col("cum_neg"), F.col("N")).alias("fpr"))
 
 
-def auc(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
+def auc(df: DataFrame, y: str, score: str, by: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """Exact ROC AUC with ties counted half (trapezoid rule):
-    sum over scores of pos * (negatives below + neg / 2) / (P * N)."""
+    sum over scores of pos * (negatives below + neg / 2) / (P * N).
+    ``materialize=False`` when ``df`` is already persisted."""
     by = by or []
-    g = score_groups(df, y, score, by)
+    g = score_groups(df, y, score, by, materialize)
     cum = prefix_sums(g, by, "score", ["neg"])  # ascending: negatives <= score
     below = F.col("cum_neg") - F.col("neg")
     part = cum.select(*by, (F.col("pos") * (below + F.col("neg") / 2.0)).alias("w"), "pos", "neg")
