@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from cohortlab.sources.tables import TABLES
 from conftest import SF001
 
-FAST_KEYS = ["cohort_build", "label_cohort", "label_share", "null_counts", "histograms", "box_summary",
+FAST_KEYS = ["cohort_build", "cohort_build_bucketed", "label_cohort", "label_share", "null_counts", "histograms", "box_summary",
              "corr_matrix", "condition_ladder", "decode_answers", "auc_exact", "roc_points", "class_report",
              "daily_activity", "subscription_status", "user_kpis", "last_messages", "chat_exchanges",
              "access_decision", "cooldown_accepts", "rate_limit", "apply_bookings", "series_json",
