@@ -17,8 +17,13 @@ def _wrap(fn):
     return run
 
 
+def with_required_conf(builders: dict) -> dict:
+    """The builders, each run under the settings that results depend on."""
+    return {k: _wrap(v) for k, v in builders.items()}
+
+
 def queries() -> dict:
-    return {k: _wrap(v) for k, v in QUERIES.items()}
+    return with_required_conf(QUERIES)
 
 
 def oracle_sql() -> dict:
