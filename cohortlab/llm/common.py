@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ..sources.tables import checkpoint_table, read_table  # noqa: F401  (re-exported)
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,3 +57,9 @@ def running_sums(df: DataFrame, order: list[Column], sums: list[str], name: str)
     within = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (joined.withColumns({f"cum_{s}": F.col(f"__off_{s}") + F.sum(s).over(within) for s in sums})
             .drop("__range", *[f"__off_{s}" for s in sums]))
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import mixing, quality_rules, secrets
+from pyspark.sql import functions as F
+
+from . import mixing, quality_rules, secrets, substring_dedup
 from .common import read_table
 
 QUERIES: dict[str, Callable] = {}
@@ -144,3 +146,23 @@ def quality_cascade(spark, sf_dir):
     base = quality_rules.base_rules()
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          (base[0].rejects() | base[1].rejects()).alias("base_failed"), "kept")
+
+
+# ---------------------------------------------------------------- substring dedup
+
+@query("op7_substring_dedup", rf"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(g)) AS owner FROM win) WHERE owner < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM hit),
+kept AS (SELECT w.doc_id, count(*) AS n, string_agg(w.w, ' ' ORDER BY w.i) AS k
+  FROM (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM d) w
+  ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""")
+def substring_repeats(spark, sf_dir):
+    """Words outside every repeated window, of every document."""
+    done = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
