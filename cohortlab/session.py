@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -82,3 +84,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique path under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (once per application).
+
+    The driver serves the archive, so no folder has to be shared for it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    folder = tempfile.TemporaryDirectory(prefix="cohortlab-code-")
+    root = Path(__file__).resolve().parent
+    archive = Path(folder.name) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED[app] = folder
