@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from . import mixing, quality_rules, secrets, substring_dedup
+from . import ngram_join as ngram_join_op
 from .common import read_table
 
 QUERIES: dict[str, Callable] = {}
@@ -166,3 +167,11 @@ def substring_repeats(spark, sf_dir):
     """Words outside every repeated window, of every document."""
     done = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ---------------------------------------------------------------- n-gram Jaccard join
+
+@query("op6_ngram_join")
+def ngram_join(spark, sf_dir):
+    """Components of documents whose 4-word shingle sets are 85% alike."""
+    return ngram_join_op.link_components(read_table(spark, sf_dir, "documents"))
