@@ -24,6 +24,7 @@ from .common import BLANK, BLANKS, checkpoint_table, let, text_of, words
 
 SYMBOLS = "#*$%&|<>"
 SAMPLE_ROWS = 2000
+COUNTERS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
@@ -59,15 +60,15 @@ def repeated_window_words(ws: Column, size: int = 3) -> Column:
 
 
 def counters(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines and
-    n_repeat_words; each text is split once."""
+    """Adds the columns ``COUNTERS``, replacing any of those names; each text is
+    split once."""
     t = F.col("__q_text")
     d = df.withColumn("__q_text", text_of(text))
     d = d.withColumn("__q_words", words(t))
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     d = d.withColumn("__q_lines", lines)
     return d.select(
-        *df.columns,
+        *[c for c in df.columns if c not in COUNTERS],
         F.size("__q_words").cast("long").alias("n_words"),
         F.length(F.translate(t, BLANKS, "")).cast("long").alias("word_chars"),
         (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, secrets, substring_dedup
+from . import language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup
 from . import ngram_join as ngram_join_op
 from .common import read_table
 
@@ -175,3 +175,26 @@ def substring_repeats(spark, sf_dir):
 def ngram_join(spark, sf_dir):
     """Components of documents whose 4-word shingle sets are 85% alike."""
     return ngram_join_op.link_components(read_table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- quality classifier
+
+@query("op3_quality_fm")
+def quality_scores(spark, sf_dir):
+    """Quality score of every document, learned outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_fm.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", F.coalesce(quality_fm.fold("doc_id", quality_fm.FOLDS) == quality_fm.HELD_OUT, F.lit(False)).alias("held_out"),
+        "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+# ---------------------------------------------------------------- language identification
+
+@query("op5_language_hd")
+def languages(spark, sf_dir):
+    """Predicted language of every document, learned outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_hd.predict(docs, language_hd.learn(docs))
+    return found.select("doc_id", F.coalesce(quality_fm.fold("doc_id", language_hd.FOLDS) == language_hd.HELD_OUT,
+                                             F.lit(False)).alias("held_out"), "lang_pred", "score")

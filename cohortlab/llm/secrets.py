@@ -131,7 +131,7 @@ def entropy_spans(candidate: Column, limit: Column, window: int = WINDOW) -> Col
 
 def scan(df: DataFrame, text: str = "text", allow: tuple[str, ...] = ALLOW,
          bits: dict[str, float] | None = None) -> DataFrame:
-    """Adds ``found``: array of (start, kind_no, end, kind), sorted."""
+    """Adds ``__s_found``: array of (start, kind_no, end, kind), sorted."""
     bits = bits or THRESHOLD_BITS
     t = F.col("__s_text")
     d = df.withColumn("__s_text", text_of(text))
@@ -159,7 +159,7 @@ def scan(df: DataFrame, text: str = "text", allow: tuple[str, ...] = ALLOW,
     spans = F.flatten(F.transform(F.filter(matches(t, CANDIDATE), suspicious), windows))
     outside = F.filter(spans, lambda s: ~F.exists(
         "__s_base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
-    d = d.withColumn("found", F.sort_array(F.concat("__s_base", kind(3, outside))))
+    d = d.withColumn("__s_found", F.sort_array(F.concat("__s_base", kind(3, outside))))
     return d.drop("__s_text", "__s_base")
 
 
@@ -172,12 +172,12 @@ def listed(spans: Column) -> Column:
 def report(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: counts per kind, the base spans' digest, all spans."""
     def of(no):
-        return F.size(F.filter("found", lambda s: s["kind_no"] == no)).cast("long")
+        return F.size(F.filter("__s_found", lambda s: s["kind_no"] == no)).cast("long")
 
-    base = F.filter("found", lambda s: s["kind_no"] < 3)
+    base = F.filter("__s_found", lambda s: s["kind_no"] < 3)
     return scan(df, text).select(
         id_col, of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
-        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("__s_found")).alias("spans"),
         of(3).alias("n_entropy"))
 
 
@@ -191,7 +191,7 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFra
         cut = F.concat(acc["out"], F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, cut).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate("found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+    done = F.aggregate("__s_found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                        lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
     return (scan(df, text)
-            .withColumn(text, F.when(F.size("found") == 0, t).otherwise(done)).drop("found"))
+            .withColumn(text, F.when(F.size("__s_found") == 0, t).otherwise(done)).drop("__s_found"))
