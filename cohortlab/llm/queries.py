@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from . import language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup
+from . import decontaminate, language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup
 from . import ngram_join as ngram_join_op
 from .common import read_table
 
@@ -198,3 +198,12 @@ def languages(spark, sf_dir):
     found = language_hd.predict(docs, language_hd.learn(docs))
     return found.select("doc_id", F.coalesce(quality_fm.fold("doc_id", language_hd.FOLDS) == language_hd.HELD_OUT,
                                              F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+# ---------------------------------------------------------------- benchmark decontamination
+
+@query("op8_benchmark_hits")
+def benchmark_hits(spark, sf_dir):
+    """Documents and the benchmark items that they hold."""
+    return decontaminate.hits(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              read_table(spark, sf_dir, "benchmark"))
