@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup
+from . import decontaminate, html_lstm, language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup
 from . import ngram_join as ngram_join_op
 from .common import read_table
 
@@ -207,3 +207,13 @@ def benchmark_hits(spark, sf_dir):
     """Documents and the benchmark items that they hold."""
     return decontaminate.hits(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                               read_table(spark, sf_dir, "benchmark"))
+
+
+# ---------------------------------------------------------------- HTML extraction
+
+@query("op9_main_text")
+def main_text(spark, sf_dir):
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_lstm.extract(pages, html_lstm.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
