@@ -37,8 +37,9 @@ PATH_ENDS = (4, 12)  # the outermost and innermost elements that describe a bloc
 
 
 def labels(name: str, attributes: str) -> tuple[str, ...]:
-    """The element's tag, and the words of its class, id and role."""
-    out = [f"<{name}>"]
+    """The element's tag (not of inline elements, which say little about a
+    block), and the words of its class, id and role."""
+    out = [] if name in INLINE else [f"<{name}>"]
     for m in ATTRIBUTE.finditer(attributes):
         out += NAME.findall(CAMEL.sub(" ", m[2] or m[3] or m[4] or "").lower())
     return tuple(out)
@@ -67,7 +68,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[tuple[str, ...], ...], str, int]]:
         plain = m[5]
         if plain is not None:
             if not held or not path:
-                whole = [s[1] for s in stack]
+                whole = [s[1] for s in stack if s[1]]
                 first, last = PATH_ENDS
                 path = tuple(whole if len(whole) <= first + last else whole[:first] + whole[-last:])
             held.append(plain)

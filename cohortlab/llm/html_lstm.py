@@ -32,7 +32,7 @@ PATH, WORDS, STATS = 256, 48, 10
 WIDTH = PATH + WORDS + STATS
 HIDDEN = 24
 SAMPLE_PAGES = 100
-TRAINING_PAGES = 700
+TRAINING_PAGES = 1500
 TOGETHER = 64
 STEPS = 4096
 
@@ -166,7 +166,7 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def fit(pages: list[np.ndarray], marks: list[np.ndarray], epochs: int = 8, batch: int = 32,
+def fit(pages: list[np.ndarray], marks: list[np.ndarray], epochs: int = 14, batch: int = 32,
         rate: float = 0.01, seed: int = 3) -> Labeller:
     """Adam with clipped gradients; the same pages give the same network."""
     net = Labeller(seed)
@@ -175,7 +175,8 @@ def fit(pages: list[np.ndarray], marks: list[np.ndarray], epochs: int = 8, batch
     order = sorted(range(len(pages)), key=lambda i: len(pages[i]))
     groups = [order[k:k + batch] for k in range(0, len(order), batch)]
     step = 0
-    for _ in range(epochs):
+    for epoch in range(epochs):
+        rate_now = rate * (1 - epoch / epochs)
         for k in rng.permutation(len(groups)):
             x, mask = padded([pages[i] for i in groups[k]])
             y = np.zeros(mask.shape, dtype=np.float32)
@@ -189,13 +190,13 @@ def fit(pages: list[np.ndarray], marks: list[np.ndarray], epochs: int = 8, batch
                 a, b = moments[name]
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
-                net.p[name] -= (rate * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+                net.p[name] -= (rate_now * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
     return net
 
 
 # ------------------------------------------------------------------ training pages
 
-ARTICLE = ("<article>", "<main>", '<div class="content">', '<div id="content">', '<div class="post">', '<div class="entry">',
+ARTICLE = ("<article>", "<article>", '<article class="post">', "<main>", "<main>", '<div class="content">', '<div id="content">', '<div class="post">', '<div class="entry">',
            '<div class="article body">', '<section class="story">', '<div class="text">', '<div class="page main">',
            '<td class="body">', "<div>")
 #: kinds of parts that are not main text: opening tags, and the shape of what they hold
@@ -221,18 +222,35 @@ def _close(tag: str) -> str:
     return f"</{tag[1:].split()[0].rstrip('>')}>"
 
 
+def pick_noise(rng: np.random.Generator):
+    """How a page spells its words: mostly plainly, else loud, in capitals or with symbols."""
+    kind = rng.random()
+    if kind < 0.8:
+        return lambda w: w
+    if kind < 0.87:
+        return lambda w: w.upper() + "!!"
+    if kind < 0.93:
+        return lambda w: w + " |"
+    marks = ("###", "***", "%%%", "$$$")
+    return lambda w: w + marks[len(w) % 4]
+
+
 def layout(rng: np.random.Generator, vocabulary: list[str]) -> str:
     """One page; main blocks begin with the mark U+0001, which ``marked`` removes."""
+    noise = pick_noise(rng)
+
     def words(lo: int, hi: int) -> str:
-        return " ".join(vocabulary[i] for i in rng.integers(0, len(vocabulary), rng.integers(lo, hi + 1)))
+        return " ".join(noise(vocabulary[i]) for i in rng.integers(0, len(vocabulary), rng.integers(lo, hi + 1)))
 
     def pick(options):
         return options[rng.integers(len(options))]
 
     def prose(mark: str = "", lo: int = 4, hi: int = 90) -> str:
+        if rng.random() < 0.15:
+            return mark + words(1, 3).capitalize() + "."
         text = mark + ". ".join(words(3, 14).capitalize() for _ in range(max(1, int(rng.integers(lo, hi + 1)) // 9))) + "."
-        if rng.random() < 0.3:
-            k = text.find(" ") + 1
+        if rng.random() < 0.35:
+            k = text.find(" ") + 1 if rng.random() < 0.5 else 0
             tag = pick(("b", "i", "em", "a href='/x'", "span"))
             text = text[:k] + f"<{tag}>" + text[k:] + (f"</{tag.split()[0]}>" if rng.random() < 0.6 else "")
         return text
