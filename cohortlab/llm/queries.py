@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_lstm, language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup
+from . import decontaminate, html_lstm, language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup, warc
 from . import ngram_join as ngram_join_op
 from .common import read_table
 
@@ -217,3 +217,18 @@ def main_text(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_lstm.extract(pages, html_lstm.train(pages))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# ---------------------------------------------------------------- WARC
+
+@query("op1_warc_round_trip", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f""")
+def warc_round_trip(spark, sf_dir):
+    """Every page written to WARC, normalised and read back."""
+    return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
