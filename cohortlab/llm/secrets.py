@@ -84,7 +84,8 @@ def matches(text: Column, pattern: str, size_group: int = 0, least: int = 0) ->
 
 def entropy_spans(candidate: Column, limit: Column, window: int = WINDOW) -> Column:
     """Merged spans (within the candidate) of windows of high entropy."""
-    table = F.array(*[F.lit(plogp(c)).cast("long") for c in range(window + 1)])
+    # a window holds one character more until the one that leaves is taken out
+    table = F.array(*[F.lit(plogp(c)).cast("long") for c in range(window + 2)])
     n = len(ALPHABET)
     zero = F.struct(
         F.array_repeat(F.lit(0), n).alias("counts"), F.lit(0).cast("long").alias("s"),
