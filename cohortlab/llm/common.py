@@ -5,6 +5,12 @@ A word is a maximal run of characters other than space and U+0009..U+000D.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from operator import and_
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +27,14 @@ def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def ids_and_texts(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(doc_id long, text), null texts empty; a column that fits is taken as it
+    is, so that plans over it compare equal and share their shuffles."""
+    fits = id_col == "doc_id" and df.schema[id_col].dataType.simpleString() == "bigint"
+    return df.select(F.col("doc_id") if fits else F.col(id_col).cast("long").alias("doc_id"),
+                     text_of(text).alias("text"))
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text, in order (empty for a blank text)."""
     t = F.btrim(text, F.lit(BLANKS))
@@ -63,3 +77,50 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path."""
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def ranges(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """Rows sorted by (keys, id) over range partitions: a key with many rows is
+    cut into several ranges (see ``split_keys``)."""
+    order = [*keys, id_col]
+    return df.repartitionByRange(shuffle_width(df.sparkSession), *order).sortWithinPartitions(*order)
+
+
+def _ends(keys: list[str], id_col: str):
+    """The first row of a range's first key, and of its last if that differs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            columns = [b.column(k).to_numpy() for k in keys]
+            new = np.zeros(b.num_rows, dtype=bool)
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            at = np.flatnonzero(new)
+            head = b.slice(0, 1).select([*keys, id_col])
+            if first is None:
+                first = last = head
+            elif any(head.column(k)[0] != last.column(k)[0] for k in keys):
+                last = head
+            if len(at):
+                last = b.slice(int(at[-1]), 1).select([*keys, id_col])
+        if first is not None:
+            yield first
+            if last is not first:
+                yield last
+    return run
+
+
+def split_keys(ranged: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """Rows of the keys that ``ranges`` cut, with ``owner``: the key's smallest
+    id over all ranges. A range cuts two keys at most, so there are no more of
+    them than twice the partitions. Both passes read every row and column of
+    ``ranged`` (hence the null-safe join), so that its shuffle runs once."""
+    kinds = {f.name: f.dataType.simpleString() for f in ranged.schema.fields}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, id_col])
+    cut = (map_arrow(ranged, _ends(keys, id_col), schema).groupBy(*keys)
+           .agg(F.min(id_col).alias("owner"), F.count("*").alias("n")).where("n > 1")
+           .select("owner", *[F.col(k).alias(f"__{k}") for k in keys]))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return ranged.join(F.broadcast(cut), same).drop(*[f"__{k}" for k in keys])

@@ -12,16 +12,19 @@ skips every entry that sits at another position or holds anything else there.
 Sets near the upper end of their class also enter the next one. (A set with
 more empty positions than m allows for enters those as well.)
 
-Answers from similar sets: the first set of a list is its pivot, and only its
-overlaps with the list's members are counted. Members that link with the pivot
-are one component without looking at each other. For any other pair x, y of
-the pivot's members, |x & y| is at most min(|x & p|, |y & p|) plus
+Answers from similar sets: the first set of a list is its pivot, and its
+overlaps with the members of its lists are counted first. Members that link
+with the pivot are one component without looking at each other. For any other
+pair x, y of members, |x & y| is at most min(|x & p|, |y & p|) plus
 min(|x - p|, |y - p|), both known from the pivot's answers; pairs whose bound
-does not reach the threshold are skipped and only the rest are counted.
+does not reach the threshold are skipped and only the rest are counted. The
+members of a pivot are compared in blocks, several tasks sharing a large group.
 
 Documents with equal sets are one class (128-bit hash of the set), whose
 smallest id stands for it; a task enters a set once, so a large group of copies
-costs each list at most one row per task. Lists are sorted and streamed.
+costs each list at most one row per task. Lists are sorted over ranges of (list, id)
+and streamed, so a very long one takes several tasks; its members are paired
+with its first set over all ranges as well.
 
 Defined results: null and blank texts have an empty set and link with nothing;
 a text of fewer than n words is one n-gram; rows of null id get a null
@@ -38,14 +41,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint_table, map_arrow, text_of
+from .common import checkpoint_table, ids_and_texts, map_arrow, ranges, shuffle_width, split_keys
 from .components import components
 from .text_arrays import Polynomial, Words, lower_ascii, mix, texts
 
 SHINGLE = 4
 PERCENT = 85
 RATIO = 1.3
-ROWS = 1 << 17
+BLOCK = 1024
+CELLS = 4096
 _U64 = np.uint64
 
 
@@ -56,7 +60,7 @@ class Classes:
         self.percent, self.lows, self.highs, self.parts, self.spare = percent, [], [], [], []
         low = 1
         while low <= most:
-            high = max(low, math.floor(low * RATIO))
+            high = max(low, math.floor(low * max(RATIO, 100 / percent)))
             # |x| + |y| - 2|x & y| with |x & y| >= p/(100 + p) (|x| + |y|) and both sizes at most high
             differ = 2 * high - 2 * -(-percent * 2 * high // (100 + percent))
             spare = 1 + differ // 50
@@ -190,69 +194,155 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["p", "x"])
 
 
-def _overlaps(size: int):
+def overlap_matrix(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all of ``b``."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (a, b)]
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    places = []
+    for values, owner in sides:
+        at = np.searchsorted(common, values)
+        at[at == len(common)] = 0
+        keep = common[at] == values if len(common) else np.zeros(len(values), dtype=bool)
+        places.append((owner[keep], at[keep]))
+    for lo in range(0, len(common), CELLS):
+        width = min(CELLS, len(common) - lo)
+        parts = []
+        for (owner, at), s in zip(places, (a, b), strict=True):
+            here = (at >= lo) & (at < lo + width)
+            m = np.zeros((len(s), width), dtype=np.float32)
+            m[owner[here], at[here] - lo] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out.astype(np.int64)
+
+
+def group_links(ids: list[int], sides: list[int], sets: list[np.ndarray], pivot: int, cross: bool,
+                percent: int) -> list[tuple[int, int]]:
+    """Links among a pivot's members, enough of them to join all that are
+    connected; with ``cross`` only between sides 0 and 1 (each side's own pairs
+    and its links with the pivot are another task's)."""
+    at = ids.index(pivot)
+    main = sets[at]
+    members = [k for k in range(len(ids)) if k != at]
+    ids, sides, sets = ([x[k] for k in members] for x in (ids, sides, sets))
+    n = np.array([len(s) for s in sets])
+    values = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    found = np.searchsorted(main, values)
+    found[found == len(main)] = 0
+    o = np.bincount(np.repeat(np.arange(len(sets)), n), weights=main[found] == values, minlength=len(sets)).astype(np.int64)
+    linked = 100 * o >= percent * (len(main) + n - o)
+    edges = [] if cross else [(pivot, ids[k]) for k in np.flatnonzero(linked)]
+    root = list(range(len(ids)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    together = np.flatnonzero(linked)
+    for k in together[1:].tolist():
+        root[k] = int(together[0])
+    side = np.array(sides)
+    rounds = [(~linked & (side == 0), side == 1), (~linked & (side == 1), side == 0)] if cross else \
+        [(~linked, np.ones(len(ids), dtype=bool))]
+    for rows, cols in rounds:
+        rows, cols = np.flatnonzero(rows), np.flatnonzero(cols)
+        for lo in range(0, len(rows), BLOCK):
+            r = rows[lo:lo + BLOCK]
+            # the pivot's answers bound the overlap of every pair
+            most = np.minimum.outer(o[r], o[cols]) + np.minimum.outer(n[r] - o[r], n[cols] - o[cols])
+            both = np.add.outer(n[r], n[cols])
+            open_ = (100 * most >= percent * (both - most)) & (r[:, None] != cols[None, :])
+            use_r, use_c = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            if not len(use_r):
+                continue
+            exact = overlap_matrix([sets[k] for k in r[use_r]], [sets[k] for k in cols[use_c]])
+            hit = 100 * exact >= percent * (both[np.ix_(use_r, use_c)] - exact)
+            for i, j in np.argwhere(hit & open_[np.ix_(use_r, use_c)]).tolist():
+                x, y = int(r[use_r[i]]), int(cols[use_c[j]])
+                fx, fy = find(x), find(y)
+                if fx != fy:
+                    root[fx] = fy
+                    edges.append((ids[x], ids[y]))
+    return edges
+
+
+def _compare(size: int, percent: int):
+    """Rows sorted by (p, i, j), each a member's text, to links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                left = list(texts(part, "text_p", 1 << 62))[0]
-                right = list(texts(part, "text_x", 1 << 62))[0]
-                hp, ap = shingle_sets(left[2], left[3], size)
-                hx, ax = shingle_sets(right[2], right[3], size)
-                common = [len(np.intersect1d(hp[ap[i]:ap[i + 1]], hx[ax[i]:ax[i + 1]], assume_unique=True))
-                          for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("p"), part.column("x"), pa.array(common, pa.int64()),
-                     pa.array(np.diff(ap).astype(np.int64)), pa.array(np.diff(ax).astype(np.int64))],
-                    ["p", "x", "o", "np", "nx"])
-    return run
+        key, ids, sides, sets = None, [], [], []
 
+        def links() -> pa.RecordBatch:
+            e = group_links(ids, sides, sets, key[0], key[1] != key[2], percent) if len(ids) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in e], pa.int64()),
+                                               pa.array([x[1] for x in e], pa.int64())], ["a", "b"])
 
-def counted(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(p, x, o, np, nx): overlap and sizes of the pairs' sets."""
-    with_x = pairs.join(docs.select(F.col("doc_id").alias("x"), F.col("text").alias("text_x")), "x")
-    with_p = with_x.join(docs.select(F.col("doc_id").alias("p"), F.col("text").alias("text_p")), "p")
-    return map_arrow(with_p.select("p", "x", "text_p", "text_x"), _overlaps(size),
-                     "p long, x long, o long, np long, nx long")
+        for b in batches:
+            rows = list(zip(*[b.column(k).to_pylist() for k in ("p", "i", "j", "x", "side")], strict=True))
+            for lo, hi, data, offsets in texts(b, "text"):
+                h, at = shingle_sets(data, offsets, size)
+                for r in range(lo, hi):
+                    p, i, j, x, side = rows[r]
+                    if (p, i, j) != key:
+                        if key is not None:
+                            yield links()
+                        key, ids, sides, sets = (p, i, j), [], [], []
+                    ids.append(x)
+                    sides.append(side)
+                    sets.append(h[at[r - lo]:at[r - lo + 1]].copy())
+        if key is not None:
+            yield links()
+    return run
 
 
-def undecided(answers: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one pivot's members that its answers cannot decide."""
-    linked = 100 * F.col("o") >= percent * (F.col("np") + F.col("nx") - F.col("o"))
-    band = F.floor(F.log(F.col("nx").cast("double")) / math.log(100 / percent)).cast("int")
-    all_ = answers.select("p", F.col("x").alias("y"), F.col("o").alias("oy"), F.col("nx").alias("ny"),
-                          linked.alias("y_linked"), band.alias("near"))
-    out = answers.where(~linked).select("p", "x", "o", "nx", F.explode(F.array(band - 1, band, band + 1)).alias("near"))
-    most = F.least("o", "oy") + F.least(F.col("nx") - F.col("o"), F.col("ny") - F.col("oy"))
-    ok = 100 * most >= percent * (F.col("nx") + F.col("ny") - most)
-    return (out.join(all_, ["p", "near"]).where(ok & (F.col("y_linked") | (F.col("x") < F.col("y"))))
-            .select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("x")).where("p <> x").distinct())
+def links_of(stars: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) among the members of each pivot.
+
+    A pivot's members are dealt by hash into blocks of about ``BLOCK``; a task
+    compares two blocks (or one with itself), and has the pivot in both cases.
+    Members travel once per task, not once per pair."""
+    counts = stars.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = stars.join(counts, "p").select(
+        "p", "x", "blocks", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int").alias("block"))
+    pivots = counts.select("p", F.col("p").alias("x"), "blocks", F.lit(-1).alias("block"))
+    held = members.union(pivots).join(docs.select(F.col("doc_id").alias("x"), "text"), "x")
+    c = F.col
+    all_ = F.sequence(F.lit(0), c("blocks") - 1)
+    own = F.transform(all_, lambda k: F.struct(
+        F.least(k, c("block")).alias("i"), F.greatest(k, c("block")).alias("j"),
+        F.when(k < c("block"), 1).otherwise(0).alias("side")))
+    every = F.flatten(F.transform(all_, lambda i: F.transform(F.sequence(i, c("blocks") - 1), lambda j: F.struct(
+        i.alias("i"), j.alias("j"), F.lit(0).alias("side")))))
+    dealt = held.select("p", "x", "text", F.explode(F.when(c("block") < 0, every).otherwise(own)).alias("t")) \
+        .select("p", "t.i", "t.j", "t.side", "x", "text")
+    width = shuffle_width(stars.sparkSession)
+    return map_arrow(dealt.repartition(width, "p", "i", "j").sortWithinPartitions("p", "i", "j"),
+                     _compare(size, percent), "a long, b long")
 
 
 def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
                     id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``df``."""
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    docs = ids_and_texts(df, id_col, text)
     nodes = checkpoint_table(map_arrow(docs, _nodes(size), "doc_id long, n long, k1 long, k2 long"), "shingle_sets")
     firsts = nodes.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
     reps = checkpoint_table(nodes.join(firsts, ["k1", "k2", "n"], "left").select("doc_id", "n", "rep"), "set_classes")
 
     known = docs.where(F.col("doc_id").isNotNull())
     lists = map_arrow(known, _entries(size, percent), "key long, doc_id long")
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stars = map_arrow(lists.repartition(width, "key").sortWithinPartitions("key", "doc_id"), _pivots, "p long, x long")
+    ranged = ranges(lists, ["key"], "doc_id")
+    cut = split_keys(ranged, ["key"], "doc_id").select(F.col("owner").alias("p"), F.col("doc_id").alias("x"))
+    stars = map_arrow(ranged, _pivots, "p long, x long").union(cut)
     rep_of = reps.where("rep is not null").select("doc_id", "rep").distinct()
     stars = (stars.distinct()
              .join(rep_of.select(F.col("doc_id").alias("p"), F.col("rep").alias("rp")), "p")
              .join(rep_of.select(F.col("doc_id").alias("x"), F.col("rep").alias("rx")), "x")
              .select(F.col("rp").alias("p"), F.col("rx").alias("x")).where("p <> x").distinct())
     stars = checkpoint_table(stars, "stars")
-    answers = checkpoint_table(counted(stars, known, size), "answers")
-    rest = checkpoint_table(undecided(answers, percent), "undecided")
-    more = counted(rest, known, size)
-    linked = 100 * F.col("o") >= percent * (F.col("np") + F.col("nx") - F.col("o"))
-    links = answers.union(more).where(linked).select(F.col("p").alias("a"), F.col("x").alias("b"))
+    links = links_of(stars, known, size, percent)
     comp = components(links)
     return (reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
             .select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "rep", "doc_id").alias("component_id")))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")))
