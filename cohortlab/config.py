@@ -212,6 +212,7 @@ CODED_FIELDS = {
 
 # Access policy.
 COOLDOWN_DAYS = 30
+CHAT_HISTORY_LIMIT = 10      # last messages handed to the chat
 MONTHLY_FREE_SCORINGS = 1
 RATE_LIMIT_DEFAULT = 10      # per minute
 RATE_LIMIT_CHAT = 5          # per minute

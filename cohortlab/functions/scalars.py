@@ -19,6 +19,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters that str.strip removes, as far as they occur in ASCII and Latin-1.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+
+
+def strip(c) -> Column:
+    """Trim all white space, not only blanks."""
+    return F.btrim(_c(c), F.lit(SPACES))
+
+
 # X1 ---------------------------------------------------------------------------
 def to_float(c) -> Column:
     """Tolerant to-double: unparsable text -> null; NaN -> null.
@@ -42,12 +51,12 @@ def text_flag(c, strict_text: bool = False) -> Column:
         d = col.try_cast("double")
         col = F.when(d.isNotNull() & ~F.isnan(d) & (d == F.floor(d)) & (F.abs(d) < 1e15),
                      d.cast("bigint").cast("string")).otherwise(col.cast("string"))
-    return F.coalesce(F.lower(F.trim(col.cast("string"))), F.lit(""))
+    return F.coalesce(F.lower(strip(col.cast("string"))), F.lit(""))
 
 
 def normalise_key(c) -> Column:
-    """E-mail / role normalisation: trim + lower."""
-    return F.lower(F.trim(_c(c)))
+    """E-mail / role normalisation: strip white space, lower case."""
+    return F.lower(strip(_c(c)))
 
 
 # X10 --------------------------------------------------------------------------
@@ -55,7 +64,7 @@ def alias_map(c, mapping: dict | None = None, default: str | None = C.MODEL_ALIA
     """Look a lower-cased name up in a literal map; unknown -> ``default``."""
     mapping = mapping or C.MODEL_ALIASES
     m = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    hit = F.try_element_at(m, F.lower(F.trim(_c(c))))
+    hit = F.try_element_at(m, F.lower(strip(_c(c))))
     return hit if default is None else F.coalesce(hit, F.lit(default))
 
 
@@ -65,12 +74,40 @@ def sigmoid(c) -> Column:
 
 
 def minor_units(price) -> Column:
-    """Price text/number to integer minor units, truncating (19.99 -> 1998)."""
-    return (to_float(price) * 100).cast("int")
+    """Price text/number to integer minor units, truncating (19.99 -> 1998);
+    null beyond the range of bigint."""
+    return (to_float(price) * 100).try_cast("bigint")
+
+
+def fixed_text(c, decimals: int) -> Column:
+    """A double with a fixed number of decimals, half-even on its exact binary
+    value (0.125 -> "0.12", 2.675 -> "2.67"); null for null and NaN.
+
+    Spark rounds the shortest decimal form of a double, in which 2.675 is a
+    tie. Here the double is split into two halves whose products with the unit
+    are exact, which gives the exact side of the midpoint. From 1e13 on a
+    double has too few places for that to matter."""
+    x = F.abs(_c(c).cast("double"))
+    unit = 10 ** decimals
+    wide = x * F.lit(134217729.0)
+    hi = wide - (wide - x)
+    lo = x - hi
+
+    def beyond(k: int, m: Column) -> Column:
+        return (hi * F.lit(float(k)) - m) + lo * F.lit(float(k))
+
+    n = F.floor(x * F.lit(float(unit))).cast("double")
+    n = F.when(beyond(unit, n) < 0, n - 1).otherwise(n)
+    side = beyond(2 * unit, n * 2 + 1)
+    r = F.when(side > 0, n + 1).when(side < 0, n).otherwise(n + F.pmod(n, F.lit(2.0))).cast("bigint")
+    text = F.concat(F.floor(r / unit).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad((r % unit).cast("string"), decimals, "0"))
+    text = F.when(x < 1e13, text).otherwise(F.format_string(f"%.{decimals}f", x))
+    return F.when(x.isNotNull() & ~F.isnan(x), F.concat(F.when(_c(c) < 0, "-").otherwise(""), text))
 
 
 def money_text(c) -> Column:
-    return F.format_string("%.2f", _c(c).cast("double"))
+    return fixed_text(c, 2)
 
 
 def percent1(c, scale: float = 100.0) -> Column:
@@ -80,8 +117,16 @@ def percent1(c, scale: float = 100.0) -> Column:
 
 # X14-X17 ------------------------------------------------------------------------
 def parse_iso_ts(c) -> Column:
-    """ISO-8601 text to timestamp; 'Z' and fractions accepted; else null."""
-    return F.try_to_timestamp(_c(c))
+    """ISO-8601 text to timestamp: a date, extended or basic, alone or with a
+    time ('T' or a blank, seconds and fraction optional, 'Z' or an offset);
+    else null."""
+    t = _c(c).cast("string")
+    date = r"^(\d{4})-?(\d{2})-?(\d{2})"
+    ok = t.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{8})([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+    plain = F.regexp_replace(F.regexp_replace(t, date, "$1-$2-$3"), ",", ".")
+    plain = F.regexp_replace(plain, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.when(ok, F.try_to_timestamp(F.when(t.rlike(r"^\d{8}$|^\d{4}-\d{2}-\d{2}$"), F.regexp_replace(t, date, "$1-$2-$3"))
+                                         .otherwise(plain)))
 
 
 def date_part(c, missing: str = C.NOT_AVAILABLE) -> Column:
@@ -108,7 +153,10 @@ def month_start(c) -> Column:
 
 # X18 / X19 ------------------------------------------------------------------------
 def title(c) -> Column:
-    return F.initcap(_c(c))
+    """Title case: a letter starts a word after white space, "-", "(", "{",
+    "[" or "<"; the rest is lower case."""
+    parts = F.split(F.lower(_c(c)), r"(?<=[-\s({\[<])")
+    return F.array_join(F.transform(parts, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))), "")
 
 
 def type_tag(model_type) -> Column:
@@ -136,8 +184,7 @@ def json_string_array(items) -> Column:
 
 def json_number_array(items, decimals: int = 4) -> Column:
     """JSON array text of numbers printed with a fixed number of decimals."""
-    fmt = f"%.{decimals}f"
-    return F.concat(F.lit("["), F.array_join(F.transform(_c(items), lambda x: F.format_string(fmt, x)), ","),
+    return F.concat(F.lit("["), F.array_join(F.transform(_c(items), lambda x: fixed_text(x, decimals)), ","),
                     F.lit("]"))
 
 

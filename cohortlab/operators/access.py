@@ -18,34 +18,39 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..sources.tables import checkpoint_table
-from .ordered import salted_row_number
+from ..session import drop_path
+from ..sources.tables import checkpoint_table, written_table
+from .ordered import join_null_safe, salted_row_number
 
-US_PER_DAY = 86_400_000_000
+US_PER_HOUR = 3_600_000_000
+US_PER_DAY = 24 * US_PER_HOUR
 
 
 # --------------------------------------------------------------------- W5
 
-def successors(req: DataFrame, key: str, ts: str, id_col: str, gap_us: int) -> DataFrame:
+def successors(req: DataFrame, key: str, ts: str, id_col: str, gap_us: int,
+               chunk_us: int = US_PER_HOUR) -> DataFrame:
     """For every request r: the first request of the same key (by (ts, id))
     with ts >= r.ts + gap. Returns (key, id, t, nid, nt).
 
-    Time is cut into chunks of length ``gap``; r's probe t + gap falls in the
-    next chunk. Inside a (key, chunk) a running window (incremental frame)
+    Time is cut into chunks of an hour (or ``gap``, if that is shorter), and
+    r's probe t + gap falls in a later one. Inside a (key, chunk) a running window (incremental frame)
     finds the nearest request at or after each probe; probes with none there
     take the first request of the next non-empty chunk (a per-key window over
-    chunk summaries, bounded by the key's time span / gap). A hot key is
+    chunk summaries, bounded by the key's time span / chunk). A hot key is
     therefore spread over as many tasks as it has chunks.
     """
     t = F.unix_micros(F.col(ts).cast("timestamp"))  # NTZ or LTZ; the session is UTC
-    base = req.select(F.col(key).alias("k"), F.col(id_col).alias("id"), t.alias("t"))
-    chunk = F.floor(F.col("t") / F.lit(gap_us))
+    base = req.where(F.col(ts).isNotNull()).select(F.col(key).alias("k"), F.col(id_col).alias("id"), t.alias("t"))
+    width = min(gap_us, chunk_us)
+    chunk = F.floor(F.col("t") / F.lit(width))
     rows = base.select("k", chunk.alias("c"), "t", "id", F.lit(0).alias("kind"))
-    probes = base.select("k", (chunk + 1).alias("c"), (F.col("t") + F.lit(gap_us)).alias("t"),
+    probes = base.select("k", F.floor((F.col("t") + F.lit(gap_us)) / F.lit(width)).alias("c"), (F.col("t") + F.lit(gap_us)).alias("t"),
                          F.col("id"), F.lit(1).alias("kind"))
     u = rows.unionByName(probes)
     # Descending time, requests before probes at equal time, ids descending:
@@ -68,9 +73,9 @@ def successors(req: DataFrame, key: str, ts: str, id_col: str, gap_us: int) -> D
         .select("k", "c", "__after")
     # __after at a query row covers chunks > c only: CS rows of chunk c sort
     # after the query row (kind 1 > 0) in this descending order.
-    j = inchunk.join(nxt_chunk, ["k", "c"], "left")
+    j = join_null_safe(inchunk, nxt_chunk, ["k", "c"], "left")
     succ = j.select("k", F.col("src").alias("id"), F.coalesce("__near", "__after").alias("__n"))
-    out = base.join(succ, ["k", "id"], "left")
+    out = join_null_safe(base, succ, ["k", "id"], "left")
     return out.select(F.col("k").alias(key), "id", "t", F.col("__n.id").alias("nid"), F.col("__n.t").alias("nt"))
 
 
@@ -85,12 +90,14 @@ def cooldown(req: DataFrame, key: str = "user_id", ts: str = "ts", id_col: str =
     shared folder to cut lineage), then the set {first} is widened with J_k
     for k = K-1..0, which reaches every succ^t(first), t < 2^K. K comes from
     the longest possible chain (one accept per ``days`` of a key's span), so
-    the work is O(rows * log(span / days)) with no per-key collection.
+    the work is O(rows * log(span / days)) with no per-key collection. The
+    tables of the levels are dropped at the end. Null is a key like others; a
+    request without a time is not accepted.
     Returns ``req`` plus a 0/1 ``name`` column.
     """
     gap = int(round(days * US_PER_DAY))
     s = successors(req, key, ts, id_col, gap)
-    s = checkpoint_table(s, "cooldown_succ")
+    s, *paths = written_table(s, "cooldown_succ")
     span = s.groupBy(key).agg(((F.max("t") - F.min("t")) / F.lit(gap)).alias("__s")).agg(F.max("__s")).first()[0]
     max_len = int(math.floor(span or 0)) + 2
     levels = max(1, math.ceil(math.log2(max_len)))
@@ -99,13 +106,18 @@ def cooldown(req: DataFrame, key: str = "user_id", ts: str = "ts", id_col: str =
         a = jumps[-1]
         b = a.select(F.col("id").alias("__bid"), F.col("j").alias("__bj"))
         nxt = a.join(b, F.col("j") == F.col("__bid"), "left").select(key, "id", F.col("__bj").alias("j"))
-        jumps.append(checkpoint_table(nxt, "cooldown_jump"))
+        level, path = written_table(nxt, "cooldown_jump")
+        jumps.append(level)
+        paths.append(path)
     heads = s.groupBy(key).agg(F.min(F.struct("t", "id")).alias("__h")).select(key, F.col("__h.id").alias("id"))
     acc = heads
     for jk in reversed(jumps):
         step = acc.join(jk.select(F.col("id").alias("__sid"), "j"), F.col("id") == F.col("__sid"), "inner") \
             .where(F.col("j").isNotNull()).select(key, F.col("j").alias("id"))
-        acc = checkpoint_table(acc.unionByName(step).distinct(), "cooldown_acc")
+        acc, path = written_table(acc.unionByName(step).distinct(), "cooldown_acc")
+        paths.append(path)
+    for path in paths[:-1]:
+        drop_path(req.sparkSession, path)
     flags = acc.select(F.col("id").alias("__aid"), F.lit(1).alias("__a"))
     out = req.join(flags, F.col(id_col) == F.col("__aid"), "left")
     return out.select(*req.columns, F.coalesce("__a", F.lit(0)).alias(name))
@@ -126,9 +138,11 @@ def rate_limit(req: DataFrame, client: str = "user_id", endpoint: str = "endpoin
                id_col: str = "id", limits: dict | None = None, default: int = C.RATE_LIMIT_DEFAULT,
                width: str = "1 minute", slice_unit: str = "second", name: str = "allowed") -> DataFrame:
     """Fixed-window limit per (client, endpoint): within each window of
-    ``width`` the first ``limit(endpoint)`` requests pass."""
+    ``width`` the first ``limit(endpoint)`` requests pass. Requests without a
+    time share a window of their own."""
     limits = limits if limits is not None else {"chat": C.RATE_LIMIT_CHAT}
-    d = req.withColumn("__win", F.window(F.col(ts), width).start)
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    d = req.withColumn("__win", F.floor(t / F.lit(pd.Timedelta(width).value // 1000)))
     r = salted_row_number(d, [client, endpoint, "__win"], [F.col(ts), F.col(id_col)],
                           F.date_trunc(slice_unit, F.col(ts)), name="__rank")
     lim = F.lit(default)
@@ -160,12 +174,14 @@ def apply_bookings(requests: DataFrame, slots: DataFrame, slot_col: str = "slot_
 
 def access_decision(requests: DataFrame, status: DataFrame, key: str = "user_id",
                     endpoint: str = "endpoint", ts: str = "ts", id_col: str = "id",
-                    quota: int = C.MONTHLY_FREE_SCORINGS) -> DataFrame:
+                    quota: int = C.MONTHLY_FREE_SCORINGS, session: str = "session_id",
+                    days: float = C.COOLDOWN_DAYS) -> DataFrame:
     """allow/deny with a reason for every request.
 
     ``status`` is (id, role, status, is_free) per account (J8 + W1).
     Admin or paid+active: allow. Anonymous: the scoring endpoint is limited
-    by the accepted-only cool-down, chat/booking need a login. Otherwise
+    by the accepted-only cool-down of the visitor's session (a request without
+    a session is a visitor of its own), chat/booking need a login. Otherwise
     chat/booking are paid-only and scoring allows the first ``quota``
     requests per calendar month.
     """
@@ -187,10 +203,12 @@ def access_decision(requests: DataFrame, status: DataFrame, key: str = "user_id"
     free_scoring = j.where(~anon & ~paid & scoring)
     ranked = monthly_quota(free_scoring.select(id_col, key, ts), key, ts, id_col, quota, "__qok") \
         .select(F.col(id_col).alias("__qid"), "__qok")
-    anon_scoring = j.where(anon & scoring).select(id_col, F.coalesce(F.col(key), F.lit(-1)).alias("__client"), ts)
+    anon_scoring = j.where(anon & scoring).select(
+        id_col, F.coalesce(F.col(session).cast("string"), F.concat(F.lit("request "), F.col(id_col).cast("string")))
+        .alias("__client"), ts)
     cd = None
     if anon_scoring.take(1):  # the cool-down job only runs when anonymous scorings exist
-        cd = cooldown(anon_scoring, "__client", ts, id_col, C.COOLDOWN_DAYS, "__cok") \
+        cd = cooldown(anon_scoring, "__client", ts, id_col, days, "__cok") \
             .select(F.col(id_col).alias("__cid"), "__cok")
     out = j.join(ranked, F.col(id_col) == F.col("__qid"), "left")
     if cd is not None:

@@ -218,9 +218,7 @@ def last_n(df: DataFrame, key: str, order: str, n: int, slice_width: int = 64) -
     conversation of any length is numbered by many tasks. Short groups are
     kept whole (unlike a negative slice on an array).
     """
-    r = salted_row_number(df, [key], [F.col(order)], F.floor(F.col(order) / slice_width), name="__rn")
-    cnt = df.groupBy(key).agg(F.count(F.lit(1)).alias("__cnt"))
-    r = r.join(cnt, key)
+    r = salted_row_number(df, [key], [F.col(order)], F.floor(F.col(order) / slice_width), name="__rn", total="__cnt")
     keep = r.where(F.col("__rn") > F.col("__cnt") - n)
     return keep.withColumn("pos", (F.col("__rn") - F.greatest(F.col("__cnt") - n, F.lit(0))).cast("int")) \
         .drop("__rn", "__cnt")
@@ -237,7 +235,7 @@ def pair_exchanges(history: DataFrame, key: str = "conv_id", order: str = "turn"
     u = r.where(F.col("role") == "user").select(key, order, "__rn", F.col("message").alias("user_message"))
     b = r.where(F.col("role") == "assistant").select(F.col(key).alias("__k2"), (F.col("__rn") - 1).alias("__rn2"),
                                                      F.col("message").alias("bot_reply"))
-    j = u.join(b, (F.col(key) == F.col("__k2")) & (F.col("__rn") == F.col("__rn2")), "inner")
+    j = u.join(b, F.col(key).eqNullSafe(F.col("__k2")) & (F.col("__rn") == F.col("__rn2")), "inner")
     return j.select(key, order, "user_message", "bot_reply")
 
 
@@ -255,20 +253,31 @@ def slots_by_doctor(slots: DataFrame) -> DataFrame:
     return g
 
 
-def ordered_within(df: DataFrame, key: str, order: list[Column], slice_col: Column, name: str = "pos") -> DataFrame:
+def ordered_within(df: DataFrame, key: str, order: list[Column], slice_col: Column, name: str = "pos",
+                   nulls_last: bool = False) -> DataFrame:
     """O1/O2: per-key position after sorting (exact, salted by ``slice_col``)."""
-    return salted_row_number(df, [key], order, slice_col, name=name)
-
-
-def series_json(records: DataFrame, as_of: str, days: int = C.TRAILING_DAYS) -> DataFrame:
-    """Per user, the chart series of liver records over the trailing
-    window: JSON arrays of days and of the day's latest score (4 places).
-    One point per day, so each list is bounded by ``days``."""
-    r = since(records_of_kind(records), "created_at", as_of, days)
-    d = r.groupBy("user_id", F.date_format("created_at", "yyyy-MM-dd").alias("day")).agg(
-        F.max_by("health_score", F.struct("created_at", "id")).alias("score"))
-    g = d.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("day", "score"))).alias("pts"))
-    return g.select("user_id", scalars.json_string_array(F.col("pts.day")).alias("labels_json"),
+    return salted_row_number(df, [key], order, slice_col, name=name, nulls_last=nulls_last)
+
+
+def chart_series(records: DataFrame) -> DataFrame:
+    """The points of the charts: every liver record of every user, newest
+    first, as (user_id, pos, month, label, score). One row per point, so a
+    user's history of any length takes no list."""
+    r = records_of_kind(records)
+    o = ordered_within(r, "user_id", [F.col("created_at").desc_nulls_last(), F.col("id").desc()],
+                       -F.unix_date(F.to_date("created_at")), nulls_last=True)
+    return o.select("user_id", "pos", F.date_format("created_at", "yyyy-MM").alias("month"),
+                    F.date_format("created_at", "yyyy-MM-dd").alias("label"), F.col("health_score").alias("score"), "id")
+
+
+def series_json(records: DataFrame, chunk: int = 1000) -> DataFrame:
+    """The same points as JSON arrays of labels and scores (4 places),
+    newest first, in numbered chunks of at most ``chunk`` points per user, so
+    that no list grows with the data: (user_id, chunk, labels_json,
+    scores_json, n_points)."""
+    pts = chart_series(records).withColumn("chunk", F.floor((F.col("pos") - 1) / chunk).cast("long"))
+    g = pts.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "label", "score"))).alias("pts"))
+    return g.select("user_id", "chunk", scalars.json_string_array(F.col("pts.label")).alias("labels_json"),
                     scalars.json_number_array(F.col("pts.score"), 4).alias("scores_json"),
                     F.size("pts").alias("n_points"))
 

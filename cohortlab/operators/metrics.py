@@ -8,10 +8,12 @@ task holds a whole score column and repeated scores cost nothing.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import prefix_sums, salted_row_number
+from .ordered import join_null_safe, prefix_sums, salted_row_number, shuffle_width
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -98,10 +100,11 @@ def roc_points(df: DataFrame, y: str, score: str, by: list[str] | None = None) -
     if not by:
         out = roc_points(df.withColumn("__g", F.lit(0)), y, score, ["__g"])
         return out.drop("__g")
+    # scorers are few: the totals are as many rows as there are groups
     g = score_groups(df, y, score, by)
     cum = prefix_sums(g, by, "score", ["pos", "neg"], descending=True)
     tot = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = cum.join(tot, on=by, how="inner")
+    j = join_null_safe(cum, tot, by)
     return j.select(*by, F.col("score").alias("threshold"), F.col("cum_pos").alias("tps"),
                     F.col("cum_neg").alias("fps"), _safe_div(F.col("cum_pos"), F.col("P")).alias("tpr"),
                     _safe_div(F.col("cum_neg"), F.col("N")).alias("fpr"))
@@ -123,13 +126,11 @@ def auc(df: DataFrame, y: str, score: str, by: list[str] | None = None, material
 
 def best_by(df: DataFrame, group: list[str], metric: str, tiebreak: str) -> DataFrame:
     """The row with the largest ``metric`` per group; ties go to the
-    smallest ``tiebreak``. Two aggregates (max, then min_by among the rows at
-    the max): partial aggregation, no window, no group held by one task."""
+    smallest ``tiebreak``, null metrics come last. One aggregate with partial
+    aggregation: no window, no join, no group held by one task."""
     others = [c for c in df.columns if c not in group]
-    best_m = df.groupBy(*group).agg(F.max(metric).alias("__m"))
-    cand = df.join(best_m, on=group).where(F.col(metric) == F.col("__m"))
-    win = cand.groupBy(*group).agg(F.min_by(F.struct(*[F.col(c) for c in others]),
-                                            F.col(tiebreak)).alias("__b"))
+    place = F.struct(F.col(metric).isNull(), -F.col(metric), F.col(tiebreak))
+    win = df.groupBy(*group).agg(F.min_by(F.struct(*[F.col(c) for c in others]), place).alias("__b"))
     return win.select(*group, *[F.col(f"__b.{c}").alias(c) for c in others])
 
 
@@ -145,26 +146,36 @@ def _md5_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def stratified_rank(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
-    """Exact rank within each label class by md5(key:seed), spread over 256
-    hash slices so each class is numbered by many tasks, not one."""
+def stratified_rank(df: DataFrame, label: str, key: str, seed: int = 42, total: str | None = None) -> DataFrame:
+    """Exact rank within each label class by md5(key:seed). Each class is
+    numbered in hash slices, about four for each shuffle partition; null is a
+    class of its own, and rows without a key come first in theirs."""
     h = _md5_order(key, seed)
+    digits = max(2, math.ceil(math.log(4 * shuffle_width(df), 16)))
     d = df.withColumn("__h", h)
-    return salted_row_number(d, [label], [F.col("__h"), F.col(key)], F.substring("__h", 1, 2),
-                             name="__rank").drop("__h")
+    return salted_row_number(d, [label], [F.col("__h"), F.col(key)], F.substring("__h", 1, digits),
+                             name="__rank", total=total).drop("__h")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, frac: float = 0.2, seed: int = 42,
                      name: str = "is_test") -> DataFrame:
     """M7: exactly ceil(frac * n_class) rows of each class go to the test
-    side, chosen by md5 order (the same rows in any engine)."""
-    r = stratified_rank(df, label, key, seed)
-    n = r.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    r = r.join(n, on=label)
+    side, chosen by md5 order (the same rows in any engine). The class sizes
+    come with the ranks, so rows are never joined on the label."""
+    r = stratified_rank(df, label, key, seed, total="__n")
     return r.withColumn(name, (F.col("__rank") <= F.ceil(F.col("__n") * frac)).cast("int")) \
         .drop("__rank", "__n")
 
 
+def hash_split(df: DataFrame, key: str, frac: float = 0.2, seed: int = 42, name: str = "is_test") -> DataFrame:
+    """M7 at scale: rows whose hash lies below ``frac`` go to the test side.
+    Each class gets its share within sampling error, without any shuffle; a
+    null key hashes like a value."""
+    h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(f":{seed}")))
+    place = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / float(1 << 32)
+    return df.withColumn(name, (place < frac).cast("int"))
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
                      name: str = "fold") -> DataFrame:
     """M8: fold = (rank - 1) mod k within each class: balanced folds that

@@ -13,68 +13,83 @@ helpers here split each ordered group into slices, compute per-slice totals
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import checkpoint_table
+
 
 def _cols(xs) -> list:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def shuffle_width(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; the columns are ``left``'s and
+    the rest of ``right``'s."""
+    renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def prefix_sums(df: DataFrame, part: list[str], order: str, sums: list[str],
-                buckets: int = 64, descending: bool = False, accuracy: int = 10000,
-                prefix: str = "cum_") -> DataFrame:
+                descending: bool = False, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<s>`` = sum of ``s`` over rows of the same ``part`` whose
     ``order`` value is <= the current one (>= when ``descending``), inclusive.
 
-    ``order`` must be unique within ``part`` (aggregate by it first). Rows are
-    bucketed by approximate quantiles of ``order`` per group, so buckets are
-    balanced; bucket totals (groups x buckets rows) become offsets; a window
-    over (group, bucket) finishes the running sum.
+    ``order`` must be unique within ``part`` (aggregate by it first); null is
+    a value of ``part`` like others. Rows are range-partitioned by (part,
+    order) into as many ranges as the shuffle width and written once, so that
+    both passes see the same ranges. Totals per (range, part) become offsets,
+    joined back on both; a window within (range, part) does the rest. A large
+    group lies in many ranges, and no join is on the group alone.
     """
-    if not part:
-        out = prefix_sums(df.withColumn("__g", F.lit(0)), ["__g"], order, sums, buckets,
-                          descending, accuracy, prefix)
-        return out.drop("__g")
-    o = F.col(order)
-    key = -o if descending else o
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = (df.groupBy(*part)
-                .agg(F.percentile_approx(key, probs, accuracy).alias("__bounds")))
-    withb = df.join(bounds, on=part, how="inner")
-    withb = withb.withColumn(
-        "__bucket", F.size(F.filter(F.col("__bounds"), lambda b: b < key))).drop("__bounds")
-    totals = withb.groupBy(*part, "__bucket").agg(*[F.sum(s).alias(f"__tot_{s}") for s in sums])
-    wb = Window.partitionBy(*part).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, "__bucket",
-                            *[F.coalesce(F.sum(f"__tot_{s}").over(wb), F.lit(0)).alias(f"__off_{s}")
-                              for s in sums])
-    out = withb.join(offsets, on=[*part, "__bucket"], how="inner")
-    wi = (Window.partitionBy(*part, "__bucket").orderBy(key)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = out.withColumns({f"{prefix}{s}": F.col(f"__off_{s}") + F.sum(s).over(wi) for s in sums})
-    return out.drop("__bucket", *[f"__off_{s}" for s in sums])
+    key = F.col(order).desc() if descending else F.col(order).asc()
+    ranged = checkpoint_table(
+        df.repartitionByRange(shuffle_width(df), *[F.col(c) for c in part], key)
+        .withColumn("__range", F.spark_partition_id()), "prefix_ranges")
+    totals = ranged.groupBy("__range", *part).agg(*[F.sum(s).alias(s) for s in sums])
+    before = Window.partitionBy(*part).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__range", *part, *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"__off_{s}")
+                                                for s in sums])
+    out = join_null_safe(ranged, offsets, ["__range", *part])
+    within = (Window.partitionBy("__range", *part).orderBy(key)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = out.withColumns({f"{prefix}{s}": F.col(f"__off_{s}") + F.sum(s).over(within) for s in sums})
+    return out.drop("__range", *[f"__off_{s}" for s in sums])
 
 
 def salted_row_number(df: DataFrame, keys: list[str], order: list, slice_col: Column,
-                      name: str = "rn") -> DataFrame:
+                      name: str = "rn", total: str | None = None, nulls_last: bool = False) -> DataFrame:
     """Exact ``row_number()`` over ``partitionBy(keys).orderBy(order)``.
 
     ``slice_col`` must be non-decreasing along ``order`` within a key (e.g. the
     second of a timestamp when ordering by time). Rows are numbered inside
     (key, slice) — one exchange, a hot key spreads over as many tasks as it
     has slices — and offset by the row count of the key's earlier slices.
+    Null keys are a key, null slices a slice of their own: the first one, or
+    with ``nulls_last`` (an order that puts nulls last) the last.
     Slice sizes are read off the numbered rows (already partitioned by
     (key, slice), so no second pass over the input); the offsets table has
-    one row per (key, slice) and is joined back by that key.
+    one row per (key, slice) and is joined back by that key. ``total`` names a
+    column for the key's row count, which comes with the offsets.
     """
     d = df.withColumn("__slice", slice_col)
     wi = Window.partitionBy(*keys, "__slice").orderBy(*_cols(order))
     numbered = d.withColumn("__rnw", F.row_number().over(wi))
     counts = numbered.groupBy(*keys, "__slice").agg(F.max("__rnw").alias("__n"))
-    ws = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__slice", F.coalesce(F.sum("__n").over(ws), F.lit(0)).alias("__off"))
-    out = numbered.join(offsets, on=[*keys, "__slice"], how="inner")
+    by = F.col("__slice").asc_nulls_last() if nulls_last else F.col("__slice").asc_nulls_first()
+    ws = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *keys, "__slice", F.coalesce(F.sum("__n").over(ws), F.lit(0)).alias("__off"),
+        *([F.sum("__n").over(Window.partitionBy(*keys)).alias(total)] if total else []))
+    out = join_null_safe(numbered, offsets, [*keys, "__slice"])
     return out.withColumn(name, F.col("__off") + F.col("__rnw")).drop("__slice", "__off", "__rnw")
 
 
@@ -85,20 +100,26 @@ def value_counts_long(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
-                    buckets: int = 64, materialize: bool = True) -> DataFrame:
+                    materialize: bool = True, accuracy: int | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation, like numpy's default) per group.
 
     ``long_df`` is (group, value). Works on distinct values with counts, so
     repeated values cost nothing; the rank lookup uses ``prefix_sums``.
-    Returns (group, p, q). With ``materialize`` the value-count table (small
+    Returns (group, p, q). With ``accuracy`` the quantiles are Spark's
+    approximate ones instead (relative rank error 1 / accuracy), from one
+    aggregate without any order. With ``materialize`` the value-count table (small
     next to the input) is written to the shared folder once, so the several
     passes below do not recompute the input.
     """
+    if accuracy:
+        return (long_df.where(F.col(value).isNotNull()).groupBy(group)
+                .agg(F.percentile_approx(value, probs, accuracy).alias("__q"))
+                .select(group, F.explode(F.arrays_zip(F.array(*map(F.lit, probs)).alias("p"), F.col("__q").alias("q"))).alias("x"))
+                .select(group, "x.p", "x.q"))
     vc = value_counts_long(long_df, group, value)
     if materialize:
-        from ..sources.tables import checkpoint_table
         vc = checkpoint_table(vc, "value_counts")
-    cum = prefix_sums(vc, [group], value, ["n"], buckets=buckets)
+    cum = prefix_sums(vc, [group], value, ["n"])
     # One row per group with the wanted 0-based ranks: (p, pos, k0, k1).
     targets = F.array(*[F.struct(F.lit(float(p)).alias("p"),
                                  ((F.col("__total") - 1) * F.lit(float(p))).alias("pos"))

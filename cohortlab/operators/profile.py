@@ -7,7 +7,10 @@ so one job covers all columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,18 +111,26 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     non-null), as a long (a, b, r) table with the mirror and diagonal.
 
     One aggregate computes the k(k-1)/2 distinct pairs; Spark's ``corr``
-    skips rows with a null in either argument.
+    skips rows with a null in either argument. A pair without two distinct
+    values on either side has no correlation (null); so has such a column with
+    itself.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                   for a, b in pairs])
-    names = [f"{a}|{b}" for a, b in pairs]
-    long = one.unpivot([], names, "pair", "r")
-    ab = long.select(F.split("pair", r"\|").getItem(0).alias("a"),
-                     F.split("pair", r"\|").getItem(1).alias("b"), "r")
-    mirror = ab.select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
-    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, r double")
-    return ab.unionByName(mirror).unionByName(diag)
+    def r(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        mixed = reduce(and_, [F.min(F.when(both, v)) < F.max(F.when(both, v)) for v in (x, y)])
+        # regr_* parts keep the division out of pairs that have no spread
+        sxx, syy, sxy = F.regr_sxx(y, x), F.regr_syy(y, x), F.regr_sxy(y, x)
+        return F.when(mixed, sxy / F.nullif(F.sqrt(sxx) * F.sqrt(syy), F.lit(0.0)))
+
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    one = df.agg(*[r(a, b).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                              (F.when(F.col(f"p{k}").isNotNull(), F.lit(1.0)) if a == b else F.col(f"p{k}")).alias("r"))
+                     for k, (a, b) in enumerate(pairs)])
+    ab = one.select(F.inline(rows))
+    mirror = ab.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
+    return ab.unionByName(mirror)
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators import access as X
 from ..operators import activity as A
 from ..session import scratch_path
 from ..sources import standins as S
-from ..sources.tables import append_rows, apply_updates, read_table
+from ..sources.tables import append_rows, apply_updates
 from . import oracle as O
 from .registry import query
 
@@ -18,31 +18,45 @@ COOLDOWN_TEST_DAYS = 3   # events span 30 days; a 3-day cool-down gives ~10 acce
 RATE_WIDTH = "1 hour"    # events are sparse per minute; hourly windows make the limit bind
 RATE_LIMITS = {"chat": 1}
 RATE_DEFAULT = 2
-SLOT_SPACE = 16000       # booking requests point at slot ids 0..15999; ids above the table are unknown
 
 
 def W(body):
     return O.with_ops(body)
 
 
-@query("cooldown_accepts", W(f"""
-, r AS (SELECT id, user_id, ts FROM requests),
+def _chain_sql(source: str, key: str, days: int) -> str:
+    """Accepted requests of ``source`` (id, key, ts), key by key: table acc."""
+    return f"""
 acc AS (SELECT * FROM (
-  WITH RECURSIVE chain(user_id, id, ts) AS (
-    SELECT user_id, arg_min(id, (ts, id)), min(ts) FROM r GROUP BY user_id
+  WITH RECURSIVE chain(k, id, ts) AS (
+    SELECT {key}, arg_min(id, (ts, id)), min(ts) FROM {source} GROUP BY {key}
     UNION ALL
-    SELECT c.user_id, n.id, n.ts FROM chain c, LATERAL (
-      SELECT id, ts FROM r WHERE r.user_id = c.user_id AND r.ts >= c.ts + INTERVAL {COOLDOWN_TEST_DAYS} DAY
+    SELECT c.k, n.id, n.ts FROM chain c, LATERAL (
+      SELECT id, ts FROM {source} r WHERE r.{key} = c.k AND r.ts >= c.ts + INTERVAL {days} DAY
       ORDER BY ts, id LIMIT 1) n)
-  SELECT * FROM chain))
+  SELECT * FROM chain))"""
+
+
+def _cooldown_sql(days: int) -> str:
+    return W(f""", {_chain_sql("requests", "user_id", days)}
 SELECT r.id, r.user_id, CAST(CASE WHEN acc.id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS accepted
-FROM r LEFT JOIN acc ON r.id = acc.id"""))
+FROM requests r LEFT JOIN acc ON r.id = acc.id""")
+
+
+@query("cooldown_accepts", _cooldown_sql(COOLDOWN_TEST_DAYS))
 def cooldown_accepts(spark, sf):
     """Accepted-only cool-down (3 days) over every user's requests."""
     req = S.requests(spark, sf).select("id", "user_id", "ts")
     return X.cooldown(req, "user_id", "ts", "id", COOLDOWN_TEST_DAYS).select("id", "user_id", "accepted")
 
 
+@query("cooldown_accepts_30", _cooldown_sql(C.COOLDOWN_DAYS))
+def cooldown_accepts_30(spark, sf):
+    """The same with the 30 days that visitors have to wait."""
+    req = S.requests(spark, sf).select("id", "user_id", "ts")
+    return X.cooldown(req, "user_id", "ts", "id", C.COOLDOWN_DAYS).select("id", "user_id", "accepted")
+
+
 @query("monthly_quota", W("""SELECT id, user_id, CAST(CASE WHEN row_number() OVER (PARTITION BY user_id, date_trunc('month', ts)
   ORDER BY ts, id) <= 1 THEN 1 ELSE 0 END AS INTEGER) AS allowed FROM requests WHERE endpoint = 'predict'"""))
 def monthly_quota(spark, sf):
@@ -62,25 +76,26 @@ def rate_limit(spark, sf):
     return r.select("id", "user_id", "endpoint", "allowed")
 
 
-def booking_requests(spark, sf):
-    """Booking requests: (id, user_id, slot_id, ts) from the purchase events."""
-    e = read_table(spark, sf, "events").where(F.col("event_type") == "purchase")
-    return e.select(F.col("event_id").alias("id"), "user_id",
-                    ((F.col("event_id") * 37) % SLOT_SPACE).alias("slot_id"), "ts")
+@query("rate_limit_minute", W(f"""SELECT id, user_id, endpoint, CAST(CASE WHEN row_number() OVER (
+  PARTITION BY user_id, endpoint, time_bucket(INTERVAL '1 minute', ts) ORDER BY ts, id)
+  <= CASE WHEN endpoint = 'chat' THEN {C.RATE_LIMIT_CHAT} ELSE {C.RATE_LIMIT_DEFAULT} END THEN 1 ELSE 0 END AS INTEGER) AS allowed
+FROM requests"""))
+def rate_limit_minute(spark, sf):
+    """The limits of 10 (chat: 5) requests a minute."""
+    return X.rate_limit(S.requests(spark, sf)).select("id", "user_id", "endpoint", "allowed")
 
 
-BOOK_SQL = f""", breq AS (SELECT event_id AS id, user_id, (event_id * 37) % {SLOT_SPACE} AS slot_id, ts FROM events
-                WHERE event_type = 'purchase'),
-win AS (SELECT slot_id, arg_min(id, (ts, id)) AS wid FROM breq GROUP BY 1),
+BOOK_SQL = """,
+win AS (SELECT slot_id, arg_min(id, (ts, id)) AS wid FROM booking_requests GROUP BY 1),
 outc AS (SELECT b.id, b.slot_id, CASE WHEN s.id IS NULL THEN 'unknown_slot' WHEN s.is_booked THEN 'already_booked'
                   WHEN b.id = w.wid THEN 'booked' ELSE 'slot_taken' END AS outcome
-         FROM breq b LEFT JOIN doctor_availability s ON b.slot_id = s.id LEFT JOIN win w ON b.slot_id = w.slot_id)"""
+         FROM booking_requests b LEFT JOIN doctor_availability s ON b.slot_id = s.id LEFT JOIN win w ON b.slot_id = w.slot_id)"""
 
 
 @query("apply_bookings", W(BOOK_SQL + " SELECT id, slot_id, outcome FROM outc"))
 def apply_bookings(spark, sf):
     """Booking outcome per request (first request per free slot wins)."""
-    return X.apply_bookings(booking_requests(spark, sf), S.doctor_availability(spark, sf)) \
+    return X.apply_bookings(S.booking_requests(spark, sf), S.doctor_availability(spark, sf)) \
         .select("id", "slot_id", "outcome")
 
 
@@ -89,23 +104,20 @@ SELECT s.id, s.is_booked OR s.id IN (SELECT slot_id FROM outc WHERE outcome = 'b
 FROM doctor_availability s"""))
 def slots_after_booking(spark, sf):
     """New version of the slot table with won bookings marked booked."""
-    won = X.apply_bookings(booking_requests(spark, sf), S.doctor_availability(spark, sf)) \
-        .where(F.col("outcome") == "booked").select(F.col("slot_id").alias("id"))
     slots = S.doctor_availability(spark, sf)
+    won = X.apply_bookings(S.booking_requests(spark, sf), slots) \
+        .where(F.col("outcome") == "booked").select(F.col("slot_id").alias("id"))
     return apply_updates(slots, won, "id", {"is_booked": True}).select("id", "is_booked")
 
 
 @query("cancel_subscriptions", W("""
-, creq AS (SELECT DISTINCT (event_id * 13) % 15000 AS id, user_id FROM events WHERE event_type = 'error')
 SELECT s.id, s.user_id, CASE WHEN c.id IS NOT NULL THEN 'cancelled' ELSE s.status END AS status
-FROM user_subscriptions s LEFT JOIN creq c ON s.id = c.id AND s.user_id = c.user_id"""))
+FROM user_subscriptions s LEFT JOIN (SELECT DISTINCT id, user_id FROM cancel_requests) c ON s.id = c.id AND s.user_id = c.user_id"""))
 def cancel_subscriptions(spark, sf):
     """Cancel requests applied only where the requester owns the
     subscription (guard on user_id)."""
-    e = read_table(spark, sf, "events").where(F.col("event_type") == "error")
-    creq = e.select(((F.col("event_id") * 13) % 15000).alias("id"), "user_id")
     subs = S.user_subscriptions(spark, sf)
-    return apply_updates(subs, creq, "id", {"status": "cancelled"}, guard=["user_id"]) \
+    return apply_updates(subs, S.cancel_requests(spark, sf), "id", {"status": "cancelled"}, guard=["user_id"]) \
         .select("id", "user_id", "status")
 
 
@@ -114,14 +126,15 @@ def append_rows_q(spark, sf):
     """Liver records written, the other records appended, table read back."""
     r = S.records(spark, sf)
     path = scratch_path(spark, "records_table")
-    append_rows(r.where(F.lower("consultation_type").contains("liver")), path)
-    append_rows(r.where(~F.lower("consultation_type").contains("liver")), path)
+    liver = F.coalesce(F.lower("consultation_type").contains("liver"), F.lit(False))
+    append_rows(r.where(liver), path)
+    append_rows(r.where(~liver), path)
     back = spark.read.parquet(path)
     return back.groupBy("consultation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("access_decision", W("""
-, ids AS (SELECT DISTINCT user_id AS id FROM requests WHERE user_id IS NOT NULL),
+@query("access_decision", W(f"""
+, ids AS (SELECT DISTINCT user_id AS id FROM visits WHERE user_id IS NOT NULL),
 roles AS (SELECT ids.id, CASE WHEN u.id IS NOT NULL THEN coalesce(u.role, 'user') WHEN d.id IS NOT NULL THEN 'doctor'
                               WHEN a.id IS NOT NULL THEN 'admin' ELSE 'user' END AS role
           FROM ids LEFT JOIN users u ON ids.id = u.id LEFT JOIN (SELECT DISTINCT id FROM doctors) d ON ids.id = d.id
@@ -135,24 +148,28 @@ st AS (SELECT ids.id, r.role,
        FROM ids LEFT JOIN roles r ON ids.id = r.id LEFT JOIN latest l ON ids.id = l.user_id
        LEFT JOIN subscription_plans p ON l.plan_id = p.id),
 j AS (SELECT q.*, coalesce(st.role = 'admin' OR (st.status = 'active' AND NOT coalesce(st.is_free, true)), false) AS paid
-      FROM requests q LEFT JOIN st ON q.user_id = st.id),
+      FROM visits q LEFT JOIN st ON q.user_id = st.id),
 fq AS (SELECT id, row_number() OVER (PARTITION BY user_id, date_trunc('month', ts) ORDER BY ts, id) AS rk
-       FROM j WHERE user_id IS NOT NULL AND NOT paid AND endpoint = 'predict')
+       FROM j WHERE user_id IS NOT NULL AND NOT paid AND endpoint = 'predict'),
+anon AS (SELECT id, coalesce(session_id, 'request ' || id) AS client, ts FROM j WHERE user_id IS NULL AND endpoint = 'predict'),
+{_chain_sql("anon", "client", C.COOLDOWN_DAYS)}
 SELECT j.id, j.user_id, j.endpoint,
   CASE WHEN j.user_id IS NULL AND j.endpoint IN ('chat', 'book_appointment') THEN 'deny'
+       WHEN j.user_id IS NULL AND j.endpoint = 'predict' AND acc.id IS NULL THEN 'deny'
        WHEN j.user_id IS NULL THEN 'allow' WHEN paid THEN 'allow'
        WHEN j.endpoint IN ('chat', 'book_appointment') THEN 'deny'
        WHEN j.endpoint = 'predict' AND fq.rk > 1 THEN 'deny' ELSE 'allow' END AS decision,
   CASE WHEN j.user_id IS NULL AND j.endpoint IN ('chat', 'book_appointment') THEN 'login required'
+       WHEN j.user_id IS NULL AND j.endpoint = 'predict' AND acc.id IS NULL THEN 'cool-down'
        WHEN j.user_id IS NULL THEN 'anonymous' WHEN paid THEN 'paid or admin'
        WHEN j.endpoint IN ('chat', 'book_appointment') THEN 'paid only'
        WHEN j.endpoint = 'predict' AND fq.rk > 1 THEN 'monthly limit'
        WHEN j.endpoint = 'predict' THEN 'within quota' ELSE 'unrestricted' END AS reason
-FROM j LEFT JOIN fq ON j.id = fq.id"""))
+FROM j LEFT JOIN fq ON j.id = fq.id LEFT JOIN acc ON j.id = acc.id"""))
 def access_decision(spark, sf):
     """allow/deny with reason for every request (role, subscription,
     paid-only endpoints, monthly scoring quota)."""
-    req = S.requests(spark, sf)
+    req = S.visits(spark, sf)
     u, d, a = S.users(spark, sf), S.doctors(spark, sf), S.admins(spark, sf)
     ids = req.where(F.col("user_id").isNotNull()).select(F.col("user_id").alias("id")).distinct()
     roles = A.resolve_role(ids, u, d, a, ("users", "doctors", "admins"))

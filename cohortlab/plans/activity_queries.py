@@ -228,18 +228,28 @@ def user_kpis(spark, sf):
                     "latest_pct", "n_appointments")
 
 
-LAST_N = 3
-
-
-@query("last_messages", W(f"""SELECT conv_id, turn, role, message, CAST(pos AS INTEGER) AS pos FROM (
+def _last_sql(n: int) -> str:
+    return W(f"""SELECT conv_id, turn, role, message, CAST(pos AS INTEGER) AS pos FROM (
   SELECT *, count(*) OVER (PARTITION BY conv_id) - row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) + 1
-            - greatest(count(*) OVER (PARTITION BY conv_id) - {LAST_N}, 0) AS pos,
+            - greatest(count(*) OVER (PARTITION BY conv_id) - {n}, 0) AS pos,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rd
-  FROM chat_history) WHERE rd <= {LAST_N}"""))
+  FROM chat_history) WHERE rd <= {n}""")
+
+
+def _last(spark, sf, n):
+    return A.last_n(S.chat_history(spark, sf), "conv_id", "turn", n).select("conv_id", "turn", "role", "message", "pos")
+
+
+@query("last_messages", _last_sql(3))
 def last_messages(spark, sf):
-    """The last 3 messages of every conversation, in order."""
-    return A.last_n(S.chat_history(spark, sf), "conv_id", "turn", LAST_N) \
-        .select("conv_id", "turn", "role", "message", "pos")
+    """The last 3 messages of every conversation, in order (fewer than most have)."""
+    return _last(spark, sf, 3)
+
+
+@query("last_messages_10", _last_sql(C.CHAT_HISTORY_LIMIT))
+def last_messages_10(spark, sf):
+    """The last 10 messages of every conversation, in order."""
+    return _last(spark, sf, C.CHAT_HISTORY_LIMIT)
 
 
 @query("chat_exchanges", W("""SELECT conv_id, turn, message AS user_message, nxt_msg AS bot_reply FROM (
@@ -276,21 +286,32 @@ def records_recent(spark, sf):
     """O2: each user's records newest first (created_at desc, id desc)."""
     r = S.records(spark, sf)
     o = A.ordered_within(r, "user_id", [F.col("created_at").desc(), F.col("id").desc()],
-                         -F.unix_date(F.to_date("created_at")))
+                         -F.unix_date(F.to_date("created_at")), nulls_last=True)
     return o.select("user_id", "id", "pos")
 
 
-@query("series_json", W(f"""
-, d AS (SELECT user_id, strftime(created_at, '%Y-%m-%d') AS day, arg_max(health_score, (created_at, id)) AS score FROM records
-        WHERE lower(consultation_type) LIKE '%liver%' AND created_at >= TIMESTAMP '{AS_OF_EVENTS}' - INTERVAL {C.TRAILING_DAYS} DAY
-        GROUP BY 1, 2)
-SELECT user_id, CAST(to_json(list(day ORDER BY day)) AS VARCHAR) AS labels_json,
-       '[' || string_agg(printf('%.4f', score), ',' ORDER BY day) || ']' AS scores_json,
+SERIES_SQL = """
+, s AS (SELECT user_id, id, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, id DESC) AS pos,
+        strftime(created_at, '%Y-%m') AS month, strftime(created_at, '%Y-%m-%d') AS label, health_score AS score
+        FROM records WHERE lower(consultation_type) LIKE '%liver%')"""
+SERIES_CHUNK = 1000
+
+
+@query("chart_series", W(SERIES_SQL + " SELECT user_id, id, CAST(pos AS BIGINT) AS pos, month, label, score FROM s"))
+def chart_series(spark, sf):
+    """Every liver record of every user as a chart point, newest first."""
+    return A.chart_series(S.records(spark, sf)).select("user_id", "id", "pos", "month", "label", "score")
+
+
+@query("series_json", W(SERIES_SQL + f"""
+SELECT user_id, CAST((pos - 1) // {SERIES_CHUNK} AS BIGINT) AS chunk,
+       CAST(to_json(list(label ORDER BY pos)) AS VARCHAR) AS labels_json,
+       '[' || string_agg(printf('%.4f', score), ',' ORDER BY pos) || ']' AS scores_json,
        CAST(count(*) AS INTEGER) AS n_points
-FROM d GROUP BY 1"""))
+FROM s GROUP BY 1, 2"""))
 def series_json(spark, sf):
-    """Per-user chart series (days and the day's latest score) as JSON text."""
-    return A.series_json(S.records(spark, sf), AS_OF_EVENTS)
+    """The chart points as JSON arrays, newest first, in chunks of 1,000."""
+    return A.series_json(S.records(spark, sf), SERIES_CHUNK)
 
 
 @query("plan_features", W("""
@@ -370,7 +391,7 @@ def slot_times(spark, sf):
                     F.date_format(d, "yyyy-MM-dd").alias("strict_day"))
 
 
-@query("scalar_math", W("""SELECT id, CAST(trunc(consultation_fee * 100) AS INTEGER) AS fee_minor,
+@query("scalar_math", W("""SELECT id, CAST(trunc(consultation_fee * 100) AS BIGINT) AS fee_minor,
   printf('%.2f', consultation_fee) AS fee_text,
   round_even(1.0 / (1.0 + exp(-(consultation_fee / 1000.0))), 6) AS fee_sigmoid FROM doctors"""))
 def scalar_math(spark, sf):

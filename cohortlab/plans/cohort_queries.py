@@ -14,7 +14,7 @@ from ..operators import cohort as co
 from ..operators import profile as pr
 from ..session import scratch_path
 from ..sources import standins
-from ..sources.tables import read_csv, write_table
+from ..sources.tables import file_listing, read_csv, table_path, write_table
 from . import oracle as O
 from .registry import query
 
@@ -24,30 +24,24 @@ MODULE_CTE = {"DEMO": "demo", "BMX": "bmx", "SMQ": "smq", "ALQ": "alq", "DIQ": "
               "TRIGLY": "tri"}
 
 
-def module_buckets(spark) -> int:
-    """Bucket count for the module tables: the cluster's default parallelism
-    (every core reads one bucket of every module), else the shuffle width."""
-    try:
-        return max(1, int(spark.sparkContext.defaultParallelism))
-    except Exception:
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+BUCKET_BYTES = 128 << 20
+
+
+def module_buckets(spark, sf_dir) -> int:
+    """Bucket count for the module tables: about ``BUCKET_BYTES`` of the tables
+    that the modules come from in each, the shuffle width at least."""
+    size = sum(int(f.rsplit(":", 2)[1]) for t in ("customer", "orders", "lineitem")
+               for f in file_listing(spark, table_path(sf_dir, t)))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
 
 def cohort(spark, sf_dir, strategy: str | None = None, bucketed: bool = True):
     """The cohort as the queries use it: the left-join chain over module
     tables bucketed by SEQN (co-partitioned: no exchange; 3x faster than
-    the plain files at sf0.1). Falls back to the plain module files when
-    the catalog cannot register the tables. (``strategy="union"`` gives the
-    single-shuffle form; measured 2x slower at sf0.01-0.1.)"""
-    mods = None
-    if bucketed:
-        try:
-            mods = standins.survey_modules(spark, sf_dir, buckets=module_buckets(spark))
-        except Exception as e:  # e.g. a catalog without table support
-            import logging
-            logging.getLogger(__name__).warning("bucketed module tables unavailable (%s); using files", e)
-    if mods is None:
-        mods = standins.survey_modules(spark, sf_dir)
+    the plain files at sf0.1), or with ``bucketed=False`` over the plain
+    module files. (``strategy="union"`` gives the single-shuffle form;
+    measured 2x slower at sf0.01-0.1.)"""
+    mods = standins.survey_modules(spark, sf_dir, buckets=module_buckets(spark, sf_dir) if bucketed else None)
     return co.build_cohort(mods, validate=strategy)
 
 
@@ -115,7 +109,7 @@ def cohort_build(spark, sf_dir):
 def cohort_build_bucketed(spark, sf_dir):
     """J1 over module tables bucketed by SEQN (same bucket count): the
     sort-merge chain reads co-partitioned buckets, no exchange at all."""
-    return co.build_cohort(standins.survey_modules(spark, sf_dir, buckets=module_buckets(spark)))
+    return co.build_cohort(standins.survey_modules(spark, sf_dir, buckets=module_buckets(spark, sf_dir)))
 
 
 @query("label_cohort", O.with_cohort("SELECT SEQN, LIVER_HIGH_RISK_PROFILE FROM labelled"))

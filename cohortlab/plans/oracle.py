@@ -68,7 +68,7 @@ users AS (SELECT c_custkey AS id, lower(c_name) || '@example.com' AS email, c_na
 doctors AS (SELECT s_suppkey AS id, s_suppkey * 3 AS user_id, 'SPEC_' || CAST(s_nationkey AS VARCHAR) AS specialization,
                    'Profile of ' || s_name AS bio, s_acctbal AS consultation_fee
             FROM supplier WHERE s_suppkey % 4 <> 0),
-admins AS (SELECT c_custkey AS id, lower(c_name) AS name, lower(c_name) || '@example.com' AS email
+admins AS (SELECT unnest([c_custkey, c_custkey + 10000000]) AS id, lower(c_name) AS name, lower(c_name) || '@example.com' AS email
            FROM customer WHERE c_custkey % 97 = 0),
 appointments AS (SELECT o_orderkey AS id, o_custkey AS user_id, o_orderkey % (SELECT count(*) FROM supplier) AS doctor_id,
                         o_orderdate AS appointment_time,
@@ -102,6 +102,13 @@ requests AS (SELECT event_id AS id, user_id,
                     CASE event_type WHEN 'view' THEN 'predict' WHEN 'click' THEN 'chat'
                                     WHEN 'purchase' THEN 'book_appointment' ELSE event_type END AS endpoint, ts
              FROM events),
+visits AS (SELECT id, CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 = 1 AND user_id % 97 = 0 THEN user_id + 10000000 ELSE user_id END AS user_id,
+                  CASE WHEN id % 100 <> 0 THEN 's' || user_id END AS session_id, endpoint, ts
+           FROM requests),
+booking_requests AS (SELECT id * 4 + k AS id, doctor_id + k AS user_id, CASE WHEN k = 3 AND id % 8 = 3 THEN -id ELSE id END AS slot_id,
+                            CAST(available_date AS TIMESTAMP) + to_hours(CAST(k * 5 % 3 AS INTEGER)) AS ts
+                     FROM (SELECT *, unnest(range(1, id % 4 + 1)) AS k FROM doctor_availability)),
+cancel_requests AS (SELECT id, user_id + id % 5 AS user_id FROM user_subscriptions WHERE id % 5 < 2),
 chat_history AS (SELECT conv_id, turn, role, text AS message FROM conversations WHERE role <> 'system')
 """
 

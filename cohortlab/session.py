@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -56,7 +57,9 @@ def apply_required_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create one.
+    Only a local session (one machine) that names none gets a folder of its
+    own; elsewhere the executors would each write to their own disk, so a
+    missing setting is an error.
     """
     d = None
     try:
@@ -66,6 +69,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
         d = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -86,6 +92,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder that this package wrote."""
+    if not path.startswith(shared_dir(spark).rstrip("/")):
+        raise ValueError(f"{path} is not under the shared folder")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 

@@ -15,10 +15,14 @@ are cut from them (Spark reuses the exchange for every module).
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import load_module, read_table
+from ..session import scratch_path, shared_dir
+from .tables import file_listing, load_module, path_exists, publish, read_table, table_path
 
 
 def _scalar_count(df: DataFrame) -> Column:
@@ -118,22 +122,12 @@ def module_files(spark: SparkSession, sf_dir: str) -> dict:
     """Write every stand-in module to ``<shared>/standins/<key>/<MODULE>``
     once (two aggregates over orders/lineitem feed all twelve) and return
     the paths. ``key`` changes when the input files change."""
-    import hashlib
-    from ..session import shared_dir
-    from .tables import _path_exists, table_path
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sig = []
-    for t in ("customer", "orders", "lineitem"):
-        jp = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
-        st = jp.getFileSystem(conf).getFileStatus(jp)
-        sig.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    sig = [f for t in ("customer", "orders", "lineitem") for f in file_listing(spark, table_path(sf_dir, t))]
     key = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
     base = f"{shared_dir(spark).rstrip('/')}/standins/{key}"
-    done = f"{base}/_COMPLETE"
     names = ["DEMO", *MODULE_ORDER]
-    paths = {m: f"{base}/{m}" for m in names}
-    if not _path_exists(spark, done):
+    if not path_exists(spark, base):
+        fresh = scratch_path(spark, "standins")
         # Both measure aggregates feed six modules each: keep them for the
         # duration of the writes (recomputed from source if an executor is lost).
         om = _orders_measures(spark, sf_dir).persist()
@@ -141,40 +135,40 @@ def module_files(spark: SparkSession, sf_dir: str) -> dict:
         try:
             plans = _module_plans(spark, sf_dir, (), om, lm)
             for m in names:
-                plans[m].write.mode("overwrite").parquet(paths[m])
+                plans[m].write.parquet(f"{fresh}/{m}")
         finally:
             om.unpersist()
             lm.unpersist()
-        spark.createDataFrame([(key,)], "key string").coalesce(1).write.mode("overwrite").json(done)
-    return paths
+        publish(spark, fresh, base)
+    return {m: f"{base}/{m}" for m in names}
 
 
 def module_tables(spark: SparkSession, sf_dir: str, buckets: int) -> dict:
-    """Module files rewritten as external tables bucketed by SEQN.
+    """Module files rewritten, bucketed and sorted by SEQN.
 
     Files live under the shared folder (written once per input and bucket
-    count); each session registers them in its catalog with the bucket spec
-    (``CREATE TABLE ... CLUSTERED BY (SEQN) ... LOCATION``), so the join
-    planner sees matching bucketing on every side.
+    count). A catalog entry gives them their bucket spec, so that the join
+    planner sees matching bucketing on every side; it is dropped as soon as
+    the plan over it is resolved, so none is left behind.
     """
-    from .tables import _path_exists
     paths = module_files(spark, sf_dir)
-    key = paths["DEMO"].rstrip("/").split("/")[-2]
-    base = paths["DEMO"].rsplit("/", 1)[0] + f"/bucketed{buckets}"
+    base = paths["DEMO"].rsplit("/", 1)[0] + f"-bucketed{buckets}"
+    fresh = None if path_exists(spark, base) else scratch_path(spark, "bucketed")
+    if fresh:
+        for m, src in paths.items():
+            name = f"cohortlab_{uuid.uuid4().hex}"
+            (load_module(spark, src).write.bucketBy(buckets, "SEQN").sortBy("SEQN")
+             .option("path", f"{fresh}/{m}").saveAsTable(name))
+            spark.sql(f"DROP TABLE {name}")
+        publish(spark, fresh, base)
     out = {}
-    for m, src in paths.items():
-        name = f"cohortlab_{key}_b{buckets}_{m.lower()}"
-        loc = f"{base}/{m}"
-        if not spark.catalog.tableExists(name):
-            df = load_module(spark, src)
-            if not _path_exists(spark, f"{loc}/_SUCCESS"):
-                (df.write.mode("overwrite").bucketBy(buckets, "SEQN").sortBy("SEQN")
-                   .option("path", loc).saveAsTable(name))
-            else:
-                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-                spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-                          f"CLUSTERED BY (SEQN) SORTED BY (SEQN) INTO {buckets} BUCKETS LOCATION '{loc}'")
+    for m in paths:
+        name = f"cohortlab_{uuid.uuid4().hex}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{base}/{m}").schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
+                  f"CLUSTERED BY (SEQN) SORTED BY (SEQN) INTO {buckets} BUCKETS LOCATION '{base}/{m}'")
         out[m] = spark.table(name)
+        spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
     return out
 
 
@@ -184,7 +178,6 @@ MODULE_ORDER = ["BMX", "SMQ", "ALQ", "DIQ", "BPQ", "MCQ", "CBC", "GLU", "GHB", "
 def _module_plans(spark: SparkSession, sf_dir: str, absent: tuple = (), om=None, lm=None) -> dict:
     om = om if om is not None else _orders_measures(spark, sf_dir)
     lm = lm if lm is not None else _lineitem_measures(spark, sf_dir)
-    lm = _lineitem_measures(spark, sf_dir)
     one = F.lit(1)
     mods = {
         "DEMO": spine(spark, sf_dir),
@@ -246,8 +239,10 @@ def doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def admins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    return c.where(F.col("c_custkey") % 97 == 0).select(
+    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 97 == 0)
+    # each of them twice: as a user, and under an id that no user has
+    c = c.withColumn("c_custkey", F.explode(F.array("c_custkey", F.col("c_custkey") + ADMIN_OFFSET)))
+    return c.select(
         F.col("c_custkey").alias("id"),
         F.lower("c_name").alias("name"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
@@ -351,6 +346,41 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("id"), "user_id", ep.alias("endpoint"), "ts")
 
 
+ADMIN_OFFSET = 10_000_000
+
+
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request log with visitors: (id, user_id, session_id, endpoint, ts).
+
+    A fifth of the requests has no user; some come from administrators that
+    are no users; a few have neither user nor session."""
+    r = requests(spark, sf_dir)
+    anonymous = F.col("id") % 5 == 0
+    admin = (F.col("id") % 5 == 1) & (F.col("user_id") % 97 == 0)
+    return r.select(
+        "id",
+        F.when(anonymous, F.lit(None)).when(admin, F.col("user_id") + ADMIN_OFFSET).otherwise(F.col("user_id")).alias("user_id"),
+        F.when(F.col("id") % 100 != 0, F.concat(F.lit("s"), F.col("user_id").cast("string"))).alias("session_id"),
+        "endpoint", "ts")
+
+
+def booking_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Booking requests (id, user_id, slot_id, ts): none to three for each slot,
+    the third sometimes for a slot that does not exist."""
+    s = doctor_availability(spark, sf_dir).select("id", "doctor_id", "available_date", F.explode(
+        F.sequence(F.lit(1), F.col("id") % 4)).alias("k")).where((F.col("id") % 4 >= F.col("k")) & (F.col("k") > 0))
+    return s.select((F.col("id") * 4 + F.col("k")).alias("id"), (F.col("doctor_id") + F.col("k")).alias("user_id"),
+                    F.when((F.col("k") == 3) & (F.col("id") % 8 == 3), -F.col("id")).otherwise(F.col("id")).alias("slot_id"),
+                    (F.col("available_date").cast("timestamp") + F.make_dt_interval(hours=(F.col("k") * 5 % 3).cast("int"))).alias("ts"))
+
+
+def cancel_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cancel requests (id, user_id) for two fifths of the subscriptions, half
+    of them by someone else than the owner."""
+    s = user_subscriptions(spark, sf_dir).where(F.col("id") % 5 < 2)
+    return s.select("id", (F.col("user_id") + F.col("id") % 5).alias("user_id"))
+
+
 def chat_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "conversations")
     return c.where(F.col("role") != "system").select(

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -41,45 +43,67 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                            for c in targets})
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence through the Hadoop FileSystem API; without JVM access, by
-    trying to list the path with a reader."""
-    try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(jpath))
-    except Exception:
-        try:
-            spark.read.format("binaryFile").load(path).limit(1).count()
-            return True
-        except Exception:
-            return False
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop API, on local disk and object stores alike."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = hadoop_path(spark, path)
+    return bool(fs.exists(target))
+
+
+def file_listing(spark: SparkSession, path: str) -> list[str]:
+    """Every file under ``path`` with its length and time, sorted."""
+    fs, target = hadoop_path(spark, path)
+    files, found = fs.listFiles(target, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(found)
+
+
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Move a finished folder to its place in one step. If another session has
+    put one there meanwhile, that one stays and ours goes."""
+    fs, source = hadoop_path(spark, written)
+    _, target = hadoop_path(spark, path)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        if not fs.exists(target):
+            raise OSError(f"cannot move {written} to {path}")
+        drop_path(spark, written)
+
+
+# Conditions of a path that is not there, and of files that are no readable table.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+CORRUPT = ("CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE.NO_HINT", "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER",
+           "FAILED_READ_FILE.PARQUET_COLUMN_DATA_TYPE_MISMATCH")
 
 
 def load_module(spark: SparkSession, path: str, fmt: str = "parquet",
                 schema: T.StructType | None = None, header: bool = True) -> DataFrame | None:
-    """Load a survey module; a missing or unreadable file yields ``None``.
+    """Load a survey module; a missing or corrupt file yields ``None``.
 
-    Existence goes through the Hadoop FileSystem API so the check is the same
-    on local disk and object stores; nothing is read on the driver.
+    Other errors (permissions, network) are raised: taken for an absent
+    module, they would silently drop its columns.
     """
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
     try:
-        if not _path_exists(spark, path):
-            log.warning("module %s not found", path)
-            return None
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
         if fmt == "csv":
             df = reader.option("header", header).option("inferSchema", schema is None).csv(path)
         else:
             df = reader.format(fmt).load(path)
-        df.schema  # force analysis: unreadable files fail here, not later
         return nan_to_null(df)
-    except Exception as e:  # unreadable -> absent, like the source loader
-        log.warning("module %s unreadable: %s", path, e)
-        return None
+    except (PySparkException, Py4JJavaError) as e:
+        text = f"{getattr(e, 'getCondition', lambda: '')() or ''} {e}"
+        if any(c in text for c in (*ABSENT, *CORRUPT)) or "is not a Parquet file" in text:
+            log.warning("module %s not found or unreadable: %s", path, text[:200])
+            return None
+        raise
 
 
 def require_modules(modules: dict, spine: str, any_of: list[str]) -> None:
@@ -156,7 +180,13 @@ def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     Survives executor loss (the data lives in the shared folder, not on an
     executor's disk).
     """
+    return written_table(df, name)[0]
+
+
+def written_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``checkpoint_table`` and its folder, for callers that drop it after use
+    (``session.drop_path``)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path

@@ -36,7 +36,7 @@ def test_prefix_sums_equal_cumsum(spark):
     rng = random.Random(5)
     rows = [("g", float(v), rng.randint(1, 5)) for v in range(500)] + [("h", float(v), 1) for v in range(10)]
     df = spark.createDataFrame(rows, "g string, v double, n long")
-    got = {(r["g"], r["v"]): r["cum_n"] for r in od.prefix_sums(df, ["g"], "v", ["n"], buckets=16).collect()}
+    got = {(r["g"], r["v"]): r["cum_n"] for r in od.prefix_sums(df, ["g"], "v", ["n"]).collect()}
     for g in ("g", "h"):
         acc = 0
         for (gg, v, n) in sorted(r for r in rows if r[0] == g):
