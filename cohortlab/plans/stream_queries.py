@@ -2,38 +2,51 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import config as C
 from ..session import scratch_path
 from ..sources import standins as S
 from ..streaming import jobs
-from .access_queries import COOLDOWN_TEST_DAYS, RATE_DEFAULT, RATE_LIMITS
+from .access_queries import COOLDOWN_TEST_DAYS, RATE_DEFAULT, RATE_LIMITS, RATE_WIDTH, W
 from .registry import ORACLE, query
 
-US_PER_HOUR = 3_600_000_000
 US_PER_DAY = 86_400_000_000
+DELAY = "40 days"   # the files below mix requests of the whole month
+FILES = 6
 
 
 def _request_files(spark, sf):
-    """The request log as parquet files in the shared folder (stream input)."""
+    """The request log as files that each mix early and late requests, then two
+    heartbeats far ahead, which move the watermark past the last request."""
     path = scratch_path(spark, "requests_in")
-    S.requests(spark, sf).write.parquet(path)
-    return path, spark.read.parquet(path).schema
+    r = S.requests(spark, sf)
+    r.repartition(FILES, "id").write.parquet(path)
+    for k in (1, 2):
+        beat = r.agg((F.max("ts") + F.expr(f"INTERVAL {100 * k} DAYS")).alias("ts"))
+        beat.select(*[F.col("ts") if c == "ts" else F.lit(-1 if c == "id" else None).cast(t).alias(c) for c, t in r.dtypes]) \
+            .coalesce(1).write.mode("append").parquet(path)
+    return path, r.schema
 
 
-@query("stream_rate_limit")
+@query("stream_rate_limit", W(f"""SELECT user_id, endpoint, time_bucket(INTERVAL '{RATE_WIDTH}', ts) AS window_start,
+  CAST(count(*) AS BIGINT) AS requests,
+  CAST(least(count(*), CASE WHEN endpoint = 'chat' THEN {RATE_LIMITS['chat']} ELSE {RATE_DEFAULT} END) AS BIGINT) AS allowed
+FROM requests GROUP BY 1, 2, 3"""))
 def stream_rate_limit(spark, sf):
-    """W7 as a stateful stream: per-key window counter, per-request flag."""
+    """W7 as a stream: requests and allowed requests of each hourly window."""
     path, schema = _request_files(spark, sf)
-    st = jobs.stream_rate_limit(jobs.request_stream(spark, path, schema), US_PER_HOUR, RATE_LIMITS, RATE_DEFAULT)
-    return spark.read.parquet(jobs.run_to_parquet(st, "rate_limit"))
+    st = jobs.stream_rate_limit(jobs.request_stream(spark, path, schema, 2), RATE_WIDTH, RATE_LIMITS, RATE_DEFAULT, DELAY)
+    out = spark.read.parquet(jobs.run_to_parquet(st, "rate_limit"))
+    return out.where("user_id is not null").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("stream_cooldown")
 def stream_cooldown(spark, sf):
-    """W5 as a stateful stream: last accepted time per user in state."""
+    """W5 as a stateful stream: decisions in event-time order."""
     path, schema = _request_files(spark, sf)
-    st = jobs.stream_cooldown(jobs.request_stream(spark, path, schema), COOLDOWN_TEST_DAYS * US_PER_DAY)
-    return spark.read.parquet(jobs.run_to_parquet(st, "cooldown"))
+    st = jobs.stream_cooldown(jobs.request_stream(spark, path, schema, 2), COOLDOWN_TEST_DAYS * US_PER_DAY, DELAY)
+    return spark.read.parquet(jobs.run_to_parquet(st, "cooldown")).where("user_id is not null")
 
 
 @query("stream_scores")
@@ -49,7 +62,6 @@ def stream_scores(spark, sf):
     return spark.read.parquet(out)
 
 
-# The streams must produce exactly what the batch operators produce.
-ORACLE["stream_rate_limit"] = ORACLE["rate_limit"]
+# The stream must decide exactly as the batch operator does.
 ORACLE["stream_cooldown"] = ORACLE["cooldown_accepts"]
 

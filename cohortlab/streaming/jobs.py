@@ -1,120 +1,113 @@
 """Structured Streaming forms of three rules.
 
-* ``stream_rate_limit``  W7 per (client, endpoint): fixed-window counter in
-                         per-key state, one decision per request
-* ``stream_cooldown``    W5 per client: last *accepted* time in per-key
-                         state, one decision per request
+* ``stream_rate_limit``  W7: requests, and allowed requests, of each (client,
+                         endpoint, window): a watermark and Spark's own
+                         tumbling-window count
+* ``stream_cooldown``    W5: one decision per request, in event-time order
 * ``stream_scores``      M19 stateless scoring of a stream with a fitted
                          PipelineModel
 
-Sources are file streams; sinks are parquet folders in the shared folder
-with their checkpoints next to them, so a restarted query resumes from its
-committed offsets and state (no driver-side memory sink). The stateful
-functions keep O(1) state per key; rows of one key inside one micro-batch
-are processed together, so the batch size (``maxFilesPerTrigger``) bounds
-that work. Within a batch rows are ordered by (ts, id); across batches the
-source is assumed to deliver in event-time order — the batch operators in
-``operators.access`` make no such assumption.
+Files may arrive in any order: a request may be up to the watermark delay
+older than the newest one seen. Windows are emitted, and requests decided, when
+the watermark has passed them; state goes when it can no longer matter. Sinks
+are parquet folders in the shared folder with their checkpoints next to them,
+so a restarted query resumes from its committed offsets and state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 
-def run_to_parquet(stream: DataFrame, name: str, timeout_s: int = 600) -> str:
+def run_to_parquet(stream: DataFrame, name: str) -> str:
     """Run a streaming DataFrame over all available input into a parquet
-    sink (append) and return the sink path."""
+    sink (append) and return the sink path. The checkpoint of a finished run
+    is dropped."""
     spark = stream.sparkSession
     out = scratch_path(spark, f"{name}_out")
     ckpt = scratch_path(spark, f"{name}_ckpt")
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    q.awaitTermination()
     if q.exception():
         raise q.exception()
+    drop_path(spark, ckpt)
     return out
 
 
-def request_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def request_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """File stream of requests; ``max_files`` bounds a micro-batch."""
+    r = spark.readStream.schema(schema)
+    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(path)
 
 
 # ------------------------------------------------------------------- W7
 
-def _rate_fn(width_us: int, limits: dict, default: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        client, endpoint = key
-        limit = limits.get(endpoint, default)
-        win, cnt = state.get if state.exists else (None, 0)
-        out = []
-        for pdf in pdfs:
-            out.append(pdf)
-        if not out:
-            return
-        df = pd.concat(out).sort_values(["t", "id"], kind="mergesort")
-        allowed = []
-        for t in df["t"].to_numpy():
-            w = (int(t) // width_us) * width_us
-            if win is None or w != win:
-                win, cnt = w, 0
-            cnt += 1
-            allowed.append(1 if cnt <= limit else 0)
-        state.update((int(win), int(cnt)))
-        yield pd.DataFrame({"id": df["id"].to_numpy(), "user_id": [client] * len(df),
-                            "endpoint": [endpoint] * len(df), "allowed": allowed})
-    return fn
-
-
-def stream_rate_limit(requests: DataFrame, width_us: int, limits: dict, default: int) -> DataFrame:
-    """Per-request allow flag, state = (window start, count) per key."""
-    s = requests.select("id", "user_id", "endpoint", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    return s.groupBy("user_id", "endpoint").applyInPandasWithState(
-        _rate_fn(width_us, limits, default),
-        outputStructType="id long, user_id long, endpoint string, allowed int",
-        stateStructType="win long, cnt long", outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout)
+def stream_rate_limit(requests: DataFrame, width: str, limits: dict, default: int, delay: str) -> DataFrame:
+    """(user_id, endpoint, window_start, requests, allowed): of each window of
+    ``width``, how many requests came and how many the limit lets pass. State
+    is one count per open window."""
+    limit = F.lit(default)
+    for endpoint, n in limits.items():
+        limit = F.when(F.col("endpoint") == endpoint, F.lit(n)).otherwise(limit)
+    g = (requests.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+         .groupBy("user_id", "endpoint", F.window("ts", width).alias("w")).agg(F.count("*").alias("requests")))
+    return g.select("user_id", "endpoint", F.col("w.start").alias("window_start"), "requests",
+                    F.least(F.col("requests"), limit).cast("long").alias("allowed"))
 
 
 # ------------------------------------------------------------------- W5
 
 def _cooldown_fn(gap_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (client,) = key
-        last = state.get[0] if state.exists else None
-        parts = list(pdfs)
-        if not parts:
-            return
-        df = pd.concat(parts).sort_values(["t", "id"], kind="mergesort")
-        acc = []
-        for t in df["t"].to_numpy():
-            t = int(t)
-            if last is None or t - last >= gap_us:
-                last = t
-                acc.append(1)
-            else:
-                acc.append(0)
-        state.update((int(last),))
-        yield pd.DataFrame({"id": df["id"].to_numpy(), "user_id": [client] * len(df), "accepted": acc})
+        last, times, ids = state.get if state.exists else (None, [], [])
+        t, i = [np.asarray(times, dtype=np.int64)], [np.asarray(ids, dtype=np.int64)]
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                t.append(pdf["t"].to_numpy(np.int64))
+                i.append(pdf["id"].to_numpy(np.int64))
+        t, i = np.concatenate(t), np.concatenate(i)
+        order = np.lexsort((i, t))
+        t, i = t[order], i[order]
+        passed = state.getCurrentWatermarkMs() * 1000
+        n = int(np.searchsorted(t, passed, side="right"))  # no older request can come
+        accepted = np.zeros(n, dtype=np.int32)
+        at = 0 if last is None else int(np.searchsorted(t[:n], last + gap_us))
+        while at < n:  # from one accepted request to the next
+            accepted[at] = 1
+            last = int(t[at])
+            at = max(at + 1, int(np.searchsorted(t[:n], last + gap_us)))
+        if n:
+            yield pd.DataFrame({"id": i[:n], "user_id": [key[0]] * n, "accepted": accepted})
+        if n < len(t):
+            state.update((last, t[n:].tolist(), i[n:].tolist()))
+            state.setTimeoutTimestamp(max(int(t[n]) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif last is not None and last + gap_us > passed:
+            state.update((last, [], []))
+            state.setTimeoutTimestamp((last + gap_us) // 1000 + 1)
+        elif state.exists:
+            state.remove()
     return fn
 
 
-def stream_cooldown(requests: DataFrame, gap_us: int) -> DataFrame:
-    """Per-request accept flag, state = last accepted time per client."""
-    s = requests.select("id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+def stream_cooldown(requests: DataFrame, gap_us: int, delay: str) -> DataFrame:
+    """Per-request accept flag. A client's state holds the last accepted time
+    and the requests that the watermark has not passed yet (no more than came
+    within ``delay``); it goes once the cool-down is over."""
+    s = (requests.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+         .select("id", "user_id", "ts", F.unix_micros("ts").alias("t")))
     return s.groupBy("user_id").applyInPandasWithState(
         _cooldown_fn(gap_us), outputStructType="id long, user_id long, accepted int",
-        stateStructType="last long", outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+        stateStructType="last long, times array<long>, ids array<long>", outputMode="append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 # ------------------------------------------------------------------- M19

@@ -92,8 +92,24 @@ def test_score_batch_shape(spark):
 
 def test_streams_equal_batch(spark):
     q = E.queries()
-    for s_key, b_key, col in [("stream_cooldown", "cooldown_accepts", "accepted"),
-                              ("stream_rate_limit", "rate_limit", "allowed")]:
-        a = {r["id"]: r[col] for r in q[s_key](spark, SF001).collect()}
-        b = {r["id"]: r[col] for r in q[b_key](spark, SF001).collect()}
-        assert a == b
+    a = {r["id"]: r["accepted"] for r in q["stream_cooldown"](spark, SF001).collect()}
+    b = {r["id"]: r["accepted"] for r in q["cooldown_accepts"](spark, SF001).collect()}
+    assert a == b
+    allowed = sum(r["allowed"] for r in q["stream_rate_limit"](spark, SF001).collect())
+    assert allowed == sum(r["allowed"] for r in q["rate_limit"](spark, SF001).collect())
+
+
+def test_stream_decides_in_event_time_order(spark, tmp_path):
+    """Two files, the later request in the first one."""
+    from datetime import datetime, timedelta
+
+    from cohortlab.streaming import jobs
+    t0 = datetime(2024, 1, 1)
+    schema = "id long, user_id long, endpoint string, ts timestamp"
+    for rows in ([(2, 1, "predict", t0 + timedelta(days=2))], [(1, 1, "predict", t0), (3, 1, "predict", t0 + timedelta(days=4))],
+                 [(0, None, None, t0 + timedelta(days=50))], [(0, None, None, t0 + timedelta(days=90))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = jobs.request_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, 1)
+    out = jobs.run_to_parquet(jobs.stream_cooldown(stream, 3 * 86_400_000_000, "10 days"), "order")
+    got = {r["id"]: r["accepted"] for r in spark.read.parquet(out).where("user_id is not null").collect()}
+    assert got == {1: 1, 2: 0, 3: 1}
