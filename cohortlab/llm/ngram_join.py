@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint_table, ids_and_texts, map_arrow, ranges, shuffle_width, split_keys
 from .components import components
-from .text_arrays import Polynomial, Words, lower_ascii, mix, texts
+from .text_arrays import Words, lower_ascii, mix, texts
 
 SHINGLE = 4
 PERCENT = 85

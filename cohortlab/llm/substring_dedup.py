@@ -24,7 +24,6 @@ document; an empty table gives an empty result; other columns play no part.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
