@@ -8,7 +8,7 @@ and on stand-in tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------- FIXED VALUES
 # Identifier and target names.
@@ -223,23 +223,12 @@ SCORING_ENDPOINT = "predict"
 
 # Lookup defaults.
 UNKNOWN = "Unknown"
-UNKNOWN_DOCTOR = "Unknown Doctor"
 NOT_AVAILABLE = "N/A"
 DEFAULT_ROLE = "user"
 
 # Model family names (metrics table).
-MODEL_NAMES = ["Logistic Regression", "Random Forest", "XGBoost", "Support Vector Machine"]
+MODEL_NAMES = ["Logistic Regression", "Random Forest", "Boosted Trees", "Linear SVM"]
 SEED = 42
 TEST_FRACTION = 0.2
 CV_FOLDS = 5
 # ------------------------------------------------------------ end FIXED VALUES
-
-
-@dataclass(frozen=True)
-class FeatureSets:
-    clinical: list = field(default_factory=lambda: list(CLINICAL_FEATURES))
-    general: list = field(default_factory=lambda: list(GENERAL_FEATURES))
-
-    @property
-    def combined(self) -> list:
-        return self.clinical + self.general

@@ -10,7 +10,6 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 
@@ -189,15 +188,6 @@ def json_number_array(items, decimals: int = 4) -> Column:
 
 
 # X24 ---------------------------------------------------------------------------
-def code_table(spark) -> DataFrame:
-    """(field, code, label) for every coded answer; a fixed ~45-row table."""
-    rows = [(f, int(code), label) for f, codes in C.CODED_FIELDS.items() for code, label in codes]
-    schema = T.StructType([T.StructField("field", T.StringType(), False),
-                           T.StructField("code", T.LongType(), False),
-                           T.StructField("label", T.StringType(), False)])
-    return spark.createDataFrame(rows, schema)
-
-
 def decode_answers(df: DataFrame, fields: list[str] | None = None, suffix: str = "_label") -> DataFrame:
     """Add a label column per coded field.
 

@@ -6,7 +6,7 @@ Four families, each a Spark ML estimator:
 * Random Forest         100 trees, sqrt feature subsets; Spark caps depth at 30
 * Gradient-boosted trees depth 6, step 0.3 (first-order boosting; no
                          second-order regularised loss, so scores differ)
-* SVM                   LinearSVC on the standardised inputs, probabilities by
+* Linear SVM            LinearSVC on the standardised inputs, probabilities by
                          Platt scaling (a one-input logistic regression on the
                          margin). ``svm_features > 0`` adds random Fourier
                          features (Rahimi & Recht) to approximate the RBF kernel;
@@ -21,21 +21,23 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from itertools import product
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import rules
 from ..operators import metrics as M
+from ..sources.tables import checkpoint_table
 from .preprocess import Preprocessor, fit_preprocessor, split_types
 
 LABEL = "label"
@@ -44,9 +46,10 @@ LABEL = "label"
 @dataclass
 class ModelSpec:
     name: str
-    gbt_rounds: int = 20
+    gbt_rounds: int = 100
     rf_trees: int = 100
     rf_depth: int = 30
+    rf_leaf: int = 1
     svm_features: int = 0   # > 0: random Fourier features (RBF approximation)
     seed: int = C.SEED
 
@@ -75,11 +78,30 @@ def _rff_stages(inputs: list[str], d_out: int, gamma: float, seed: int) -> list:
     return [sql, asm]
 
 
-def fit_model(spec: ModelSpec, train: DataFrame, pre: Preprocessor) -> PipelineModel:
+ROWS_PER_TASK = 20_000
+
+
+def held_for_fits(data: DataFrame) -> DataFrame:
+    """A training set kept in memory over many passes, in as many partitions as
+    its rows are worth: the iterations over a small one are all overhead."""
+    kept = data.persist()
+    n = max(1, -(-kept.count() // ROWS_PER_TASK))
+    if n >= kept.rdd.getNumPartitions():
+        return kept
+    fewer = data.coalesce(n).persist()
+    fewer.count()
+    kept.unpersist()
+    return fewer
+
+
+def fit_model(spec: ModelSpec, train: DataFrame, pre: Preprocessor, data: DataFrame | None = None) -> PipelineModel:
     """Fit preprocessor stages + one model family; returns one PipelineModel
-    whose output has ``prediction`` and ``probability``."""
+    whose output has ``prediction`` and ``probability``. ``data`` is the
+    training set after ``pre``, if the caller holds it for several models."""
     prem = pre.model()
-    data = prem.transform(train).persist()
+    own = data is None
+    if own:
+        data = held_for_fits(prem.transform(train))
     try:
         n = data.count()
         if spec.name == "Logistic Regression":
@@ -89,13 +111,14 @@ def fit_model(spec: ModelSpec, train: DataFrame, pre: Preprocessor) -> PipelineM
             # than the defaults at depth 30, same AUC).
             rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=spec.rf_trees,
                                         maxDepth=spec.rf_depth, featureSubsetStrategy="sqrt", seed=spec.seed,
-                                        maxBins=64, cacheNodeIds=True, maxMemoryInMB=1024)
+                                        minInstancesPerNode=spec.rf_leaf, maxBins=64, cacheNodeIds=True,
+                                        maxMemoryInMB=1024)
             stages = [rf.fit(data)]
-        elif spec.name == "XGBoost":
+        elif spec.name == "Boosted Trees":
             gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=spec.gbt_rounds, maxDepth=6,
                                 stepSize=0.3, seed=spec.seed, maxBins=64)
             stages = [gbt.fit(data)]
-        elif spec.name == "Support Vector Machine":
+        elif spec.name == "Linear SVM":
             if spec.svm_features > 0:
                 inputs = [n for n, _ in pre.expressions()]
                 # gamma='scale': 1 / (n_features * variance of all feature values)
@@ -117,7 +140,8 @@ def fit_model(spec: ModelSpec, train: DataFrame, pre: Preprocessor) -> PipelineM
         else:
             raise ValueError(spec.name)
     finally:
-        data.unpersist()
+        if own:
+            data.unpersist()
     return PipelineModel(stages=list(prem.stages) + stages)
 
 
@@ -144,76 +168,81 @@ def prepare(df: DataFrame, features: list[str], target: str = C.TARGET_COL) -> D
     return df.withColumn(LABEL, F.col(target).cast("double"))
 
 
-def train_and_evaluate(df: DataFrame, features: list[str], dataset: str, specs: list[ModelSpec],
-                       key: str = C.ID_COL, target: str = C.TARGET_COL) -> list[dict]:
-    """Stratified split, preprocessor fit once on the training rows,
-    every model fitted and scored on the test rows; one metrics row each."""
-    d = prepare(M.stratified_split(df, target, key, C.TEST_FRACTION, C.SEED), features, target).persist()
+def train_and_evaluate(df: DataFrame, feature_sets: dict[str, list[str]], specs: list[ModelSpec],
+                       key: str = C.ID_COL, target: str = C.TARGET_COL, workers: int = 4) -> DataFrame:
+    """One stratified split; per feature set a preprocessor fitted on the
+    training rows and one prepared training set for all its models, which are
+    fitted side by side. The test predictions of all models are written as one
+    table, so that one job gives all metrics and one all AUCs. Returns the
+    results table (U1/M15), metrics half-even to 4 places."""
+    d = prepare(M.stratified_split(df, target, key, C.TEST_FRACTION, C.SEED), [], target).persist()
+    held = [d]
     try:
-        train = d.where("is_test = 0")
-        test = d.where("is_test = 1")
-        num, cat = split_types(d, features, key)
-        pre = fit_preprocessor(train, num, cat)
-        rows = []
-        for spec in specs:
-            model = fit_model(spec, train, pre)
-            p = predict(model, test, [key, target]).persist()
-            bm = M.binary_metrics(p, target, "prediction").first()
-            au = M.auc(p, target, "prob", materialize=False).first()  # p is persisted
-            rows.append({"Model": spec.name, "Dataset": dataset, "Features_Count": len(num) + len(cat),
-                         "Accuracy": bm["accuracy"], "Precision": bm["precision"], "Recall": bm["recall"],
-                         "F1-Score": bm["f1"], "AUC-ROC": au["auc"]})
-            p.unpersist()
-        return rows
+        train, test = d.where("is_test = 0"), d.where("is_test = 1")
+        jobs, sizes = [], []
+        for dataset, features in feature_sets.items():
+            num, cat = split_types(d, features, key)
+            pre = fit_preprocessor(train, num, cat)
+            data = held_for_fits(pre.model().transform(train.select(key, target, LABEL, *num, *cat)))
+            held.append(data)
+            sizes.append((dataset, len(num) + len(cat)))
+            jobs += [(dataset, spec, pre, data) for spec in specs]
+        with ThreadPoolExecutor(workers) as pool:
+            models = list(pool.map(lambda j: fit_model(j[1], train, j[2], j[3]), jobs))
+        by = ["Model", "Dataset"]
+        scored = [predict(m, test, [key, target]).select(F.lit(spec.name).alias("Model"), F.lit(dataset).alias("Dataset"),
+                                                         target, "prediction", "prob")
+                  for m, (dataset, spec, _, _) in zip(models, jobs, strict=True)]
+        p = checkpoint_table(reduce(DataFrame.unionByName, scored), "test_predictions")
     finally:
-        d.unpersist()
-
-
-def results_frame(spark, rows: list[dict]) -> DataFrame:
-    """The results table, metrics rounded half-even to 4 places."""
-    schema = ("Model string, Dataset string, Features_Count int, Accuracy double, Precision double, "
-              "Recall double, `F1-Score` double, `AUC-ROC` double")
-    df = spark.createDataFrame([tuple(r[k] for k in ["Model", "Dataset", "Features_Count", "Accuracy",
-                                                    "Precision", "Recall", "F1-Score", "AUC-ROC"]) for r in rows],
-                               schema)
-    return df.select("Model", "Dataset", "Features_Count",
-                     *[F.bround(F.col(c), 4).alias(c) for c in ["Accuracy", "Precision", "Recall", "F1-Score",
-                                                                "AUC-ROC"]])
+        for x in held:
+            x.unpersist()
+    counts = df.sparkSession.createDataFrame(sizes, "Dataset string, Features_Count int")
+    rows = M.binary_metrics(p, target, "prediction", by).join(M.auc(p, target, "prob", by), by).join(F.broadcast(counts), "Dataset")
+    values = {"Accuracy": "accuracy", "Precision": "precision", "Recall": "recall", "F1-Score": "f1", "AUC-ROC": "auc"}
+    return rows.select("Model", "Dataset", "Features_Count", *[F.bround(F.col(v), 4).alias(k) for k, v in values.items()])
 
 
 def grid_search(df: DataFrame, features: list[str], trees=(100, 200), depths=(30, 10, 20), leaves=(1, 2),
-                key: str = C.ID_COL, target: str = C.TARGET_COL, parallelism: int = 4) -> tuple:
+                key: str = C.ID_COL, target: str = C.TARGET_COL, workers: int = 4) -> tuple:
     """Random-forest grid over trees x depth x min leaf size with
     stratified 5-fold CV (fold column from M8) on the training rows, best
-    refit on all training rows, exact held-out AUC. Preprocessing is fitted
-    once on the training rows (not per fold). Returns (cv table, test AUC)."""
-    d = prepare(M.stratified_split(df, target, key, C.TEST_FRACTION, C.SEED), features, target)
-    train = d.where("is_test = 0")
-    test = d.where("is_test = 1")
-    train = M.stratified_folds(train, target, key, C.CV_FOLDS, C.SEED).persist()
+    refit on all training rows, exact held-out AUC. Preprocessing is fitted in
+    each fold on its own training rows, and fold scores are exact AUCs.
+    Returns (cv table, test AUC, best model)."""
+    d = prepare(M.stratified_split(df, target, key, C.TEST_FRACTION, C.SEED), features, target).persist()
+    train, test = d.where("is_test = 0"), d.where("is_test = 1")
+    folds = M.stratified_folds(train, target, key, C.CV_FOLDS, C.SEED).persist()
+    num, cat = split_types(d, features, key)
+    grid = list(product(trees, depths, leaves))
+
+    def spec(setting) -> ModelSpec:
+        return ModelSpec("Random Forest", rf_trees=setting[0], rf_depth=setting[1], rf_leaf=setting[2])
+
+    scored = []
     try:
-        num, cat = split_types(d, features, key)
-        pre = fit_preprocessor(train, num, cat)
-        prem = pre.model()
-        tr = prem.transform(train)
-        rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL, featureSubsetStrategy="sqrt",
-                                    seed=C.SEED, maxBins=64, cacheNodeIds=True, maxMemoryInMB=1024)
-        grid = (ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths))
-                .addGrid(rf.minInstancesPerNode, list(leaves)).build())
-        ev = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
-        cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, foldCol="fold",
-                            numFolds=C.CV_FOLDS, parallelism=parallelism, seed=C.SEED)
-        cvm = cv.fit(tr)
-        best = PipelineModel(stages=list(prem.stages) + [cvm.bestModel])
-        p = predict(best, test, [key, target])
-        test_auc = M.auc(p, target, "prob").first()["auc"]
-        rows = [(pm[rf.numTrees], pm[rf.maxDepth], pm[rf.minInstancesPerNode], float(m))
-                for pm, m in zip(grid, cvm.avgMetrics)]
-        cvdf = df.sparkSession.createDataFrame(
-            rows, "num_trees int, max_depth int, min_instances_per_node int, mean_cv_auc double")
-        return cvdf, test_auc, best
+        for k in range(C.CV_FOLDS):
+            own, other = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
+            pre = fit_preprocessor(own, num, cat)
+            data = held_for_fits(pre.model().transform(own))
+            with ThreadPoolExecutor(workers) as pool:
+                models = list(pool.map(lambda g, o=own, p=pre, x=data: fit_model(spec(g), o, p, x), grid))
+            scored.append(checkpoint_table(reduce(DataFrame.unionByName, [
+                predict(m, other, [target]).select(F.lit(i).alias("setting"), F.lit(k).alias("fold"), target, "prob")
+                for i, m in enumerate(models)]), "fold_predictions"))
+            data.unpersist()
+        by = M.auc(reduce(DataFrame.unionByName, scored), target, "prob", ["setting", "fold"])
+        means = {r["setting"]: r["auc"] for r in by.groupBy("setting").agg(F.avg("auc").alias("auc")).collect()}
+        best = max(range(len(grid)), key=lambda i: (means[i], -i))
+        model = fit_model(spec(grid[best]), train, fit_preprocessor(train, num, cat))
+        test_auc = M.auc(predict(model, test, [target]), target, "prob").first()["auc"]
     finally:
-        train.unpersist()
+        folds.unpersist()
+        d.unpersist()
+    rows = [(*g, float(means[i])) for i, g in enumerate(grid)]
+    cv = df.sparkSession.createDataFrame(
+        rows, "num_trees int, max_depth int, min_instances_per_node int, mean_cv_auc double")
+    return cv, test_auc, model
 
 
 # ---------------------------------------------------------------- scoring

@@ -24,6 +24,7 @@ from ..operators.ordered import exact_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 MISSING = "missing"
+MOST_CATEGORIES = 10_000
 
 
 def split_types(df: DataFrame, features: list[str], id_col: str | None = None) -> tuple[list, list]:
@@ -73,12 +74,14 @@ def fit_moments(df: DataFrame, cols: list[str], medians: dict) -> dict:
 
 def fit_categories(df: DataFrame, cols: list[str]) -> dict:
     """M5 fit: sorted categories per column after constant imputation (M3).
-    The list size is the column's cardinality, which the one-hot output has
-    to carry anyway."""
+    The one-hot output has a column for each of them; a column with more than
+    ``MOST_CATEGORIES`` is no category and is refused."""
     out = {}
     for c in cols:
         vals = (df.select(F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("v")).distinct()
-                  .orderBy("v").collect())
+                  .orderBy("v").limit(MOST_CATEGORIES + 1).collect())
+        if len(vals) > MOST_CATEGORIES:
+            raise ValueError(f"column {c} has more than {MOST_CATEGORIES} categories")
         out[c] = [r["v"] for r in vals]
     return out
 

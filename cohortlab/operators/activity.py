@@ -11,7 +11,6 @@ all rows is reduced on every mapper first), and per-key orderings use
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -162,14 +161,6 @@ def resolve_role(ids: DataFrame, users: DataFrame, doctors: DataFrame, admins: D
 
 # ---------------------------------------------------------------- W1-W3, W10
 
-def latest_by(df: DataFrame, key: str, order: list[Column], value_cols: list[str]) -> DataFrame:
-    """Latest row per key by ``order`` (descending) as one ``max_by``."""
-    packed = F.struct(*[F.col(c) for c in value_cols])
-    ordering = F.struct(*order)
-    g = df.groupBy(key).agg(F.max_by(packed, ordering).alias("__v"))
-    return g.select(key, *[F.col(f"__v.{c}").alias(c) for c in value_cols])
-
-
 def subscription_status(ids: DataFrame, subs: DataFrame, plans: DataFrame, roles: DataFrame,
                         id_col: str = "id") -> DataFrame:
     """Per id, status and is_free of the latest non-cancelled
@@ -280,8 +271,3 @@ def series_json(records: DataFrame, chunk: int = 1000) -> DataFrame:
     return g.select("user_id", "chunk", scalars.json_string_array(F.col("pts.label")).alias("labels_json"),
                     scalars.json_number_array(F.col("pts.score"), 4).alias("scores_json"),
                     F.size("pts").alias("n_points"))
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    """Union of result rows by column name."""
-    return reduce(lambda a, b: a.unionByName(b), dfs)

@@ -97,11 +97,6 @@ def labelled_cohort(modules: dict, t: C.LabelThresholds = C.LabelThresholds(), *
     return rules.label(build_cohort(modules, **kw), C.TARGET_COL, t)
 
 
-def project(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Column subset (pruned down to the scan by Catalyst)."""
-    return df.select(*cols)
-
-
 def present_features(df: DataFrame, wanted: list[str]) -> list[str]:
     """Keep wanted features that exist, warn about the rest."""
     missing = [c for c in wanted if c not in df.columns]
@@ -142,11 +137,6 @@ def reindex(df: DataFrame, names: list[str], fill=0, keep: list[str] | None = No
     return df.select(*keep, *[F.col(c) if c in df.columns else F.lit(fill).alias(c) for c in names])
 
 
-def col_or(df: DataFrame, name: str, default):
-    """P5: column if present, else a literal default."""
-    return F.col(name) if name in df.columns else F.lit(default)
-
-
 def complete_cases(df: DataFrame, cols: list[str], name: str = "all_present") -> DataFrame:
     """Flag rows whose listed columns are all non-null."""
     return df.withColumn(name, F.when(rules.all_present(cols, df.columns), 1).otherwise(0))
