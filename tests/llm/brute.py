@@ -63,3 +63,51 @@ def covered(docs, size=50):
                 gone.update(range(k, k + size))
         out[i] = (len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))
     return out
+
+
+def holds_item(text, item, n=5):
+    """Whether a text holds an item: 80% of the item's word shingles together."""
+    def grams(t):
+        w = re.findall(r"[^\W_]+", (t or "").lower())
+        return w, {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+
+    w, want = grams(item)
+    held, have = grams(text)
+    if not want:
+        return False
+    step, size = 64, 128
+    for lo in range(0, max(1, len(held) - step), step):
+        part = held[lo:lo + size]
+        inside = {tuple(part[i:i + n]) for i in range(len(part) - n + 1)}
+        if len(want & inside) >= 0.8 * len(want):
+            return True
+    return False
+
+
+def mixed(rows, weights=(1, 2, 3), cap=3, seed=17):
+    """rows: (id, source, text) -> {id: (size, source size, target, taken)}"""
+    import hashlib
+    import math
+    size = {i: len(words(t)) for i, _, t in rows}
+    names = sorted({s for _, s, _ in rows}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(size[i] for i, x, _ in rows if x == s) for s in names}
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    capped = set()
+    while True:
+        open_ = [s for s in names if s not in capped]
+        left = sum(total.values()) - sum(cap * total[s] for s in capped)
+        share = sum(weight[s] for s in open_)
+        target = {s: cap * total[s] if s in capped else left * weight[s] / share for s in names}
+        over = {s for s in open_ if target[s] > cap * total[s]}
+        if not over:
+            break
+        capped |= over
+    out = {}
+    for s in names:
+        mine = sorted((hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i) for i, x, _ in rows if x == s)
+        budget, before = math.floor(target[s]), 0
+        whole, left = divmod(budget, total[s]) if total[s] else (0, 0)
+        for _, i in mine:
+            out[i] = (size[i], total[s], target[s], whole * size[i] + max(0, min(size[i], left - before)))
+            before += size[i]
+    return out
