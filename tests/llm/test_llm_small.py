@@ -447,3 +447,25 @@ def test_quality_counters_and_cascade(spark):
         m = [(x, 1.0, 1.0 - k / 100) for k, x in enumerate(order)]
         assert [x.name for x in quality_rules.order_rules(m)] == [x.name for x in order]
     assert quality_rules.cascade(quality_rules.counters(empty(spark)), rules).count() == 0
+
+
+def test_sketches_never_hide_a_link():
+    """Differing sketch bits are differing n-grams, whatever the sizes."""
+    import numpy as np
+    rng = np.random.default_rng(12)
+    pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool[: rng.integers(5, 3000)], size=rng.integers(1, 900))) for _ in range(40)]
+    sets.append(sets[0])
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    marks = ngram_join.sketches(np.concatenate(sets), at)
+    least = ngram_join.least_differences(marks, marks)
+    n = np.diff(at)
+    may = ngram_join.may_link(marks, marks, n, n, 85)
+    pruned = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            o = len(np.intersect1d(a, b))
+            assert least[i, j] <= len(a) + len(b) - 2 * o
+            assert may[i, j] or 100 * o < 85 * (len(a) + len(b) - o)
+            pruned += not may[i, j]
+    assert least[0, -1] == 0 and pruned > 1000
