@@ -19,6 +19,10 @@ pair x, y of members, |x & y| is at most min(|x & p|, |y & p|) plus
 min(|x - p|, |y - p|), both known from the pivot's answers; pairs whose bound
 does not reach the threshold are skipped and only the rest are counted. The
 members of a pivot are compared in blocks, several tasks sharing a large group.
+Before any text is shuffled for that, members are compared by sketches (parities
+of their n-grams over twice as many bits): the bits in which two sketches differ
+are n-grams that the sets differ in, so members that cannot link with any other
+of their group drop out.
 
 Documents with equal sets are one class (128-bit hash of the set), whose
 smallest id stands for it; a task enters a set once, so a large group of copies
@@ -116,6 +120,17 @@ def identities(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             _sums(mix(h ^ _U64(0xD1B54A32D192ED03)), at).view(np.int64))
 
 
+def sketches(h: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Per set, the parities of its n-grams over 2^k >= 2n bits."""
+    place = mix(h ^ _U64(0x8EBC6AF09C88C6E3))
+    out = []
+    for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        bits = 1 << max(6, (2 * (e - s) - 1).bit_length())
+        odd = np.bincount((place[s:e] & _U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out.append(np.packbits(odd.astype(np.uint8)).tobytes())
+    return out
+
+
 def _nodes(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -123,8 +138,8 @@ def _nodes(size: int):
                 h, at = shingle_sets(data, offsets, size)
                 k1, k2 = identities(h, at)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id")[lo:hi], pa.array(np.diff(at).astype(np.int64)), pa.array(k1), pa.array(k2)],
-                    ["doc_id", "n", "k1", "k2"])
+                    [b.column("doc_id")[lo:hi], pa.array(np.diff(at).astype(np.int64)), pa.array(k1), pa.array(k2),
+                     pa.array(sketches(h, at), pa.binary())], ["doc_id", "n", "k1", "k2", "sketch"])
     return run
 
 
@@ -194,6 +209,66 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["p", "x"])
 
 
+def least_differences(rows: list[bytes], cols: list[bytes]) -> np.ndarray:
+    """For all pairs, how many n-grams two sets differ in at least: n-grams that
+    both have leave the same parities. Sketches are folded to the shortest."""
+    size = min(map(len, rows + cols))
+    sides = [np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, size), axis=0) for x in side])
+             for side in (rows, cols)]
+    out = np.zeros((len(rows), len(cols)), dtype=np.float32)
+    for lo in range(0, size, CELLS // 8):
+        a, b = (np.unpackbits(x[:, lo:lo + CELLS // 8], axis=1).astype(np.float32) for x in sides)
+        out += a.sum(axis=1)[:, None] + b.sum(axis=1)[None, :] - 2 * (a @ b.T)
+    return out.astype(np.int64)
+
+
+def may_link(rows: list[bytes], cols: list[bytes], n_rows: np.ndarray, n_cols: np.ndarray, percent: int) -> np.ndarray:
+    both = np.add.outer(n_rows, n_cols)
+    most = np.minimum((both - least_differences(rows, cols)) // 2, np.minimum.outer(n_rows, n_cols))
+    return 100 * most >= percent * (both - most)
+
+
+def _hopeful(percent: int):
+    """Rows sorted by (p, i, j), each a member's sketch, to the members (p, x)
+    that may link with the pivot or with another member."""
+    def members(key, rows) -> list[int]:
+        p, i, j = key
+        main = next(r for r in rows if r[0] == p)
+        rest = [r for r in rows if r[0] != p]
+        if not rest:
+            return []
+        n = np.array([r[2] for r in rest])
+        marks = [r[3] for r in rest]
+        side = np.array([r[1] for r in rest])
+        keep = may_link(marks, [main[3]], n, np.array([main[2]]), percent)[:, 0]
+        out = np.flatnonzero(~keep)
+        for lo in range(0, len(out), BLOCK):
+            r = out[lo:lo + BLOCK]
+            hit = may_link([marks[k] for k in r], marks, n[r], n, percent)
+            hit &= (side[r][:, None] != side[None, :]) if i != j else (r[:, None] != np.arange(len(rest))[None, :])
+            keep[r] |= hit.any(axis=1)
+            keep |= hit.any(axis=0)
+        return [rest[k][0] for k in np.flatnonzero(keep)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def found() -> pa.RecordBatch:
+            x = members(key, rows)
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(x), pa.int64()), pa.array(x, pa.int64())], ["p", "x"])
+
+        for b in batches:
+            for p, i, j, *row in zip(*[b.column(k).to_pylist() for k in ("p", "i", "j", "x", "side", "n", "sketch")], strict=True):
+                if (p, i, j) != key:
+                    if key is not None:
+                        yield found()
+                    key, rows = (p, i, j), []
+                rows.append(row)
+        if key is not None:
+            yield found()
+    return run
+
+
 def overlap_matrix(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets of ``a`` with all of ``b``."""
     out = np.zeros((len(a), len(b)), dtype=np.float32)
@@ -297,8 +372,9 @@ def _compare(size: int, percent: int):
     return run
 
 
-def links_of(stars: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) among the members of each pivot.
+def dealt(stars: DataFrame, held: DataFrame) -> DataFrame:
+    """The members of each pivot with what ``held`` (doc_id, ...) has of them,
+    in tasks (p, i, j).
 
     A pivot's members are dealt by hash into blocks of about ``BLOCK``; a task
     compares two blocks (or one with itself), and has the pivot in both cases.
@@ -307,7 +383,7 @@ def links_of(stars: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     members = stars.join(counts, "p").select(
         "p", "x", "blocks", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int").alias("block"))
     pivots = counts.select("p", F.col("p").alias("x"), "blocks", F.lit(-1).alias("block"))
-    held = members.union(pivots).join(docs.select(F.col("doc_id").alias("x"), "text"), "x")
+    rows = members.union(pivots).join(held.withColumnRenamed("doc_id", "x"), "x")
     c = F.col
     all_ = F.sequence(F.lit(0), c("blocks") - 1)
     own = F.transform(all_, lambda k: F.struct(
@@ -315,18 +391,18 @@ def links_of(stars: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
         F.when(k < c("block"), 1).otherwise(0).alias("side")))
     every = F.flatten(F.transform(all_, lambda i: F.transform(F.sequence(i, c("blocks") - 1), lambda j: F.struct(
         i.alias("i"), j.alias("j"), F.lit(0).alias("side")))))
-    dealt = held.select("p", "x", "text", F.explode(F.when(c("block") < 0, every).otherwise(own)).alias("t")) \
-        .select("p", "t.i", "t.j", "t.side", "x", "text")
-    width = shuffle_width(stars.sparkSession)
-    return map_arrow(dealt.repartition(width, "p", "i", "j").sortWithinPartitions("p", "i", "j"),
-                     _compare(size, percent), "a long, b long")
+    more = [k for k in held.columns if k != "doc_id"]
+    out = rows.select("p", "x", *more, F.explode(F.when(c("block") < 0, every).otherwise(own)).alias("t")) \
+        .select("p", "t.i", "t.j", "t.side", "x", *more)
+    return out.repartition(shuffle_width(stars.sparkSession), "p", "i", "j").sortWithinPartitions("p", "i", "j")
 
 
 def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
                     id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``df``."""
     docs = ids_and_texts(df, id_col, text)
-    nodes = checkpoint_table(map_arrow(docs, _nodes(size), "doc_id long, n long, k1 long, k2 long"), "shingle_sets")
+    nodes = checkpoint_table(map_arrow(docs, _nodes(size), "doc_id long, n long, k1 long, k2 long, sketch binary"),
+                             "shingle_sets")
     firsts = nodes.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
     reps = checkpoint_table(nodes.join(firsts, ["k1", "k2", "n"], "left").select("doc_id", "n", "rep"), "set_classes")
 
@@ -341,7 +417,10 @@ def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
              .join(rep_of.select(F.col("doc_id").alias("x"), F.col("rep").alias("rx")), "x")
              .select(F.col("rp").alias("p"), F.col("rx").alias("x")).where("p <> x").distinct())
     stars = checkpoint_table(stars, "stars")
-    links = links_of(stars, known, size, percent)
+    marks = nodes.where("n > 0 and doc_id is not null").select("doc_id", "n", "sketch")
+    hopeful = checkpoint_table(
+        map_arrow(dealt(stars, marks), _hopeful(percent), "p long, x long").distinct(), "hopeful")
+    links = map_arrow(dealt(hopeful, known), _compare(size, percent), "a long, b long")
     comp = components(links)
     return (reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
             .select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
