@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import checkpoint_table, hash_sample, map_arrow
 from .html_blocks import blocks
 
 PATH, WORDS, STATS = 256, 48, 10
 WIDTH = PATH + WORDS + STATS
 HIDDEN = 24
 SAMPLE_PAGES = 100
+VOCABULARY = 5000
 TRAINING_PAGES = 1500
 TOGETHER = 64
 STEPS = 4096
@@ -322,13 +323,22 @@ def layouts(vocabulary: list[str], pages: int = TRAINING_PAGES, seed: int = 11)
     return xs, ys
 
 
-def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES) -> Labeller:
-    """A network for these pages: their words, generated layouts."""
-    first = pages.where(F.col(html).isNotNull()).select(F.xxhash64(html).alias("h"), F.substring(html, 1, 20000).alias("t"))
-    rows = first.orderBy("h", "t").limit(sample_pages).collect()
-    seen = sorted({w for r in rows for _, text, _ in blocks(r["t"]) for w in text.split() if len(w) < 30})
-    words = [w.replace("&", "and").replace("<", "").replace("\1", "") for w in seen]
-    return fit(*layouts([w for w in words if w] or ["word", "text", "line", "page"]))
+def _page_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for page in b.column("t"):
+            words = {w for _, text, _ in blocks(page.as_py()) for w in text.split() if len(w) < 30}
+            plain = {w.replace("&", "and").replace("<", "").replace("\1", "") for w in words}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(plain - {""}), pa.string())], ["word"])
+
+
+def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES, vocabulary: int = VOCABULARY) -> Labeller:
+    """A network for these pages: generated layouts, filled with at most
+    ``vocabulary`` words of ``sample_pages`` pages."""
+    known = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("t"))
+    sample = checkpoint_table(hash_sample(known, ["t"], sample_pages), "sample_pages")
+    words = checkpoint_table(map_arrow(sample, _page_words, "word string").distinct(), "page_words")
+    chosen = sorted(r["word"] for r in hash_sample(words, ["word"], vocabulary).collect())
+    return fit(*layouts(chosen or ["word", "text", "line", "page"]))
 
 
 # ------------------------------------------------------------------ extraction

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, text_of
+from .common import hash_sample, map_arrow, text_of
 from .text_arrays import Words, texts
 
 BUCKETS = 1 << 14
@@ -169,9 +169,9 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Fit on the labelled documents outside the held-out fold."""
-    chosen = (labels.where(F.col("quality").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
-              .select("doc_id", F.col("quality").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows))
+    known = (labels.where(F.col("quality").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
+             .select("doc_id", F.col("quality").alias("label")))
+    chosen = hash_sample(known, ["doc_id", "label"], sample_rows)
     rows = docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(chosen), "doc_id")
     got = map_arrow(rows, _features_of, "doc_id long, label int, stats array<double>, buckets array<int>").toPandas()
     if not len(got):
