@@ -398,8 +398,9 @@ def dealt(stars: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
-                    id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for every row of ``df``."""
+                    id_col: str = "doc_id", text: str = "text", sketch: bool = False) -> DataFrame:
+    """(id, n_shingles, component_id) for every row of ``df``. ``sketch`` drops
+    members by their sketches first, which pays at low thresholds."""
     docs = ids_and_texts(df, id_col, text)
     nodes = checkpoint_table(map_arrow(docs, _nodes(size), "doc_id long, n long, k1 long, k2 long, sketch binary"),
                              "shingle_sets")
@@ -418,8 +419,8 @@ def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
              .select(F.col("rp").alias("p"), F.col("rx").alias("x")).where("p <> x").distinct())
     stars = checkpoint_table(stars, "stars")
     marks = nodes.where("n > 0 and doc_id is not null").select("doc_id", "n", "sketch")
-    hopeful = checkpoint_table(
-        map_arrow(dealt(stars, marks), _hopeful(percent), "p long, x long").distinct(), "hopeful")
+    hopeful = checkpoint_table(map_arrow(dealt(stars, marks), _hopeful(percent), "p long, x long").distinct(),
+                               "hopeful") if sketch else stars
     links = map_arrow(dealt(hopeful, known), _compare(size, percent), "a long, b long")
     comp = components(links)
     return (reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
