@@ -65,8 +65,9 @@ class Classes:
         low = 1
         while low <= most:
             high = max(low, math.floor(low * max(RATIO, 100 / percent)))
-            # |x| + |y| - 2|x & y| with |x & y| >= p/(100 + p) (|x| + |y|) and both sizes at most high
-            differ = 2 * high - 2 * -(-percent * 2 * high // (100 + percent))
+            # |x| + |y| - 2|x & y| with |x & y| >= p/(100 + p) (|x| + |y|) and both sizes at most high;
+            # it never falls from one total to the next but one, so the largest even and odd totals bound it
+            differ = max(both - 2 * -(-percent * both // (100 + percent)) for both in (2 * high - 1, 2 * high))
             spare = 1 + differ // 50
             self.lows.append(low)
             self.highs.append(high)

@@ -356,6 +356,28 @@ def test_index_positions_hold_every_link():
                 assert keys[0].keys() & keys[1].keys(), (n, extra, lost)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sizes_always_leave_a_shared_list(percent):
+    """Every pair of sizes at its least overlap: in a class that both enter, more
+    positions are equal than may stay unentered when they are all empty."""
+    import numpy as np
+    classes = ngram_join.Classes(percent, 4000)
+    n = np.arange(1, 400)
+    own = classes.of(n)
+    more = classes.also_next(n, own)
+    entered = [{int(c)} | ({int(c) + 1} if m else set()) for c, m in zip(own, more, strict=True)]
+    open_ = []
+    for a in n.tolist():
+        for b in range(a, 400):
+            shared = -(-percent * (a + b) // (100 + percent))
+            if shared > a:
+                break
+            differ = a + b - 2 * shared
+            if not any(classes.parts[c] - differ > classes.spare[c] for c in entered[a - 1] & entered[b - 1]):
+                open_.append((a, b, shared))
+    assert not open_
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
