@@ -10,6 +10,7 @@ import brute
 import pytest
 from cohortlab.llm import (
     decontaminate,
+    html_blocks,
     html_lstm,
     language_hd,
     mixing,
@@ -240,6 +241,33 @@ def test_main_text(spark):
     assert {r.text for r in got if r.page_id in (2, 3)} == {""}
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<html><head><title>t</title><meta charset=x><body><p>one<p>two</body>", ["one", "two"]),
+    ("<head><title>t</title><p>one</p><div>two</div>", ["one", "two"]),
+    ("<head><title>t</title>junk</head><p>one</p>", ["one"]),
+    ("<p>a <svg viewBox='0 0 1 1' /> b</p><p>c</p><svg><path d=x></svg><p>d</p>", ["a b", "c", "d"]),
+    ("<svg><title/><style/><g><path/></g></svg><p>one</p>", ["one"]),
+    ("<svg><title>icon</svg><p>one</p>", ["one"]),
+    ("<a href=x><svg><path></a><p>one</p><svg></svg><p>two</p>", ["one", "two"]),
+    ("<svg><foreignObject><div>no</div></foreignObject></svg><p>one</p>", ["one"]),
+    ("<button-bar>one</button-bar><template-card><p>two</p></template-card>", ["one", "two"]),
+    ("<button>Menu<p>one</p><button>Share</button><p>two</p>", ["one", "two"]),
+    ("<div><button>Menu</div><p>one</p>", ["one"]),
+    ("<button><div>no</div></button><p>one</p>", ["one"]),
+    ("<select><option>x<option>y<p>one</p>", ["one"]),
+    ("<object data=x><p>one</p>", ["one"]),
+    ("<object><object>no</object>no</object><p>one</p>", ["one"]),
+    ("<noscript>no<div>one</div>", ["one"]),
+    ("<div><noscript></div>no</noscript><p>one</p></div>", ["one"]),
+    ("<template><p>no</p></template><template>no<p>one</p>", ["one"]),
+    ("<iframe src=x><p>one</p><iframe src=y></iframe><p>two</p>", ["one", "two"]),
+    ("<p>one</p><script>var x = '<p>no</p>'", ["one"]),
+    ("<p>one</p><script>no</script x><p>two</p><textarea><p>no</p>", ["one", "two"]),
+])
+def test_blocks_after_unclosed_elements(page, want):
+    assert [text for _, text, _ in html_blocks.blocks(page)] == want
+
+
 def test_lstm_gradients():
     import numpy as np
     xs, ys = html_lstm.layouts(WORDS[:50], 3, seed=5)
