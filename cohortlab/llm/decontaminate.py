@@ -9,8 +9,10 @@ over each block. As in WAND, the sum of a passage's largest impacts bounds its
 score: passages, then blocks, whose bound misses the threshold are skipped, and
 only items of the blocks left are scored. All items above the threshold are
 retrieved and verified: of the item's five-word shingles at least 80% must lie
-in the passage, and of its question's and its answer's at least half each. The
-answer is the item's last sentence, the question what stands before it (an item
+in the passage, and of its question's and its answer's at least half each. As one
+changed word removes five shingles, an item of 5 to ``LENGTHS`` words that fails
+so is verified by its words instead, with the same shares: those that a stretch
+of about its length has in the same order. The answer is the item's last sentence, the question what stands before it (an item
 of one sentence is both).
 
 Items are grouped by length; a group's passages have twice its longest length
@@ -19,7 +21,7 @@ any size is searched in shards of bounded rows and bytes, one pass each.
 
 Words are lower-cased; characters other than letters, digits and those beyond
 ASCII separate them. Defined results: null and empty texts match nothing; items
-of fewer than five words have no shingle and match nothing; repeated documents
+of fewer than five words match as one exact sequence; repeated documents
 or items match alike; an empty table gives no hits; other columns play no part.
 """
 
@@ -72,10 +74,11 @@ class Part:
     than five words is one shingle of its own length."""
     hashes: np.ndarray
     size: int
+    words: np.ndarray
 
     @staticmethod
     def of(words: np.ndarray) -> Part:
-        return Part(shingles(words), min(SHINGLE, len(words)))
+        return Part(shingles(words), min(SHINGLE, len(words)), words)
 
 
 @dataclass
@@ -92,7 +95,7 @@ class Group:
 
 
 def build(items: list[str]) -> tuple[list[Group], list[tuple[Part, ...]]]:
-    """(indexes by length, shingles of the whole, question and answer of each item)"""
+    """(indexes by length, parts of each item: the whole, question and answer)"""
     words = [item_words(t) for t in items]
     parts = []
     for t, w in zip(items, words, strict=True):
@@ -101,7 +104,7 @@ def build(items: list[str]) -> tuple[list[Group], list[tuple[Part, ...]]]:
         answer = item_words(sentences[-1]) if len(sentences) > 1 else w
         parts.append((Part.of(w), Part.of(question), Part.of(answer)))
     held = [np.unique(w, return_counts=True) for w in words]
-    usable = [i for i, w in enumerate(words) if len(w) >= SHINGLE]
+    usable = [i for i, w in enumerate(words) if len(w)]
     if not usable:
         return [], parts
     frequency: dict[int, int] = {}
@@ -177,7 +180,9 @@ def search(w: Words, groups: list[Group], parts: list, threshold: float = THRESH
                 end = min(int(first[p]) + g.passage, int(w.first[d + 1]))
                 mine = w.hashes[0][first[p]:end]
                 held = [_overlap(x, mine) for x in parts[i]]
-                if held[0] >= ITEM_OVERLAP and min(held[1:]) >= PART_OVERLAP:
+                if not _verified(held):
+                    held = _in_order(parts[i], mine)
+                if _verified(held):
                     hit = (d, i, float(scores[k]), *held)
                     best[d, i] = max(best.get((d, i), hit), hit, key=lambda x: x[2:])
     return [best[k] for k in sorted(best)]
@@ -187,6 +192,39 @@ def _overlap(part: Part, words: np.ndarray) -> float:
     return float(np.isin(part.hashes, shingles(words, part.size)).mean())
 
 
+def _verified(held: list[float]) -> bool:
+    return held[0] >= ITEM_OVERLAP and min(held[1:]) >= PART_OVERLAP
+
+
+def in_order(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def _in_order(item: tuple[Part, ...], words: np.ndarray) -> list[float]:
+    """Of the item, its question and its answer the share of words that the best
+    stretch of ``words``, a quarter longer than the item, has in order; zeros for
+    an item that is not verified by words."""
+    n = len(item[0].words)
+    best = [0.0] * len(item)
+    if not SHINGLE <= n <= LENGTHS:
+        return best
+    known = np.isin(words, item[0].words)
+    width = n + n // 4
+    for s in np.flatnonzero(known).tolist():  # a stretch begins with a word of the item
+        if known[s:s + width].sum() < ITEM_OVERLAP * n:
+            continue
+        stretch = words[s:s + width].tolist()
+        share = [in_order(p.words.tolist(), stretch) / len(p.words) for p in item]
+        best = max(best, share, key=lambda x: (_verified(x), x))
+    return best
+
+
 def _searched(batch: pa.RecordBatch, groups, parts) -> Iterator[tuple[int, int, list[tuple]]]:
     low = pa.RecordBatch.from_arrays([pc.utf8_lower(batch.column("__text"))], ["text"])
     for lo, hi, data, offsets in texts(low, "text", PIECE // 2):

@@ -463,6 +463,27 @@ def test_benchmark_hits(spark):
     assert decontaminate.hits(df, bench.limit(0)).count() == 0 and decontaminate.hits(empty(spark), bench).count() == 0
 
 
+def test_benchmark_edited_copies(spark):
+    """Items of 10 to 30 words with one word changed, dropped or added in the
+    middle; short ones as exact sequences; no hit of a shuffled copy or of half."""
+    rng = random.Random(9)
+    items, rows, want = [], [], set()
+    for i, n in enumerate(range(10, 31)):
+        w = rng.sample(WORDS, n)
+        items.append((i, " ".join(w)))
+        k = n // 2
+        for e, edit in enumerate((["changed"], [], [w[k], "added"])):
+            rows.append((3 * i + e, f"{prose(rng, 70)} {' '.join(w[:k] + edit + w[k + 1:])} {prose(rng, 90)}"))
+            want.add((3 * i + e, i))
+        rows.append((1000 + i, " ".join(rng.sample(w, n))))
+        rows.append((2000 + i, f"{prose(rng, 40)} {' '.join(w[:k])} {prose(rng, 40)}"))
+    items.append((100, "Two words"))
+    rows += [(3000, "here two words stand"), (3001, "words two"), (3002, "two other words")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.hits(frame(spark, rows), bench).collect()}
+    assert got == want | {(3000, 100)}
+
+
 def test_benchmark_shards_agree(spark):
     rng = random.Random(10)
     items = spark.createDataFrame([(i, prose(rng, 20)) for i in range(30)], "item_id long, text string")
