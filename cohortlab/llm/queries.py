@@ -6,9 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_lstm, language_hd, mixing, quality_fm, quality_rules, secrets, substring_dedup, warc
+from . import (
+    decontaminate,
+    filter_audit,
+    html_lstm,
+    language_hd,
+    mixing,
+    period_runs,
+    quality_fm,
+    quality_rules,
+    secrets,
+    substring_dedup,
+    warc,
+)
 from . import ngram_join as ngram_join_op
-from .common import read_table
+from .common import read_table, text_of
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -232,3 +244,51 @@ FROM f""")
 def warc_round_trip(spark, sf_dir):
     """Every page written to WARC, normalised and read back."""
     return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
+
+
+# ---------------------------------------------------------------- filter interaction audit
+
+@query("op12_filter_audit", f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS_SQL} AS ws FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, unnest(range(1, 6)) AS step, bits FROM o),
+t AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before FROM s),
+r AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, t GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r""")
+def filters_in_every_order(spark, sf_dir):
+    """Five filters over all documents, in all 120 orders, per language."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, read_table(spark, sf_dir, "labels"))
+
+
+# ---------------------------------------------------------------- periodic runs
+
+@query("op13_periodic_runs")
+def word_runs(spark, sf_dir):
+    """Runs of every document, a tenth of them made periodic by their id's hash."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = docs.select("doc_id", period_runs.with_period(text_of("text"), F.col("doc_id")).alias("text"))
+    return period_runs.report(period_runs.periodic_runs(planted))

@@ -111,3 +111,66 @@ def mixed(rows, weights=(1, 2, 3), cap=3, seed=17):
             out[i] = (size[i], total[s], target[s], whole * size[i] + max(0, min(size[i], left - before)))
             before += size[i]
     return out
+
+
+def runs(w, exponent=4, least=6):
+    """Runs (start, length, period) of a word list, by start and period."""
+    found = {}
+    for q in range(1, len(w) // exponent + 1):
+        i = 0
+        while i + q < len(w):
+            s = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i > s and i + q - s >= max(least, exponent * q):
+                found.setdefault((s, i + q - s), q)
+            i += i == s
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def run_report(doc_id, text):
+    """The runs query's row for one document, its text made periodic as the query does."""
+    import hashlib
+    import zlib
+    w = words(text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and w:
+        g, n = h // 10, len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    found = runs(w)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+    left = " ".join(x for i, x in enumerate(w) if i not in gone)
+    return (doc_id, len(found), *(best or (None, None, None)), best and 1000 * best[1] // best[2],
+            hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(left.encode()).hexdigest())
+
+
+def filter_audit(docs, labels):
+    """docs: (id, text, part), labels: id -> (good, toxic); the audit's rows, by plain filtering."""
+    from itertools import permutations
+    rows = []
+    for i, text, part in docs:
+        t = text or ""
+        w = words(t)
+        fails = "".join(k for k, bad in (
+            ("A", len(w) < 100), ("B", 100 * len(set(w)) < 80 * len(w)),
+            ("C", 100 * len(re.findall("[A-Z]", t)) > 10 * len(t)), ("D", re.search("[#$%&*|]", t)),
+            ("E", i is not None and any(j is not None and j < i and (u or "") == t for j, u, _ in docs))) if bad)
+        rows.append((part or "", fails, *labels.get(i, (0, 0))))
+    out = []
+    for part in {r[0] for r in rows}:
+        mine, shapley, found = [r for r in rows if r[0] == part], dict.fromkeys("ABCDE", 0), []
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                shapley[f] += len(gone)
+                found.append((f, part, "".join(order), step, len(left), len(gone),
+                              sum(f in r[1] for r in mine) - len(gone), sum(r[1] == f for r in mine),
+                              sum(r[2] for r in gone), sum(r[3] for r in gone)))
+        out += [(*r[1:], shapley[r[0]]) for r in found]
+    return sorted(out)
