@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from . import (
+    chosen_path,
     decontaminate,
     filter_audit,
     html_lstm,
@@ -292,3 +293,32 @@ def word_runs(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     planted = docs.select("doc_id", period_runs.with_period(text_of("text"), F.col("doc_id")).alias("text"))
     return period_runs.report(period_runs.periodic_runs(planted))
+
+
+# ---------------------------------------------------------------- chosen-path near duplicates
+
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+@query("op11_chosen_path", f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL} AS ws
+  FROM (SELECT doc_id, translate(text, '{_LETTERS}', '{_LETTERS.lower()}') AS text FROM documents)),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+    ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS (SELECT g, count(*) AS f FROM s GROUP BY g),
+-- two linked sets share one of the rarest n - ceil(0.8 n) + 1 shingles of each
+rare AS (SELECT doc_id, g FROM s JOIN n USING (doc_id) JOIN f USING (g)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY f, g) <= n - (80 * n + 99) // 100 + 1),
+cand AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM rare x JOIN rare y ON x.g = y.g AND x.doc_id < y.doc_id
+  JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id WHERE 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)),
+both AS (SELECT a, b, count(*) AS o FROM cand JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g GROUP BY a, b),
+link AS (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o >= 80 * (p.n + q.n - o)),
+reach AS (SELECT a AS x, b AS y FROM link UNION SELECT b, a FROM link
+  UNION SELECT r.x, l.y FROM reach r JOIN (SELECT a AS x, b AS y FROM link UNION ALL SELECT b, a FROM link) l ON r.y = l.x),
+low AS (SELECT x, least(x, min(y)) AS c FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, w.doc_id) AS component_id, coalesce(c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.x = w.doc_id""")
+def chosen_path_duplicates(spark, sf_dir):
+    """Components of documents whose 2-word shingle sets are 80% alike."""
+    return chosen_path.link_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
