@@ -65,6 +65,20 @@ def load_modules(spark, sf_dir):
     return out
 
 
+@query("xport_modules", O.with_cohort("SELECT * FROM cohort"))
+def xport_modules(spark, sf_dir):
+    """Every module written as SAS transport files, loaded from them and
+    joined; numbers come back as doubles and are cast to the modules' types."""
+    folder, mods, types = scratch_path(spark, "xport"), {}, {}
+    xport.register(spark)
+    for name, df in standins.survey_modules(spark, sf_dir).items():
+        df.write.format("xport").mode("append").option("textWidth", 16).option("member", name).save(f"{folder}/{name}")
+        mods[name] = load_module(spark, f"{folder}/{name}", "xport")
+        types |= {f.name: f.dataType for f in df.schema.fields}
+    out = co.build_cohort(mods)
+    return out.select(*[F.col(c).cast(types[c]).alias(c) for c in out.columns])
+
+
 CLIN_COLS = [C.ID_COL, C.TARGET_COL, *C.CLINICAL_FEATURES]
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import drop_path, scratch_path
+from . import xport
 
 log = logging.getLogger(__name__)
 
@@ -92,6 +93,13 @@ def load_module(spark: SparkSession, path: str, fmt: str = "parquet",
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
+    if fmt == "xport":
+        try:
+            xport.check_file(path)
+        except (FileNotFoundError, xport.XportError) as e:
+            log.warning("module %s not found or unreadable: %s", path, e)
+            return None
+        xport.register(spark)
     try:
         if fmt == "csv":
             df = reader.option("header", header).option("inferSchema", schema is None).csv(path)
