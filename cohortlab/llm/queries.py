@@ -312,8 +312,8 @@ rare AS (SELECT doc_id, g FROM s JOIN n USING (doc_id) JOIN f USING (g)
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY f, g) <= n - (80 * n + 99) // 100 + 1),
 cand AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM rare x JOIN rare y ON x.g = y.g AND x.doc_id < y.doc_id
   JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id WHERE 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)),
-both AS (SELECT a, b, count(*) AS o FROM cand JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g GROUP BY a, b),
-link AS (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o >= 80 * (p.n + q.n - o)),
+shared AS (SELECT a, b, count(*) AS o FROM cand JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g GROUP BY a, b),
+link AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o >= 80 * (p.n + q.n - o)),
 reach AS (SELECT a AS x, b AS y FROM link UNION SELECT b, a FROM link
   UNION SELECT r.x, l.y FROM reach r JOIN (SELECT a AS x, b AS y FROM link UNION ALL SELECT b, a FROM link) l ON r.y = l.x),
 low AS (SELECT x, least(x, min(y)) AS c FROM reach GROUP BY x)
