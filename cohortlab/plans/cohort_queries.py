@@ -13,8 +13,8 @@ from ..functions import rules, scalars
 from ..operators import cohort as co
 from ..operators import profile as pr
 from ..session import scratch_path
-from ..sources import standins
-from ..sources.tables import file_listing, read_csv, table_path, write_table
+from ..sources import standins, xport
+from ..sources.tables import file_listing, load_module, read_csv, table_path, write_table
 from . import oracle as O
 from .registry import query
 
