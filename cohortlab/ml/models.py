@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import rules
 from ..operators import metrics as M
-from ..sources.tables import checkpoint_table
+from ..session import drop_path
+from ..sources.tables import checkpoint_table, written_table
+from .forest import Setting, cut_back_scores, load_forest
 from .preprocess import Preprocessor, fit_preprocessor, split_types
 
 LABEL = "label"
@@ -203,46 +205,71 @@ def train_and_evaluate(df: DataFrame, feature_sets: dict[str, list[str]], specs:
     return rows.select("Model", "Dataset", "Features_Count", *[F.bround(F.col(v), 4).alias(k) for k, v in values.items()])
 
 
-def grid_search(df: DataFrame, features: list[str], trees=(100, 200), depths=(30, 10, 20), leaves=(1, 2),
-                key: str = C.ID_COL, target: str = C.TARGET_COL, workers: int = 4) -> tuple:
-    """Random-forest grid over trees x depth x min leaf size with
-    stratified 5-fold CV (fold column from M8) on the training rows, best
-    refit on all training rows, exact held-out AUC. Preprocessing is fitted in
-    each fold on its own training rows, and fold scores are exact AUCs.
-    Returns (cv table, test AUC, best model)."""
-    d = prepare(M.stratified_split(df, target, key, C.TEST_FRACTION, C.SEED), features, target).persist()
+@dataclass
+class GridSearch:
+    """Mean held-out AUC of every setting over the folds, the rows scored, and
+    the best setting refit on all training rows."""
+
+    cv: DataFrame          # num_trees, max_depth, min_split, min_leaf, mean_cv_auc
+    scored: DataFrame      # setting, fold, target, prob: one row a setting and held-out row
+    settings: list[tuple[Setting, int]]
+    best: int
+    model: PipelineModel
+    test_auc: float
+
+
+def grid_settings(trees, depths, splits, leaves) -> list[tuple[Setting, int]]:
+    """(size, least rows of a leaf) of all combinations, in the grid's order."""
+    return [(Setting(n, d, s), leaf) for n, d, s, leaf in product(trees, depths, splits, leaves)]
+
+
+def grid_search(df: DataFrame, features: list[str], trees=(100, 200), depths=(30, 10, 20), splits=(2, 5), leaves=(1, 2),
+                key: str = C.ID_COL, target: str = C.TARGET_COL, folds: int = C.CV_FOLDS) -> GridSearch:
+    """Random-forest grid over trees x depth x split size x leaf size
+    with stratified folds (M8) on the training rows. In each fold the
+    preprocessor is fitted on the fold's own training rows, and one forest per
+    leaf size, with the most trees and the greatest depth; all other settings
+    are that forest cut back (see ``forest``). Fold scores are exact AUCs."""
+    spark = df.sparkSession
+    d = prepare(M.stratified_split(df, target, key, C.TEST_FRACTION, C.SEED), features, target)
+    d, path = written_table(d, "grid_rows")
     train, test = d.where("is_test = 0"), d.where("is_test = 1")
-    folds = M.stratified_folds(train, target, key, C.CV_FOLDS, C.SEED).persist()
+    dealt = M.stratified_folds(train, target, key, folds, C.SEED).persist()
     num, cat = split_types(d, features, key)
-    grid = list(product(trees, depths, leaves))
+    settings = grid_settings(trees, depths, splits, leaves)
+
+    def fitted(rows: DataFrame, leaf: int, pre: Preprocessor, data: DataFrame | None = None) -> PipelineModel:
+        return fit_model(ModelSpec("Random Forest", rf_trees=max(trees), rf_depth=max(depths), rf_leaf=leaf), rows, pre, data)
 
-    def spec(setting) -> ModelSpec:
-        return ModelSpec("Random Forest", rf_trees=setting[0], rf_depth=setting[1], rf_leaf=setting[2])
+    def scores(rows: DataFrame, pre: Preprocessor, model: PipelineModel, use: list[int], keep: list[str]) -> DataFrame:
+        x = pre.model().transform(rows).select(*keep, vector_to_array("features").alias("x"))
+        probs = cut_back_scores(x, "x", load_forest(model.stages[-1], spark), [settings[i][0] for i in use])
+        return probs.select(*keep, F.posexplode("probs").alias("at", "prob")).select(
+            F.get(F.array(*map(F.lit, use)), F.col("at")).alias("setting"), *keep, "prob")
 
-    scored = []
+    parts = []
     try:
-        for k in range(C.CV_FOLDS):
-            own, other = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
+        for k in range(folds):
+            own, other = dealt.where(F.col("fold") != k), dealt.where(F.col("fold") == k)
             pre = fit_preprocessor(own, num, cat)
             data = held_for_fits(pre.model().transform(own))
-            with ThreadPoolExecutor(workers) as pool:
-                models = list(pool.map(lambda g, o=own, p=pre, x=data: fit_model(spec(g), o, p, x), grid))
-            scored.append(checkpoint_table(reduce(DataFrame.unionByName, [
-                predict(m, other, [target]).select(F.lit(i).alias("setting"), F.lit(k).alias("fold"), target, "prob")
-                for i, m in enumerate(models)]), "fold_predictions"))
+            for leaf in leaves:
+                use = [i for i, s in enumerate(settings) if s[1] == leaf]
+                parts.append(checkpoint_table(scores(other, pre, fitted(own, leaf, pre, data), use, ["fold", target]), "grid_scores"))
             data.unpersist()
-        by = M.auc(reduce(DataFrame.unionByName, scored), target, "prob", ["setting", "fold"])
+        scored = reduce(DataFrame.unionByName, parts)
+        by = M.auc(scored, target, "prob", ["setting", "fold"])
         means = {r["setting"]: r["auc"] for r in by.groupBy("setting").agg(F.avg("auc").alias("auc")).collect()}
-        best = max(range(len(grid)), key=lambda i: (means[i], -i))
-        model = fit_model(spec(grid[best]), train, fit_preprocessor(train, num, cat))
-        test_auc = M.auc(predict(model, test, [target]), target, "prob").first()["auc"]
+        best = max(range(len(settings)), key=lambda i: (means[i], -i))
+        pre = fit_preprocessor(train, num, cat)
+        model = fitted(train, settings[best][1], pre)
+        test_auc = M.auc(scores(test, pre, model, [best], [target]), target, "prob").first()["auc"]
     finally:
-        folds.unpersist()
-        d.unpersist()
-    rows = [(*g, float(means[i])) for i, g in enumerate(grid)]
-    cv = df.sparkSession.createDataFrame(
-        rows, "num_trees int, max_depth int, min_instances_per_node int, mean_cv_auc double")
-    return cv, test_auc, model
+        dealt.unpersist()
+        drop_path(spark, path)
+    rows = [(s.trees, s.depth, s.split, leaf, float(means[i])) for i, (s, leaf) in enumerate(settings)]
+    cv = spark.createDataFrame(rows, "num_trees int, max_depth int, min_split int, min_leaf int, mean_cv_auc double")
+    return GridSearch(cv, scored, settings, best, model, test_auc)
 
 
 # ---------------------------------------------------------------- scoring

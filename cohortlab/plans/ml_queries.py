@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import rules, scalars
+from ..ml import boosting as B
+from ..ml import forest as FO
+from ..ml import kernel_svm as KS
 from ..ml import models as ML
 from ..ml import preprocess as PP
 from ..operators import cohort as co
@@ -17,6 +20,7 @@ from ..session import scratch_path
 from ..sources.tables import checkpoint_table
 from . import oracle as O
 from .cohort_queries import cohort, labelled
+from .metric_queries import SPLIT_CTE
 from .registry import query
 
 Y = C.TARGET_COL
@@ -169,10 +173,28 @@ def model_roundtrip_same(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    """2 x 3 x 2 random-forest grid (100 and 200 trees) on the
-    clinical set, stratified 5-fold CV, best model's exact held-out AUC."""
-    cv, test_auc, _ = ML.grid_search(clinical(spark, sf), C.CLINICAL_FEATURES)
-    return cv.withColumn("best_test_auc", F.lit(test_auc))
+    """The 24 random-forest settings on the clinical set, stratified
+    5-fold CV, best setting's exact held-out AUC."""
+    g = ML.grid_search(clinical(spark, sf), C.CLINICAL_FEATURES)
+    return g.cv.withColumn("best_test_auc", F.lit(g.test_auc))
+
+
+@query("grid_search_scored", O.with_cohort(SPLIT_CTE + f""",
+dealt AS (SELECT {Y}, CAST((rnk - 1) % {C.CV_FOLDS} AS INTEGER) AS fold FROM (
+  SELECT {Y}, row_number() OVER (PARTITION BY {Y} ORDER BY md5(CAST(SEQN AS VARCHAR) || ':{C.SEED}'), SEQN) AS rnk FROM split WHERE is_test = 0))
+SELECT num_trees, max_depth, min_split, min_leaf, fold, count(*) AS n_rows, CAST(sum({Y}) AS BIGINT) AS n_positive, true AS probabilities
+FROM dealt, unnest([100, 200]) a(num_trees), unnest([30, 10, 20]) b(max_depth), unnest([2, 5]) c(min_split), unnest([1, 2]) d(min_leaf)
+GROUP BY ALL"""))
+def grid_search_scored(spark, sf):
+    """For every setting and fold, the held-out rows and positives that it
+    scored, and whether every score is a probability."""
+    g = ML.grid_search(clinical(spark, sf), C.CLINICAL_FEATURES)
+    each = g.scored.groupBy("setting", "fold").agg(
+        F.count("*").alias("n_rows"), F.sum(Y).cast("long").alias("n_positive"),
+        F.min((F.col("prob") >= 0) & (F.col("prob") <= 1)).alias("probabilities"))
+    names = spark.createDataFrame([(i, s.trees, s.depth, s.split, leaf) for i, (s, leaf) in enumerate(g.settings)],
+                                  "setting int, num_trees int, max_depth int, min_split int, min_leaf int")
+    return each.join(names, "setting").drop("setting")
 
 
 def _serving_model(spark, sf):
@@ -242,3 +264,125 @@ def records_of_scored_rows(spark, sf):
     from ..sources import standins as S
     scored = S.records(spark, sf).select("id", rules.round_prob("health_score").alias("Prob_Pos"))
     return ML.records_from_scores(scored, "id", "clinical")
+
+
+# ---------------------------------------------------------------- boosting
+
+FIRST_SPLITS = B.BoostSpec(bins=16, child_weight=1.0)
+
+
+def _boost_sql() -> str:
+    """Every cut of the first tree's root: at probability 1/2 a row's gradient is
+    1/2 - y and its Hessian 1/4; missing rows go to the better side."""
+    probs = [k / FIRST_SPLITS.bins for k in range(1, FIRST_SPLITS.bins)]
+    cuts = "\nUNION ALL ".join(
+        f"SELECT {i} AS feature, list_sort(list_distinct(quantile_cont(CAST({c} AS DOUBLE), {probs}))) AS cuts FROM labelled"
+        for i, c in enumerate(C.CLINICAL_FEATURES))
+    rows = "\nUNION ALL ".join(f"SELECT {i} AS feature, CAST({c} AS DOUBLE) AS x, {Y} AS y FROM labelled"
+                               for i, c in enumerate(C.CLINICAL_FEATURES))
+    names = "[" + ", ".join(f"'{c}'" for c in C.CLINICAL_FEATURES) + "]"
+    score = "({g}) * ({g}) / (({h}) + 1.0)"
+    left, right = (score.format(g=f"gl + {m} * gm", h=f"hl + {m} * hm") + " + "
+                   + score.format(g=f"g - gl - {m} * gm", h=f"h - hl - {m} * hm") for m in (1, 0))
+    ok = "(hl + {m} * hm >= 1 AND h - hl - {m} * hm >= 1)"
+    return O.with_cohort(f""",
+cut AS ({cuts}),
+val AS ({rows}),
+binned AS (SELECT v.feature, y, CASE WHEN x IS NOT NULL THEN len(list_filter(cuts, lambda c: c < x)) END AS bin
+  FROM val v JOIN cut USING (feature)),
+hist AS (SELECT feature, bin, sum(0.5 - y) AS g, 0.25 * count(*) AS h FROM binned GROUP BY feature, bin),
+tot AS (SELECT feature, sum(g) AS g, sum(h) AS h, coalesce(sum(g) FILTER (WHERE bin IS NULL), 0) AS gm,
+  coalesce(sum(h) FILTER (WHERE bin IS NULL), 0) AS hm FROM hist GROUP BY feature),
+run AS (SELECT feature, bin, sum(g) OVER o AS gl, sum(h) OVER o AS hl FROM hist WHERE bin IS NOT NULL
+  WINDOW o AS (PARTITION BY feature ORDER BY bin)),
+both_sides AS (SELECT feature, bin, CASE WHEN {ok.format(m=1)} THEN {left} - {score.format(g='g', h='h')} END AS a,
+  CASE WHEN {ok.format(m=0)} THEN {right} - {score.format(g='g', h='h')} END AS b, hm FROM run JOIN tot USING (feature))
+SELECT {names}[feature + 1] AS feature, CAST(bin AS INTEGER) AS bin,
+  round_even(CASE WHEN hm > 0 AND coalesce(a, -1) > coalesce(b, -1) THEN a ELSE b END, 6) AS gain FROM both_sides""")
+
+
+@query("boost_first_splits", _boost_sql())
+def boost_first_splits(spark, sf):
+    """The gain of every cut of the first tree's root, on raw clinical
+    features with their missing values, 16 quantile bins."""
+    df = ML.prepare(clinical(spark, sf), C.CLINICAL_FEATURES)
+    cuts = B.fit_cuts(df, C.CLINICAL_FEATURES, FIRST_SPLITS.bins, exact=True)
+    data = checkpoint_table(B.binned(df, C.CLINICAL_FEATURES, ML.LABEL, cuts), "boost_rows")
+    sums = B.histogram(data, [], B.Tree.empty(1), 0, len(C.CLINICAL_FEATURES)).where("node >= 0")
+    name = F.get(F.array(*map(F.lit, C.CLINICAL_FEATURES)), F.col("feature"))
+    return B.gains(sums, FIRST_SPLITS).select(name.alias("feature"), "bin", F.bround("gain", 6).alias("gain"))
+
+
+def _prepared(spark, sf):
+    """Train and test rows of the combined set with the model inputs as columns f0, f1, ... and as an array x."""
+    from ..operators import metrics as M
+    df = ML.prepare(M.stratified_split(combined(spark, sf), Y, C.ID_COL), COMBINED)
+    num, cat = PP.split_types(df, COMBINED, C.ID_COL)
+    pre = PP.fit_preprocessor(df.where("is_test = 0"), num, cat)
+    x = vector_to_array("features")
+    names = [f"f{i}" for i in range(len(pre.feature_names))]
+    rows = pre.transform(df).select(C.ID_COL, Y, ML.LABEL, "is_test", x.alias("x"), *[x[i].alias(c) for i, c in enumerate(names)])
+    rows = checkpoint_table(rows, "model_inputs")
+    return rows.where("is_test = 0"), rows.where("is_test = 1"), names
+
+
+@query("train_boosted")
+def train_boosted(spark, sf):
+    """Second-order boosting (100 rounds of depth 6) on the combined set; test predictions."""
+    train, test, names = _prepared(spark, sf)
+    model = B.fit_boosting(train, names, ML.LABEL)
+    s = B.score_boosted(test.select(C.ID_COL, Y, *names), model)
+    return s.select(C.ID_COL, Y, (F.col("prob") > 0.5).cast("int").alias("prediction"), "prob")
+
+
+BOOST_ROUNDS = 12
+
+
+@query("boosted_losses", O.with_cohort(
+    f"SELECT CAST(r AS INTEGER) AS round, count(*) AS n_rows, true AS lower FROM labelled, unnest(range(1, {BOOST_ROUNDS + 1})) t(r) GROUP BY r"))
+def boosted_losses(spark, sf):
+    """That every round lowers the log loss of the rows it learns from."""
+    df = ML.prepare(clinical(spark, sf), C.CLINICAL_FEATURES)
+    model = B.fit_boosting(df, C.CLINICAL_FEATURES, ML.LABEL, B.BoostSpec(rounds=BOOST_ROUNDS))
+    rounds = spark.createDataFrame([(k, model.losses[k] < model.losses[k - 1]) for k in range(1, BOOST_ROUNDS + 1)],
+                                   "round int, lower boolean")
+    n = df.agg(F.count("*").alias("n_rows")).scalar()
+    return rounds.select("round", n.alias("n_rows"), "lower")
+
+
+# ---------------------------------------------------------------- kernel machine
+
+@query("train_kernel_svm")
+def train_kernel_svm(spark, sf):
+    """Kernel machine with out-of-fold probabilities on the combined set; test predictions."""
+    train, test, _ = _prepared(spark, sf)
+    model = KS.fit_kernel_svm(train, "x", ML.LABEL, C.ID_COL)
+    s = KS.score_kernel_svm(test.select(C.ID_COL, Y, "x"), model, "x")
+    return s.select(C.ID_COL, Y, (F.col("margin") > 0).cast("int").alias("prediction"), "prob")
+
+
+# ---------------------------------------------------------------- contributions of forests
+
+def _forest_contributions(spark, sf):
+    """Clinical rows with the served forest's contributions, probability and base value."""
+    model, pre = _serving_model(spark, sf)
+    x = model.transform(ML.prepare(clinical(spark, sf), C.CLINICAL_FEATURES)).select(
+        C.ID_COL, vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("prob"))
+    forest = FO.load_forest(model.stages[-1], spark)
+    out, base = FO.contributions(x, "x", forest, len(pre.feature_names))
+    return out, base, pre.feature_names
+
+
+@query("forest_contributions")
+def forest_contributions(spark, sf):
+    """Per row the five largest contributions to the served forest's probability."""
+    out, _, names = _forest_contributions(spark, sf)
+    return FO.ranked(out, C.ID_COL, names, 5)
+
+
+@query("forest_contributions_add_up", O.with_cohort(f"SELECT {C.ID_COL}, true AS adds_up FROM labelled"))
+def forest_contributions_add_up(spark, sf):
+    """For every row, that base value and contributions make the probability."""
+    out, base, _ = _forest_contributions(spark, sf)
+    total = F.aggregate("contributions", F.lit(base), lambda a, v: a + v)
+    return out.select(C.ID_COL, (F.abs(total - F.col("prob")) < 1e-9).alias("adds_up"))
