@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,43 +198,39 @@ def gains(histogram: DataFrame, spec: BoostSpec) -> DataFrame:
     """Every cut of every node: (node, feature, bin, gain, missing_left, g, h of
     the node and of its left side, n, n_left). Gains are null where a side has
     no rows or too little weight."""
-    own = Window.partitionBy("node", "feature")
-    upto = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = F.col("bin") != ABSENT
-    sums = {}
-    for c in ("g", "h", "n"):
-        sums[f"{c}_all"] = F.sum(c).over(own)
-        sums[f"{c}_gone"] = F.sum(F.when(~known, F.col(c)).otherwise(0)).over(own)
-        sums[f"{c}_upto"] = F.sum(F.when(known, F.col(c)).otherwise(0)).over(upto)
-    d = histogram.withColumns(sums).where(known)
-
-    def side(extra: str) -> Column:
-        g, h, n = (F.col(f"{c}_upto") + (F.col(f"{c}_gone") if extra else F.lit(0)) for c in ("g", "h", "n"))
-        gr, hr, nr = F.col("g_all") - g, F.col("h_all") - h, F.col("n_all") - n
-        score = g * g / (h + spec.reg) + gr * gr / (hr + spec.reg) - F.col("g_all") * F.col("g_all") / (F.col("h_all") + spec.reg)
-        valid = (n > 0) & (nr > 0) & (h >= spec.child_weight) & (hr >= spec.child_weight)
-        return F.struct(F.when(valid, score).alias("gain"), F.lit(bool(extra)).alias("missing_left"),
-                        g.alias("g_left"), h.alias("h_left"), n.cast("long").alias("n_left"))
-
-    d = d.withColumn("l", side("gone")).withColumn("r", side(""))
-    left = F.col("n_gone") > 0
-    better = F.when(left & (F.coalesce(F.col("l.gain"), F.lit(-1.0)) > F.coalesce(F.col("r.gain"), F.lit(-1.0))), F.col("l")).otherwise(F.col("r"))
-    return d.withColumn("s", better).select("node", "feature", "bin", "s.*", F.col("g_all").alias("g"),
-                                            F.col("h_all").alias("h"), F.col("n_all").cast("long").alias("n"))
+    # as SQL text: a job for every level of every tree, whose expressions should not take longer than the job
+    own, known = "OVER (PARTITION BY node, feature)", f"bin <> {ABSENT}"
+    upto = "OVER (PARTITION BY node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    sums = [f"sum({c}) {own} AS {c}_all" for c in "ghn"]
+    sums += [f"sum(CASE WHEN {known} THEN 0 ELSE {c} END) {own} AS {c}_gone" for c in "ghn"]
+    sums += [f"sum(CASE WHEN {known} THEN {c} ELSE 0 END) {upto} AS {c}_upto" for c in "ghn"]
+    d = histogram.selectExpr("node", "feature", "bin", *sums).where(known)
+
+    def side(extra: int) -> str:
+        g, h, n = (f"({c}_upto + {extra} * {c}_gone)" for c in "ghn")
+        gr, hr, nr = f"(g_all - {g})", f"(h_all - {h})", f"(n_all - {n})"
+        score = f"{g} * {g} / ({h} + {spec.reg}D) + {gr} * {gr} / ({hr} + {spec.reg}D) - g_all * g_all / (h_all + {spec.reg}D)"
+        valid = f"{n} > 0 AND {nr} > 0 AND {h} >= {spec.child_weight}D AND {hr} >= {spec.child_weight}D"
+        return (f"named_struct('gain', CASE WHEN {valid} THEN {score} END, 'missing_left', {bool(extra)}, "
+                f"'g_left', {g}, 'h_left', {h}, 'n_left', CAST({n} AS BIGINT))")
+
+    d = d.selectExpr("*", f"{side(1)} AS l", f"{side(0)} AS r")
+    better = "CASE WHEN n_gone > 0 AND coalesce(l.gain, -1D) > coalesce(r.gain, -1D) THEN l ELSE r END AS s"
+    return d.selectExpr("node", "feature", "bin", better, "g_all AS g", "h_all AS h", "CAST(n_all AS BIGINT) AS n") \
+        .selectExpr("node", "feature", "bin", "s.*", "g", "h", "n")
 
 
 def _best(found: DataFrame) -> DataFrame:
     """The best cut of each node (ties: first feature, then bin), and its sums."""
-    order = F.struct(F.coalesce("gain", F.lit(-1.0)), -F.col("feature"), -F.col("bin"))
-    return found.groupBy("node").agg(F.max_by(F.struct(*found.columns[1:]), order).alias("s")).select("node", "s.*")
+    return found.groupBy("node").agg(F.expr(
+        f"max_by(struct({', '.join(found.columns[1:])}), struct(coalesce(gain, -1D), -feature, -bin)) AS s")).select("node", "s.*")
 
 
 # ------------------------------------------------------------------ fitting
 
-def histogram(data: DataFrame, trees: list[Tree], tree: Tree, level: int, width: int) -> DataFrame:
-    """Sums over all rows by (node, feature, bin). Tasks' sums are dealt by (node,
+def histogram(data: DataFrame, trees: list[Tree], tree: Tree, level: int, width: int, tasks: int) -> DataFrame:
+    """Sums over all rows by (node, feature, bin). The sums of ``tasks`` tasks are dealt by (node,
     feature), which all that follows keeps; to one task if they are few in total."""
-    tasks = data.rdd.getNumPartitions()
     parts = data.mapInArrow(_level(trees, tree, level, width), _HISTOGRAM)
     if tasks * 2 ** level * width * 256 > ONE_TASK:
         parts = parts.repartition(int(data.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node", "feature")
@@ -250,19 +246,15 @@ def binned(df: DataFrame, features: list[str], label: str, cuts: list[list[float
     return rows.mapInArrow(_binned(cuts, features), "bins binary, y double, margin double")
 
 
-def _grown(data: DataFrame, trees: list[Tree], spec: BoostSpec, width: int) -> tuple[Tree, float]:
+def _grown(data: DataFrame, trees: list[Tree], spec: BoostSpec, width: int, tasks: int) -> tuple[Tree, float]:
     """The next tree, and the mean loss before it."""
     tree, loss = Tree.empty(spec.depth), math.nan
     for level in range(spec.depth):
         first = 2 ** level - 1
-        sums = histogram(data, trees, tree, level, width)
-        if level == 0:
-            sums = sums.cache()
-            total = sums.where("node = -1").select("g", "n").first()
-            loss = total["g"] / total["n"] if total and total["n"] else math.nan
-        rows = _best(gains(sums.where("node >= 0"), spec)).collect()  # one row a node of the level
-        if level == 0:
-            sums.unpersist()
+        rows = _best(gains(histogram(data, trees, tree, level, width, tasks), spec)).collect()  # one row a node of the level
+        total = next((r for r in rows if r["node"] < 0 and r["n"]), None)
+        loss = total["g"] / total["n"] if total and level == 0 else loss
+        rows = [r for r in rows if r["node"] >= 0]
         split = False
         for r in rows:
             i = first + r["node"]
@@ -306,8 +298,9 @@ def fit_boosting(df: DataFrame, features: list[str], label: str, spec: BoostSpec
         rows = rows.coalesce(tasks)
     data, path = written_table(rows, "boost_rows")
     since: list[Tree] = []
+    tasks = data.rdd.getNumPartitions()
     for k in range(spec.rounds):
-        tree, loss = _grown(data, since, spec, width)
+        tree, loss = _grown(data, since, spec, width, tasks)
         out.trees.append(tree)
         out.losses.append(loss)
         since.append(tree)

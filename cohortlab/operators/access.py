@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import drop_path
-from ..sources.tables import checkpoint_table, written_table
+from ..sources.tables import apply_updates, checkpoint_table, written_table
+from ..sources.versions import VersionedTable
 from .ordered import join_null_safe, salted_row_number
 
 US_PER_HOUR = 3_600_000_000
@@ -170,6 +171,23 @@ def apply_bookings(requests: DataFrame, slots: DataFrame, slot_col: str = "slot_
     return j.select(*requests.columns, outcome.alias("outcome"))
 
 
+def book(table: VersionedTable, requests: DataFrame, slot_col: str = "slot_id", ts: str = "ts",
+         id_col: str = "id") -> tuple[int, DataFrame]:
+    """W8/S7 with other writers about: mark the slots that ``requests`` win as
+    booked, as the table's next version, and the outcome of every request as of
+    the version that it went into. A slot that another writer has booked in the
+    meantime is ``already_booked``."""
+    outcomes = []
+
+    def change(slots: DataFrame) -> DataFrame:
+        outcomes.append(apply_bookings(requests, slots, slot_col, ts, id_col))
+        won = outcomes[-1].where(F.col("outcome") == "booked").select(F.col(slot_col).alias("id"))
+        return apply_updates(slots, won, "id", {"is_booked": True})
+
+    version = table.update(requests.select(F.col(slot_col).alias("id")).where("id is not null"), change)
+    return version, outcomes[-1]
+
+
 # --------------------------------------------------------------------- P12
 
 def access_decision(requests: DataFrame, status: DataFrame, key: str = "user_id",

@@ -11,6 +11,7 @@ from ..operators import activity as A
 from ..session import scratch_path
 from ..sources import standins as S
 from ..sources.tables import append_rows, apply_updates
+from ..sources.versions import VersionedTable, append_batch, read_batches
 from . import oracle as O
 from .registry import query
 
@@ -110,6 +111,25 @@ def slots_after_booking(spark, sf):
     return apply_updates(slots, won, "id", {"is_booked": True}).select("id", "is_booked")
 
 
+@query("book_versions", W(BOOK_SQL + """
+SELECT s.id, s.is_booked OR s.id IN (SELECT slot_id FROM outc WHERE outcome = 'booked') AS is_booked,
+  coalesce(o.n_booked, 0) AS n_booked, coalesce(o.n_refused, 0) AS n_refused
+FROM doctor_availability s LEFT JOIN (SELECT slot_id, count(*) FILTER (WHERE outcome = 'booked') AS n_booked,
+  count(*) FILTER (WHERE outcome <> 'booked') AS n_refused FROM outc GROUP BY slot_id) o ON o.slot_id = s.id"""))
+def book_versions(spark, sf):
+    """The slots as a versioned table; the requests book in two rounds
+    (those of the first half of the time, then the others), each as one version."""
+    slots, requests = S.doctor_availability(spark, sf), S.booking_requests(spark, sf)
+    table = VersionedTable.create(slots, scratch_path(spark, "slots"), "id", buckets=8)
+    middle = requests.agg((F.unix_micros(F.min(F.col("ts").cast("timestamp"))) / 2
+                           + F.unix_micros(F.max(F.col("ts").cast("timestamp"))) / 2).alias("t")).first()["t"]
+    early = F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(middle)
+    outcomes = [X.book(table, requests.where(part))[1] for part in (early, ~early)]
+    tally = outcomes[0].union(outcomes[1]).groupBy(F.col("slot_id").alias("id")).agg(
+        F.count_if(F.col("outcome") == "booked").alias("n_booked"), F.count_if(F.col("outcome") != "booked").alias("n_refused"))
+    return table.read().select("id", "is_booked").join(tally, "id", "left").fillna(0, ["n_booked", "n_refused"])
+
+
 @query("cancel_subscriptions", W("""
 SELECT s.id, s.user_id, CASE WHEN c.id IS NOT NULL THEN 'cancelled' ELSE s.status END AS status
 FROM user_subscriptions s LEFT JOIN (SELECT DISTINCT id, user_id FROM cancel_requests) c ON s.id = c.id AND s.user_id = c.user_id"""))
@@ -133,6 +153,16 @@ def append_rows_q(spark, sf):
     return back.groupBy("consultation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("append_batches", W("""SELECT consultation_type, CAST(count(*) AS BIGINT) AS n FROM records GROUP BY 1"""))
+def append_batches(spark, sf):
+    """The records appended as a batch per weekday, every batch twice, table read back."""
+    r = S.records(spark, sf)
+    path, day = scratch_path(spark, "record_batches"), F.dayofweek("created_at")
+    for k in [*range(1, 8), *range(1, 8)]:
+        append_batch(r.where(F.coalesce(day, F.lit(1)) == k), path, f"day-{k}")
+    return read_batches(spark, path, r.schema).groupBy("consultation_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("access_decision", W(f"""
 , ids AS (SELECT DISTINCT user_id AS id FROM visits WHERE user_id IS NOT NULL),
 roles AS (SELECT ids.id, CASE WHEN u.id IS NOT NULL THEN coalesce(u.role, 'user') WHEN d.id IS NOT NULL THEN 'doctor'

@@ -308,7 +308,7 @@ def boost_first_splits(spark, sf):
     df = ML.prepare(clinical(spark, sf), C.CLINICAL_FEATURES)
     cuts = B.fit_cuts(df, C.CLINICAL_FEATURES, FIRST_SPLITS.bins, exact=True)
     data = checkpoint_table(B.binned(df, C.CLINICAL_FEATURES, ML.LABEL, cuts), "boost_rows")
-    sums = B.histogram(data, [], B.Tree.empty(1), 0, len(C.CLINICAL_FEATURES)).where("node >= 0")
+    sums = B.histogram(data, [], B.Tree.empty(1), 0, len(C.CLINICAL_FEATURES), data.rdd.getNumPartitions()).where("node >= 0")
     name = F.get(F.array(*map(F.lit, C.CLINICAL_FEATURES)), F.col("feature"))
     return B.gains(sums, FIRST_SPLITS).select(name.alias("feature"), "bin", F.bround("gain", 6).alias("gain"))
 
