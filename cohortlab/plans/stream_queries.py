@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..session import scratch_path
 from ..sources import standins as S
-from ..streaming import jobs
+from ..streaming import cooldown, jobs
 from .access_queries import COOLDOWN_TEST_DAYS, RATE_DEFAULT, RATE_LIMITS, RATE_WIDTH, W
 from .registry import ORACLE, query
 
@@ -49,6 +49,16 @@ def stream_cooldown(spark, sf):
     return spark.read.parquet(jobs.run_to_parquet(st, "cooldown")).where("user_id is not null")
 
 
+@query("stream_cooldown_chunks")
+def stream_cooldown_chunks(spark, sf):
+    """W5 as a stream with a state row per client and time chunk, and a delay taken from the log."""
+    path, schema = _request_files(spark, sf)
+    cooldown.use_rocksdb(spark)
+    st = cooldown.stream_cooldown_chunks(jobs.request_stream(spark, path, schema, 2), COOLDOWN_TEST_DAYS * US_PER_DAY,
+                                         cooldown.delay_of(S.requests(spark, sf)), US_PER_DAY)
+    return spark.read.parquet(jobs.run_to_parquet(st, "cooldown")).where("user_id is not null")
+
+
 @query("stream_scores")
 def stream_scores(spark, sf):
     """M19 on a stream: rows arriving as files scored by the fitted model."""
@@ -64,4 +74,5 @@ def stream_scores(spark, sf):
 
 # The stream must decide exactly as the batch operator does.
 ORACLE["stream_cooldown"] = ORACLE["cooldown_accepts"]
+ORACLE["stream_cooldown_chunks"] = ORACLE["cooldown_accepts"]
 
