@@ -7,8 +7,6 @@ so one job covers all columns.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,11 +115,10 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """
     def r(a: str, b: str) -> Column:
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        mixed = reduce(and_, [F.min(F.when(both, v)) < F.max(F.when(both, v)) for v in (x, y)])
-        # regr_* parts keep the division out of pairs that have no spread
+        # regr_* parts keep the division out of pairs that have no spread: their running moments are exactly
+        # zero as long as all values are equal (every difference from the mean is)
         sxx, syy, sxy = F.regr_sxx(y, x), F.regr_syy(y, x), F.regr_sxy(y, x)
-        return F.when(mixed, sxy / F.nullif(F.sqrt(sxx) * F.sqrt(syy), F.lit(0.0)))
+        return sxy / F.nullif(F.sqrt(sxx) * F.sqrt(syy), F.lit(0.0))
 
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     one = df.agg(*[r(a, b).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,18 +105,18 @@ def survey_modules(spark: SparkSession, sf_dir: str, absent: tuple = (),
     that many buckets, so the 12-way join reads co-partitioned buckets and
     needs no shuffle at all.
     """
-    if buckets:
-        mods = module_tables(spark, sf_dir, buckets)
-        for m in absent:
-            mods[m] = None
-        return mods
-    if materialize:
-        paths = module_files(spark, sf_dir)
-        mods = {m: load_module(spark, p) for m, p in paths.items()}
-        for m in absent:
-            mods[m] = None
-        return mods
-    return _module_plans(spark, sf_dir, absent)
+    if not materialize and not buckets:
+        return _module_plans(spark, sf_dir, absent)
+    paths = module_files(spark, sf_dir)
+    # the files of an input never change once they are in place, so their frames are resolved once a session
+    held = _RESOLVED.setdefault(spark, {})
+    key = (paths["DEMO"], buckets)
+    if key not in held:
+        held[key] = module_tables(spark, paths, buckets) if buckets else {m: load_module(spark, p) for m, p in paths.items()}
+    return held[key] | dict.fromkeys(absent)
+
+
+_RESOLVED: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def module_files(spark: SparkSession, sf_dir: str) -> dict:
@@ -143,7 +144,7 @@ def module_files(spark: SparkSession, sf_dir: str) -> dict:
     return {m: f"{base}/{m}" for m in names}
 
 
-def module_tables(spark: SparkSession, sf_dir: str, buckets: int) -> dict:
+def module_tables(spark: SparkSession, paths: dict, buckets: int) -> dict:
     """Module files rewritten, bucketed and sorted by SEQN.
 
     Files live under the shared folder (written once per input and bucket
@@ -151,7 +152,6 @@ def module_tables(spark: SparkSession, sf_dir: str, buckets: int) -> dict:
     planner sees matching bucketing on every side; it is dropped as soon as
     the plan over it is resolved, so none is left behind.
     """
-    paths = module_files(spark, sf_dir)
     base = paths["DEMO"].rsplit("/", 1)[0] + f"-bucketed{buckets}"
     fresh = None if path_exists(spark, base) else scratch_path(spark, "bucketed")
     if fresh:
