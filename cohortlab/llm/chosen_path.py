@@ -16,15 +16,19 @@ nothing but the document; later levels branch only the nodes that are still
 large. Trees are independent and repeated until a pair at the threshold meets
 with probability ``RECALL``.
 
-Comparison. Only nodes of two or more members matter. Candidates are pairs of
-members whose tokens agree in so many positions that a linked pair falls below
-with probability ``MISS`` at most; each is confirmed once, on the full sets of
-the whole texts. Three rounds compare all members of a node with one pivot and
-join what is linked; a node whose members all belong to one component then
-needs nothing more. In nodes of at most ``SMALL`` members, the members of different
-components are compared exhaustively, first each member's best partners, then
-all. Larger nodes are branched again. So a group of k near copies costs about k
-comparisons, not k squared, and a common pivot's members are dealt to several tasks.
+Comparison. Only nodes of two or more members matter. Nodes of more
+than ``SMALL`` members are cut by set size first. In a node of at most that many all are compared by their tokens: a linked pair agrees in fewer
+than the least number with probability ``MISS`` at most. What that connects is a
+group, known by its smallest id, which is nearly always the same in all nodes
+that a group of copies meets in; members of larger nodes are compared with one
+pivot. Then every member is confirmed against its group's smallest id (the
+pivot) on the full sets of the whole texts, and what is linked is joined. Groups
+that this leaves in several components are compared exhaustively, all members
+against those outside the largest component, dealt in blocks to several tasks. A larger
+node that is left so has its tokens compared in the same way if no more than
+``NEAR`` members lie outside its largest component, and is branched otherwise. So a group of k near copies
+costs about k comparisons as long as few of them miss its smallest id. Texts of
+documents in groups are set aside once and joined to the comparisons from there.
 
 Documents with equal sets are one class, whose smallest id stands for it; the
 join that finds it spreads large classes by a salt.
@@ -43,12 +47,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpoint_table, ids_and_texts, map_arrow, shuffle_width
 from .components import components
-from .ngram_join import identities, shingle_sets
+from .ngram_join import identities, overlap_matrix, shingle_sets
 from .text_arrays import mix, texts
 
 SHINGLE = 2
@@ -57,12 +61,12 @@ TOKENS = 64
 FANOUT = 1.5
 RECALL = 0.9995
 MISS = 1e-5
-SMALL = 1024
+SMALL = 512
+NEAR = 16 * SMALL  # members outside its largest component up to which a larger node is compared, in blocks of SMALL
 UNRELATED = 0.01  # similarity of documents that have nothing to do with each other, to choose the first depth
-PIVOT_ROUNDS = 3
-BEST = 16
-DEALT = 1024      # members of a pivot that one task compares
+DEALT = 512       # members that one task compares with a pivot or a block
 SALTS = 16
+WORD_BITS = 20    # words of the bitmap of wanted ids, as a power of two
 SEED = 11
 _U64 = np.uint64
 
@@ -84,7 +88,8 @@ def trees_for(percent: int, depth: int, recall: float) -> int:
 
 
 def first_depth(documents: int) -> int:
-    return max(1, math.ceil(math.log(max(documents / SMALL, 1)) / math.log(1 / UNRELATED)) + 1)
+    """Levels after which few unrelated documents share a node."""
+    return max(2, math.ceil(math.log(max(documents / 64, 1)) / math.log(1 / UNRELATED)))
 
 
 def least_common(percent: int) -> int:
@@ -202,51 +207,85 @@ def common_marks(marks: np.ndarray) -> np.ndarray:
     return out
 
 
-def node_pairs(ids: np.ndarray, comp: np.ndarray, marks: np.ndarray, least: int, best: int | None) -> np.ndarray:
-    """Pairs of members of different components with enough common marks; with
-    ``best``, of each member only those with its most similar partners."""
-    same = common_marks(marks)
-    good = (same >= least) & (comp[:, None] != comp[None, :])
-    if best is not None and len(ids) > best:
-        score = np.where(good, same, 0)
-        limit = -np.partition(-score.astype(np.int16), best - 1, axis=1)[:, best - 1]
-        # ties at the limit: the first ones, so that a row keeps no more than asked for
-        order = np.cumsum(good & (score == limit[:, None]), axis=1)
-        room = best - (good & (score > limit[:, None])).sum(axis=1)
-        good &= (score > limit[:, None]) | ((score == limit[:, None]) & (order <= room[:, None]))
-        good |= good.T
-    i, j = np.nonzero(np.triu(good, 1))
-    return np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], axis=1)
-
-
-def _exhaustive(least: int, best: int | None):
-    """Rows sorted by node to the candidates of each node (at most ``SMALL`` rows)."""
+def groups_of(good: np.ndarray) -> np.ndarray:
+    """The smallest place that each row of a symmetric matrix reaches."""
+    root = np.arange(len(good), dtype=np.int32)
+    while True:
+        # the smallest root among a row and its neighbours, then the root of that
+        near = np.where(good, root[None, :], np.int32(len(good))).min(axis=1, initial=len(good))
+        new = np.minimum(root, near)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _grouped(least: int):
+    """Rows sorted by (node, block, doc_id) to (p, x): the members of each group in
+    a block but its smallest id. Groups hold together by pairs of different
+    components with a ``minor`` member."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: pa.RecordBatch | None = None
 
-        def found(b: pa.RecordBatch, lo: int, hi: int) -> np.ndarray:
-            part = b.slice(lo, hi - lo)
-            return node_pairs(part.column("doc_id").to_numpy(), part.column("comp").to_numpy(),
-                              _matrix(part.column("marks"), "u1"), least, best)
-
-        def out(pairs: list[np.ndarray]) -> pa.RecordBatch:
-            rows = np.unique(np.concatenate([*pairs, np.empty((0, 2), np.int64)]), axis=0)
+        def found(b: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+            ids, comp, minor = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "comp", "minor"))
+            marks = _matrix(b.column("marks"), "u1")
+            out = [np.empty((0, 2), np.int64)]
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                part = slice(lo, hi)
+                good = common_marks(marks[part]) >= least
+                good &= (comp[part][:, None] != comp[part]) & (minor[part][:, None] | minor[part])
+                root = groups_of(good)
+                x = np.flatnonzero(root != np.arange(hi - lo))
+                out.append(np.stack([ids[lo + root[x]], ids[lo + x]], axis=1))
+            rows = np.unique(np.concatenate(out), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["p", "x"])
 
         for b in batches:
             if left is not None:
                 b = pa.Table.from_batches([left, b]).combine_chunks().to_batches()[0]
-            node = b.column("node").to_numpy()
-            cuts = np.flatnonzero(node[1:] != node[:-1]) + 1
-            bounds = np.concatenate([[0], cuts])
+            node, block = b.column("node").to_numpy(), b.column("block").to_numpy()
+            bounds = np.concatenate([[0], np.flatnonzero((node[1:] != node[:-1]) | (block[1:] != block[:-1])) + 1])
             left = b.slice(int(bounds[-1])) if len(node) else None
-            if len(cuts):
-                yield out([found(b, s, e) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
+            if len(bounds) > 1:
+                yield found(b, bounds)
         if left is not None:
-            yield out([found(left, 0, left.num_rows)])
+            yield found(left, np.array([0, left.num_rows]))
     return run
 
 
+def grouped(rows: DataFrame, marks: DataFrame, least: int) -> DataFrame:
+    """(p, x): groups by tokens of the rows (node, block, doc_id, comp, minor); a
+    block has about twice ``SMALL`` rows at most."""
+    dealt = rows.join(marks, "doc_id").repartition(shuffle_width(rows.sparkSession), "node", "block") \
+        .sortWithinPartitions("node", "block", "doc_id")
+    return map_arrow(dealt, _grouped(least), "p long, x long").distinct()
+
+
+def size_bands(large: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Large nodes cut by set size: a member goes to its own band and the next.
+    Sets that link have equal or neighbouring bands, so they share the upper one's
+    node; one that only members of the band below enter (not ``own``) is not needed."""
+    width = math.log(101 / percent)  # a little over the largest ratio of two linked sizes
+    band = F.floor(F.log(F.col("n").cast("double")) / width)
+    return large.join(sizes, "doc_id").select(
+        "doc_id", F.inline(F.array(F.struct(F.xxhash64("node", band).alias("node"), F.lit(True).alias("own")),
+                                   F.struct(F.xxhash64("node", band + 1).alias("node"), F.lit(False).alias("own")))))
+
+
+def minor_blocks(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members of large nodes in blocks of about ``SMALL``, once with each
+    block of the members outside the node's largest component."""
+    rows = labelled.join(nodes, "node").withColumn("minor", F.col("comp") != F.col("main"))
+    place = F.xxhash64("doc_id")
+    i, j = (F.pmod(place, F.col(k)).cast("int") for k in ("minor_blocks", "blocks"))
+    all_i, all_j = (F.sequence(F.lit(0), F.col(k) - 1) for k in ("minor_blocks", "blocks"))
+    columns = F.transform(all_i, lambda k: k * F.col("blocks") + j)
+    lines = F.transform(all_j, lambda k: i * F.col("blocks") + k)
+    tasks = F.when(F.col("minor"), F.array_distinct(F.concat(columns, lines))).otherwise(columns)
+    return rows.select("node", F.explode(tasks).alias("block"), "doc_id", "comp", "minor")
+
+
 # ------------------------------------------------------------------ confirmation
 
 def _confirm(size: int, percent: int):
@@ -289,8 +328,87 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return map_arrow(dealt, _confirm(size, percent), "a long, b long")
 
 
+def _blocks(size: int, percent: int):
+    """Rows sorted by (p, i, j, side), each with a text, to enough links between
+    the rows of side 0 and those of side 1 that belong to other components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def links() -> pa.RecordBatch:
+            sides = [[r for r in rows if r[0] == s] for s in (0, 1)]
+            edges = []
+            if all(sides):
+                exact = overlap_matrix([r[3] for r in sides[0]], [r[3] for r in sides[1]])
+                n = [np.array([len(r[3]) for r in s]) for s in sides]
+                comp = [np.array([r[2] for r in s]) for s in sides]
+                hit = (100 * exact >= percent * (np.add.outer(n[0], n[1]) - exact)) & (comp[0][:, None] != comp[1][None, :])
+                joined: dict[int, int] = {}
+                for i, j in np.argwhere(hit).tolist():
+                    a, b = (_root(joined, s[k][2]) for s, k in zip(sides, (i, j), strict=True))
+                    if a != b:
+                        joined[a] = b
+                        edges.append((sides[0][i][1], sides[1][j][1]))
+            return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for b in batches:
+            columns = list(zip(*[b.column(c).to_pylist() for c in ("p", "i", "j", "side", "x", "comp")], strict=True))
+            for lo, hi, data, offsets in texts(b, "text"):
+                h, at = shingle_sets(data, offsets, size)
+                for r in range(lo, hi):
+                    p, i, j, side, x, comp = columns[r]
+                    if (p, i, j) != key:
+                        if key is not None:
+                            yield links()
+                        key, rows = (p, i, j), []
+                    rows.append((side, x, comp, h[at[r - lo]:at[r - lo + 1]].copy()))
+        if key is not None:
+            yield links()
+    return run
+
+
+def _root(joined: dict[int, int], k: int) -> int:
+    while k in joined:
+        k = joined[k]
+    return k
+
+
+def compared(rows: DataFrame, held: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): links between members (p, x, comp) of one group and of different
+    components. Members outside a group's largest component (side 0, in blocks i)
+    meet all members (side 1, in blocks j); a member travels once per block, not
+    once per pair."""
+    largest = rows.groupBy("p", "comp").agg(F.count("*").alias("c")).groupBy("p").agg(
+        F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("n"),
+        F.count("*").alias("comps"), F.max("c").alias("most")).where("comps > 1")
+    many = (F.ceil((F.col("n") - F.col("most")) / DEALT).cast("int"), F.ceil(F.col("n") / DEALT).cast("int"))
+    rows = rows.join(largest.select("p", "main", many[0].alias("bi"), many[1].alias("bj")), "p")
+    place = F.xxhash64("x")
+    all_i, all_j = (F.sequence(F.lit(0), F.col(k) - 1) for k in ("bi", "bj"))
+    own_i, own_j = (F.pmod(place, F.col(k)).cast("int") for k in ("bi", "bj"))
+    columns = F.transform(all_i, lambda k: F.struct(k.alias("i"), own_j.alias("j"), F.lit(1).alias("side")))
+    lines = F.transform(all_j, lambda k: F.struct(own_i.alias("i"), k.alias("j"), F.lit(0).alias("side")))
+    tasks = F.when(F.col("comp") == F.col("main"), columns).otherwise(F.concat(columns, lines))
+    dealt = rows.select("p", "x", "comp", F.inline(tasks)).join(held.withColumnRenamed("doc_id", "x"), "x")
+    dealt = dealt.repartition(shuffle_width(held.sparkSession), "p", "i", "j").sortWithinPartitions("p", "i", "j", "side")
+    return map_arrow(dealt, _blocks(size, percent), "a long, b long")
+
+
 # ------------------------------------------------------------------ the join
 
+def near_ids(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``wanted`` (distinct). Most others go before any
+    text is shuffled, by a bitmap of the wanted ids' hashes; its words are at most
+    2**``WORD_BITS`` rows, whatever the size of the tables, so they are broadcast."""
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(64 << WORD_BITS))
+
+    bits = wanted.select(F.shiftrightunsigned(place("doc_id"), 6).alias("word"), F.pmod(place("doc_id"), F.lit(64)).cast("int").alias("bit"))
+    words = bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
+    maybe = docs.withColumns({"word": F.shiftrightunsigned(place("doc_id"), 6), "bit": F.pmod(place("doc_id"), F.lit(64)).cast("int")}) \
+        .join(F.broadcast(words), "word").where("shiftright(set, bit) % 2 <> 0").select(*docs.columns)
+    return maybe.join(wanted, "doc_id")  # not a semi-join, which would be moved below the bitmap
+
+
 def set_classes(base: DataFrame) -> DataFrame:
     """``base`` with ``rep``, the smallest id of an equal set (null if the set is
     empty or the id null). Only classes of several rows take part in the join,
@@ -303,36 +421,48 @@ def set_classes(base: DataFrame) -> DataFrame:
     return met.select("doc_id", "n", F.when(full, F.coalesce("low", "doc_id")).alias("rep"), "tokens", "marks")
 
 
-class _Links:
-    """Confirmed links and the pairs already tried, with the components they make."""
+class _Found:
+    """The components that the links confirmed so far make."""
 
-    def __init__(self, docs: DataFrame, size: int, percent: int):
-        self.docs, self.size, self.percent = docs, size, percent
-        spark = docs.sparkSession
-        self.links = spark.createDataFrame([], "a long, b long")
-        self.tried = spark.createDataFrame([], "p long, x long")
+    def __init__(self, spark: SparkSession):
         self.labels = spark.createDataFrame([], "doc_id long, comp long")
 
-    def label(self, rows: DataFrame) -> DataFrame:
-        return rows.join(self.labels, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-
-    def try_pairs(self, pairs: DataFrame) -> None:
-        """Confirm candidates (p, x) not tried before and join what is linked."""
-        new = pairs.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")).where("p <> x").distinct()
-        new = checkpoint_table(new.join(self.tried, ["p", "x"], "left_anti"), "path_candidates")
+    def add(self, links: DataFrame) -> None:
+        """Join what ``links`` connects: they are looked up as links between the
+        components known so far, so a later round is as small as what it adds."""
+        new = checkpoint_table(links, "path_links")
         if new.isEmpty():
             return
-        found = checkpoint_table(confirmed(new, self.docs, self.size, self.percent), "path_links")
-        self.tried = self.tried.union(new)
-        if not found.isEmpty():
-            self.links = self.links.union(found)
-            self.labels = components(self.links).select(F.col("id").alias("doc_id"), F.col("component").alias("comp"))
+        ends = self.label(self.label(new, "a").withColumnRenamed("comp", "ca"), "b").select(
+            F.col("ca").alias("a"), F.col("comp").alias("b")).where("a <> b")
+        if ends.isEmpty():
+            return
+        joined = components(ends).select(F.col("id").alias("comp"), F.col("component").alias("lower"))
+        known = self.labels.union(ends.select("a", "a")).union(ends.select("b", "b")).distinct()
+        self.labels = checkpoint_table(known.join(joined, "comp", "left").select(
+            "doc_id", F.coalesce("lower", "comp").alias("comp")).groupBy("doc_id").agg(F.min("comp").alias("comp")), "path_labels")
+
+    def label(self, rows: DataFrame, by: str) -> DataFrame:
+        return rows.join(self.labels.withColumnRenamed("doc_id", by), by, "left").withColumn("comp", F.coalesce("comp", by))
+
+
+def _open_nodes(labelled: DataFrame) -> DataFrame:
+    """Nodes with members of several components: the largest one, the members
+    outside it, and the blocks of all members."""
+    return labelled.groupBy("node", "comp").agg(F.count("*").alias("c")).groupBy("node").agg(
+        F.max_by("comp", F.struct("c", "comp")).alias("main"), (F.sum("c") - F.max("c")).alias("others"),
+        F.ceil(F.sum("c") / SMALL).cast("int").alias("blocks")).where("others > 0") \
+        .withColumn("minor_blocks", F.ceil(F.col("others") / SMALL).cast("int"))
 
 
-def _open_nodes(rows: DataFrame) -> DataFrame:
-    """Nodes with members of several components."""
-    return rows.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")) \
-        .where("lo <> hi").select("node", "size")
+def with_pivots(groups: DataFrame) -> DataFrame:
+    return groups.union(groups.select("p", F.col("p").alias("x")).distinct())
+
+
+def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of all documents in ``pairs``, set aside for several joins."""
+    wanted = pairs.select(F.col("p").alias("doc_id")).union(pairs.select("x")).distinct()
+    return checkpoint_table(near_ids(docs, wanted), "path_texts")
 
 
 def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT, recall: float = RECALL,
@@ -345,38 +475,45 @@ def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     own = F.col("doc_id") == F.col("rep")
     classes = checkpoint_table(set_classes(base).withColumns({k: F.when(own, F.col(k)) for k in ("tokens", "marks")}),
                                "path_classes")
-    sole = classes.where("tokens is not null").select("doc_id", "tokens", "marks")
+    sole = classes.where("tokens is not null").select("doc_id", "n", "tokens", "marks")
+    marks = sole.select("doc_id", "marks")
     depth, least = first_depth(sole.count()), least_common(percent)
-    state = _Links(docs.where("doc_id is not null"), size, percent)
+    found = _Found(df.sparkSession)
     entries = map_arrow(sole.select("doc_id", "tokens"), _first_levels(trees_for(percent, depth, recall), depth),
                         "node long, doc_id long")
     while True:
         entries = checkpoint_table(entries, "path_nodes")
-        met = entries.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node")
-        members = checkpoint_table(entries.join(met, "node").join(sole.select("doc_id", "marks"), "doc_id"), "path_members")
-        for turn in range(PIVOT_ROUNDS):
-            rows = state.label(members)
-            # one pivot a node, the same few in all nodes that hold them
-            pivots = rows.groupBy("node").agg(
-                F.min_by(F.struct("doc_id", "marks", "comp"), F.xxhash64(F.lit(turn), "doc_id")).alias("pivot"),
-                F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node", "pivot")
-            stars = rows.join(pivots, "node").where(F.col("comp") != F.col("pivot.comp")).select(
-                F.col("pivot.doc_id").alias("p"), F.col("doc_id").alias("x"), "marks", F.col("pivot.marks").alias("pivot_marks"))
-            state.try_pairs(map_arrow(stars, _alike(least), "p long, x long"))
-        for best in (BEST, None):
-            rows = state.label(members)
-            small = rows.join(_open_nodes(rows).where(F.col("size") <= SMALL).select("node"), "node") \
-                .select("node", "doc_id", "comp", "marks")
-            small = small.repartition(shuffle_width(df.sparkSession), "node").sortWithinPartitions("node", "doc_id")
-            state.try_pairs(map_arrow(small, _exhaustive(least, best), "p long, x long"))
-        rows = state.label(members)
-        large = checkpoint_table(
-            rows.join(_open_nodes(rows).where(F.col("size") > SMALL).select("node"), "node").select("node", "doc_id"),
-            "path_large")
+        met = entries.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        members = entries.join(met, "node")
+        bands = checkpoint_table(size_bands(members.where(F.col("size") > SMALL), sole.select("doc_id", "n"), percent),
+                                 "path_bands")
+        cut = bands.join(bands.groupBy("node").agg(F.count("*").alias("size"), F.bool_or("own").alias("any_own"))
+                         .where("size > 1 and any_own"), "node")
+        large = checkpoint_table(cut.where(F.col("size") > SMALL).select("node", "doc_id"), "path_large")
+        alone = members.select("node", "doc_id", "size").union(cut.select("node", "doc_id", "size")).where(F.col("size") <= SMALL).select(
+            "node", F.lit(0).alias("block"), "doc_id", F.col("doc_id").alias("comp"), F.lit(True).alias("minor"))
+        stars = large.join(large.groupBy("node").agg(F.min("doc_id").alias("p")), "node") \
+            .select("p", F.col("doc_id").alias("x")).where("p <> x").distinct() \
+            .join(marks.withColumnRenamed("doc_id", "x"), "x") \
+            .join(marks.select(F.col("doc_id").alias("p"), F.col("marks").alias("pivot_marks")), "p")
+        pairs = checkpoint_table(grouped(alone, marks, least).union(map_arrow(stars, _alike(least), "p long, x long")).distinct(),
+                                 "path_pairs")
+        held = texts_of(docs, pairs)
+        found.add(confirmed(pairs, held, size, percent))
         if large.isEmpty():
+            found.add(compared(found.label(with_pivots(pairs), "x"), held, size, percent))
+            break
+        labelled = found.label(large, "doc_id")
+        open_ = checkpoint_table(_open_nodes(labelled), "path_open")
+        more = grouped(minor_blocks(labelled, open_.where(F.col("others") <= NEAR)), marks, least)
+        groups = checkpoint_table(pairs.union(more).distinct(), "path_groups")
+        found.add(compared(found.label(with_pivots(groups), "x"), texts_of(docs, groups), size, percent))
+        far = open_.where(F.col("others") > NEAR).select("node")
+        if far.isEmpty():
             break
-        entries = map_arrow(large.join(sole.select("doc_id", "tokens"), "doc_id"), _next_level, "node long, doc_id long")
-    linked = state.labels.withColumnRenamed("doc_id", "rep")
+        entries = map_arrow(large.join(far, "node").join(sole.select("doc_id", "tokens"), "doc_id"), _next_level,
+                            "node long, doc_id long")
+    linked = found.labels.withColumnRenamed("doc_id", "rep")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "rep", "doc_id"))
     return classes.select("doc_id", "n", "rep").join(linked, "rep", "left").select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),

@@ -65,14 +65,15 @@ def test_components_equal_plain_python(spark):
 
 
 def test_large_nodes_are_branched(spark, monkeypatch):
-    """With nodes of ten members at most and one pivot round, groups are taken apart over several levels."""
+    """With nodes of ten members at most, and blocks of eight, groups are taken apart over several levels and tasks."""
     monkeypatch.setattr(C, "SMALL", 10)
-    monkeypatch.setattr(C, "PIVOT_ROUNDS", 1)
+    monkeypatch.setattr(C, "NEAR", 20)
+    monkeypatch.setattr(C, "DEALT", 8)
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(500)]
     base = rng.choices(vocabulary, k=80)
     texts = []
-    for _ in range(6):  # sides of one text that share part of it: many pairs just below or above the threshold
+    for _ in range(4):  # sides of one text that share part of it: many pairs just below or above the threshold
         side = list(base)
         for i in rng.sample(range(80), 7):
             side[i] = rng.choice(vocabulary)
@@ -109,22 +110,31 @@ def test_pairs_at_the_threshold_meet_as_promised():
     assert ((marks[::2] == marks[1::2]).sum(axis=1) >= C.least_common(80)).all()
 
 
-def test_best_partners_and_all_of_them():
-    rng = np.random.default_rng(5)
-    marks = np.repeat(rng.integers(0, 256, (1, C.TOKENS)), 30, axis=0).astype(np.uint8)
-    marks[np.arange(30), rng.integers(0, C.TOKENS, 30)] ^= 1
-    ids, comp = np.arange(30) * 7, np.repeat([1, 2, 3], 10)
-    every = C.node_pairs(ids, comp, marks, 60, None)
-    assert len(every) == 300 and (every[:, 0] < every[:, 1]).all()
-    some = C.node_pairs(ids, comp, marks, 60, 2)
-    assert 30 <= len(some) <= 60 and {tuple(r) for r in some.tolist()} <= {tuple(r) for r in every.tolist()}
+def test_blocks_of_a_group(spark, monkeypatch):
+    """Groups with several components and more members than a task takes."""
+    monkeypatch.setattr(C, "DEALT", 7)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = rng.choices(vocabulary, k=60)
+    texts = group(rng, base, 40, 9, vocabulary)  # some link with the first text, others only with each other
+    docs = list(enumerate(texts))
+    check(C.link_components(spark.createDataFrame(docs, "doc_id long, text string")), docs)
+
+
+def test_groups_by_smallest_place():
+    good = np.eye(7, dtype=bool)
+    for a, b in ((6, 4), (4, 1), (2, 5)):
+        good[a, b] = good[b, a] = True
+    assert C.groups_of(good).tolist() == [0, 1, 2, 3, 1, 2, 1]
+    chain = np.eye(50, dtype=bool) | np.eye(50, k=1, dtype=bool) | np.eye(50, k=-1, dtype=bool)
+    assert not C.groups_of(chain).any() and C.groups_of(np.empty((0, 0), bool)).tolist() == []
 
 
 @pytest.mark.parametrize("percent", [50, 80, 95])
 def test_parameters(percent):
     assert 0 < C.meeting(percent, 3) < C.meeting(percent, 1) < 1
     assert C.trees_for(percent, 2, 0.999) >= C.trees_for(percent, 2, 0.9) >= 1
-    assert C.first_depth(1) == 1 <= C.first_depth(10 ** 6) <= C.first_depth(10 ** 11) < 7
+    assert C.first_depth(1) == 2 <= C.first_depth(10 ** 6) <= C.first_depth(10 ** 11) < 7
 
 
 def test_chosen_path_query(spark):
