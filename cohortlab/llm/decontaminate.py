@@ -55,7 +55,8 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def item_words(text: str) -> np.ndarray:
-    data = _SEPARATE[np.frombuffer(text.lower().encode(), np.uint8)]
+    lower = pc.utf8_lower(pa.scalar(text)).as_py()  # as the documents are, also where Python would do it differently
+    data = _SEPARATE[np.frombuffer(lower.encode(), np.uint8)]
     return Words(data, np.array([0, len(data)])).hashes[0]
 
 
