@@ -181,19 +181,19 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return fit(np.stack(got["stats"].to_list()), got["buckets"].to_list(), (got["label"] > 0).to_numpy(float))
 
 
-def _scorer(m: Machine, keep: list[str]):
+def _scorer(m: Machine, keep: list[str], output: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offsets in texts(b, "__text"):
                 out = pa.array(m.scores(*features(data, offsets)))
-                yield pa.RecordBatch.from_arrays([*[b.column(k)[lo:hi] for k in keep], out], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*[b.column(k)[lo:hi] for k in keep], out], [*keep, output])
     return run
 
 
-def score(docs: DataFrame, model: Machine, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of ``docs`` (default all) and ``score``, which
-    replaces a column of that name; ``text`` stays as it is."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c != "score"]
+def score(docs: DataFrame, model: Machine, text: str = "text", keep: list[str] | None = None, output: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` (default all) and the score as ``output``,
+    which replaces a column of that name; ``text`` stays as it is."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c != output]
     d = docs.select(*keep, text_of(text).alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields if f.name != "__text")
-    return map_arrow(d, _scorer(model, keep), f"{schema}, score double")
+    return map_arrow(d, _scorer(model, keep, output), f"{schema}, `{output}` double")
