@@ -200,9 +200,13 @@ def access_decision(spark, sf):
     """allow/deny with reason for every request (role, subscription,
     paid-only endpoints, monthly scoring quota)."""
     req = S.visits(spark, sf)
+    return X.access_decision(req, account_status(spark, sf, req)).select("id", "user_id", "endpoint", "decision", "reason")
+
+
+def account_status(spark, sf, req):
+    """(id, role, status, is_free) of every account that a request names."""
     u, d, a = S.users(spark, sf), S.doctors(spark, sf), S.admins(spark, sf)
     ids = req.where(F.col("user_id").isNotNull()).select(F.col("user_id").alias("id")).distinct()
     roles = A.resolve_role(ids, u, d, a, ("users", "doctors", "admins"))
     st = A.subscription_status(ids, S.user_subscriptions(spark, sf), S.subscription_plans(spark, sf), roles)
-    st = st.join(roles.select("id", "role"), "id")
-    return X.access_decision(req, st).select("id", "user_id", "endpoint", "decision", "reason")
+    return st.join(roles.select("id", "role"), "id")

@@ -37,13 +37,29 @@ def delay_of(requests: DataFrame, ts: str = "ts") -> str:
     return f"{(span or 0) + 2} seconds"
 
 
-class _Cooldown(StatefulProcessor):
-    def __init__(self, gap_us: int, chunk_us: int):
-        self.gap, self.chunk = gap_us, chunk_us
+class InOrder(StatefulProcessor):
+    """Decides each key's requests in event-time order, a time chunk at a time.
+
+    Subclasses say what is carried from one request to the next (two whole
+    numbers), and until when it matters. Rows have t (microseconds) and id;
+    ``shape`` makes the rows to return from ids and flags."""
+
+    def __init__(self, chunk_us: int):
+        self.chunk = chunk_us
+
+    def decide(self, key, times: np.ndarray, carried: tuple[int, int] | None) -> tuple[np.ndarray, tuple[int, int] | None]:
+        raise NotImplementedError
+
+    def matters_until(self, key, carried: tuple[int, int]) -> int:
+        """The first millisecond at which nothing depends on ``carried`` any more."""
+        raise NotImplementedError
+
+    def shape(self, key, ids: np.ndarray, accepted: np.ndarray) -> pd.DataFrame:
+        raise NotImplementedError
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "t long")
+        self.carried = handle.getValueState("carried", "a long, b long")
         self.waiting = handle.getMapState("waiting", "chunk long", "times array<long>, ids array<long>")
 
     def _end(self, chunk: int) -> int:
@@ -68,33 +84,54 @@ class _Cooldown(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
         due = sorted(c for (c,) in self.waiting.keys() if self._end(c) <= passed)
-        last = self.last.get()[0] if self.last.exists() else None
+        carried = tuple(self.carried.get()) if self.carried.exists() else None
         for c in due:
             times, ids = (np.array(x, dtype=np.int64) for x in self.waiting.getValue((c,)))
             order = np.lexsort((ids, times))
-            times, ids = times[order], ids[order]
-            accepted = np.zeros(len(times), dtype=np.int32)
-            at = 0 if last is None else int(np.searchsorted(times, last + self.gap))
-            while at < len(times):  # from one accepted request to the next
-                accepted[at] = 1
-                last = int(times[at])
-                at = max(at + 1, int(np.searchsorted(times, last + self.gap)))
+            accepted, carried = self.decide(key, times[order], carried)
             self.waiting.removeKey((c,))
-            yield pd.DataFrame({"id": ids, "user_id": [key[0]] * len(ids), "accepted": accepted})
-        if last is None:
+            yield self.shape(key, ids[order], accepted)
+        if carried is None:
             return
-        over = -(-(last + self.gap) // 1000)
+        over = self.matters_until(key, carried)
         if over > passed:
-            self.last.update((last,))
+            self.carried.update(carried)
             if due:
                 self.handle.registerTimer(over)
-        elif self.last.exists():
-            self.last.clear()
+        elif self.carried.exists():
+            self.carried.clear()
 
     def close(self) -> None:
         pass
 
 
+def cooldown_flags(times: np.ndarray, last: int | None, gap: int) -> tuple[np.ndarray, int | None]:
+    """Accepted requests among sorted times, and the last accepted one."""
+    accepted = np.zeros(len(times), dtype=np.int32)
+    at = 0 if last is None else int(np.searchsorted(times, last + gap))
+    while at < len(times):  # from one accepted request to the next
+        accepted[at] = 1
+        last = int(times[at])
+        at = max(at + 1, int(np.searchsorted(times, last + gap)))
+    return accepted, last
+
+
+class _Cooldown(InOrder):
+    def __init__(self, gap_us: int, chunk_us: int):
+        super().__init__(chunk_us)
+        self.gap = gap_us
+
+    def decide(self, key, times, carried):
+        accepted, last = cooldown_flags(times, carried and carried[0], self.gap)
+        return accepted, (last, 0)
+
+    def matters_until(self, key, carried):
+        return -(-(carried[0] + self.gap) // 1000)
+
+    def shape(self, key, ids, accepted):
+        return pd.DataFrame({"id": ids, "user_id": [key[0]] * len(ids), "accepted": accepted})
+
+
 def stream_cooldown_chunks(requests: DataFrame, gap_us: int, delay: str, chunk_us: int = US_PER_HOUR) -> DataFrame:
     """Per-request accept flag (id, user_id, accepted), in event-time order."""
     s = (requests.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)

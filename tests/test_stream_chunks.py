@@ -40,3 +40,37 @@ def test_a_long_log_in_mixed_files_loses_nothing(spark):
 def test_delay_of_the_log(spark):
     df = spark.createDataFrame([(0,), (90_500_000,)], "t long").select(F.timestamp_micros("t").alias("ts"))
     assert cooldown.delay_of(df) == "92 seconds" and cooldown.delay_of(df.limit(0)) == "2 seconds"
+
+
+def test_access_stream_equals_the_batch_rules(spark):
+    """Quotas over month ends, visitors with and without sessions, accounts unknown to the status table."""
+    from cohortlab.operators import access as X
+    from cohortlab.streaming import access
+    rng = random.Random(2)
+    rows = []
+    for i in range(600):
+        user = rng.choice((None, None, 1, 2, 3, 4, 99))
+        rows.append((i, user, rng.choice(("s1", "s2", None)), rng.choice(("predict", "predict", "chat", "book_appointment", "home")),
+                     rng.randrange(100 * DAY)))
+    rows += [(700, 2, None, "predict", 31 * DAY), (701, 2, None, "predict", 31 * DAY - 1), (702, 2, None, "predict", 31 * DAY - 1)]
+    df = spark.createDataFrame(rows, "id long, user_id long, session_id string, endpoint string, t long").select(
+        "id", "user_id", "session_id", "endpoint", F.timestamp_micros("t").alias("ts"))
+    status = spark.createDataFrame([(1, "admin", "active", False), (2, "user", "inactive", True), (3, "user", "active", False),
+                                    (4, "doctor", "active", None)], "id long, role string, status string, is_free boolean")
+    path = scratch_path(spark, "visit_log")
+    df.repartition(4, "id").write.parquet(path)
+    for k in (1, 2):
+        spark.createDataFrame([(-k, None, None, None, (900 * k) * DAY)], "id long, user_id long, session_id string, endpoint string, t long") \
+            .select("id", "user_id", "session_id", "endpoint", F.timestamp_micros("t").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+    cooldown.use_rocksdb(spark)
+    st = access.stream_access(jobs.request_stream(spark, path, df.schema, 2), status, cooldown.delay_of(df), quota=2, days=10)
+    got = spark.read.parquet(jobs.run_to_parquet(st, "access")).where("id >= 0")
+    want = X.access_decision(df, status, quota=2, days=10).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {r.reason for r in got.collect()} == {"login required", "anonymous", "cool-down", "paid or admin", "paid only",
+                                                 "within quota", "monthly limit", "unrestricted"}
+
+
+def test_month_ends():
+    from cohortlab.streaming.access import _month_end
+    assert _month_end(12 * 1970) == 31 * 86_400_000 and _month_end(12 * 1970 + 11) == 365 * 86_400_000
