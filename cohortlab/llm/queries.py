@@ -155,8 +155,8 @@ FROM c"""
 def quality_cascade(spark, sf_dir):
     """Counters of every document, and the cascade's verdict."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = quality_rules.counters(docs)
-    judged = quality_rules.cascade(counted, quality_rules.default_rules())
+    judged = quality_rules.cascade(quality_rules.counters(docs), quality_rules.default_rules(), sample_from=docs,
+                                   prepare=quality_rules.counters)
     base = quality_rules.base_rules()
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          (base[0].rejects() | base[1].rejects()).alias("base_failed"), "kept")

@@ -29,9 +29,9 @@ def plain(v):
     return None if isinstance(v, float) and math.isnan(v) else round(v, 6) if isinstance(v, float) else v
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = E.queries().keys()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "secret_scan", "mix"]
 
 
@@ -123,3 +123,10 @@ def test_pipeline_stages_keep_columns_and_take_odd_rows(spark):
             assert out.columns == frame.columns and out.schema.simpleString() == frame.schema.simpleString()
             assert out.count() <= docs.count()
         corpus_pipeline.mix(spark, docs, SF001).count()
+
+
+def test_pipeline_quality_keeps_a_column_named_as_its_score(spark):
+    frame = spark.read.parquet(f"{SF001}/documents.parquet").limit(60).selectExpr("*", "concat('s', doc_id) AS score")
+    out = corpus_pipeline.quality(spark, frame, SF001)
+    assert out.schema.simpleString() == frame.schema.simpleString()
+    assert all(r.score == f"s{r.doc_id}" for r in out.collect())

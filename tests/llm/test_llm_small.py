@@ -491,8 +491,28 @@ def test_benchmark_shards_agree(spark):
     assert len(parts) > 1 and sorted(i for ids, _ in parts for i in ids) == list(range(30))
 
 
+def test_items_and_documents_are_lowered_alike(spark):
+    """Final sigma, dotted capital i, sharp s: a verbatim copy is found whatever lower-casing does to it."""
+    item = "ΟΔΟΣ ΛΟΓΟΣ ΘΕΟΣ ΚΟΣΜΟΣ ΝΟΜΟΣ İSTANBUL İZMİR STRASSE GROẞ ΑΓΡΟΣ ΤΟΠΟΣ ΧΡΟΝΟΣ ΔΡΟΜΟΣ"
+    docs = spark.createDataFrame([(1, "before " * 30 + item + " after" * 30), (2, "before " * 60)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.hits(docs, items).collect()} == {(1, 7)}
+
+
 # ------------------------------------------------------------------ 10
 
+def test_rules_over_their_own_counters(spark):
+    """Rules that compute what they need from the text give the verdicts of those over counter columns."""
+    docs = frame(spark, varied(12) + [(900, "x# $y |\n" * 30), (901, None),
+                                   (902, " ".join(a + b + c for a in "bcdfg" for b in "aeiou" for c in "lmnr"))])
+    own = quality_rules.cascade(docs, quality_rules.default_rules(counter=quality_rules.own_counters()), sample_rows=30)
+    counted = quality_rules.cascade(quality_rules.counters(docs), quality_rules.default_rules(), sample_from=docs,
+                                    sample_rows=30, prepare=quality_rules.counters)
+    assert own.columns == [*docs.columns, "kept"]
+    verdicts = [{r.doc_id: r.kept for r in x.select("doc_id", "kept").collect()} for x in (own, counted)]
+    assert verdicts[0] == verdicts[1] and len(set(verdicts[0].values())) == 2
+
+
 def test_quality_counters_and_cascade(spark):
     rows = varied(11) + [(900, "a\nb\na\n\n \na"), (901, "x# $y |\n" * 30), (902, "A B C A B C A"), (903, None)]
     docs = clashing(frame(spark, rows))
