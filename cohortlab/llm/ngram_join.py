@@ -132,7 +132,7 @@ def sketches(h: np.ndarray, at: np.ndarray) -> list[bytes]:
     return out
 
 
-def _nodes(size: int):
+def _nodes(size: int, sketch: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offsets in texts(b, "text"):
@@ -140,7 +140,7 @@ def _nodes(size: int):
                 k1, k2 = identities(h, at)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id")[lo:hi], pa.array(np.diff(at).astype(np.int64)), pa.array(k1), pa.array(k2),
-                     pa.array(sketches(h, at), pa.binary())], ["doc_id", "n", "k1", "k2", "sketch"])
+                     pa.array(sketches(h, at) if sketch else [None] * (hi - lo), pa.binary())], ["doc_id", "n", "k1", "k2", "sketch"])
     return run
 
 
@@ -403,7 +403,7 @@ def link_components(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     """(id, n_shingles, component_id) for every row of ``df``. ``sketch`` drops
     members by their sketches first, which pays at low thresholds."""
     docs = ids_and_texts(df, id_col, text)
-    nodes = checkpoint_table(map_arrow(docs, _nodes(size), "doc_id long, n long, k1 long, k2 long, sketch binary"),
+    nodes = checkpoint_table(map_arrow(docs, _nodes(size, sketch), "doc_id long, n long, k1 long, k2 long, sketch binary"),
                              "shingle_sets")
     firsts = nodes.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
     reps = checkpoint_table(nodes.join(firsts, ["k1", "k2", "n"], "left").select("doc_id", "n", "rep"), "set_classes")
