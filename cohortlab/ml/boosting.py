@@ -3,10 +3,10 @@
 Every feature is cut into at most 255 bins at its quantiles; a missing value has
 a bin of its own. A round grows one tree level by level. For each level one job
 sums gradients p - y and Hessians p (1 - p) of the log loss by (node, feature,
-bin): within tasks in numpy, across them in an aggregate. Running sums over the
+bin): within tasks in numpy, and dealt by (node, feature). Running sums over the
 bins of each (node, feature) give the regularised gain of every cut, with the
-missing rows on the left and on the right, and the best one of each node comes
-back to the driver (at most 2^depth rows). Leaves take the Newton step
+missing rows on the left and on the right, and the best ones come back to the
+driver (at most 2^depth rows a task). Leaves take the Newton step
 -G / (H + reg), times the learning rate.
 
 Rows never leave the executors and are never written per round: tasks rebuild
@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -194,49 +194,79 @@ def _level(trees: list[Tree], tree: Tree, level: int, width: int):
     return run
 
 
-def gains(histogram: DataFrame, spec: BoostSpec) -> DataFrame:
-    """Every cut of every node: (node, feature, bin, gain, missing_left, g, h of
-    the node and of its left side, n, n_left). Gains are null where a side has
-    no rows or too little weight."""
-    # as SQL text: a job for every level of every tree, whose expressions should not take longer than the job
-    own, known = "OVER (PARTITION BY node, feature)", f"bin <> {ABSENT}"
-    upto = "OVER (PARTITION BY node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    sums = [f"sum({c}) {own} AS {c}_all" for c in "ghn"]
-    sums += [f"sum(CASE WHEN {known} THEN 0 ELSE {c} END) {own} AS {c}_gone" for c in "ghn"]
-    sums += [f"sum(CASE WHEN {known} THEN {c} ELSE 0 END) {upto} AS {c}_upto" for c in "ghn"]
-    d = histogram.selectExpr("node", "feature", "bin", *sums).where(known)
+_CUTS = ("node int, feature int, bin int, gain double, missing_left boolean, g_left double, h_left double, n_left long, "
+         "g double, h double, n long")
+
+
+def _cut_rows(batches: Iterator[pa.RecordBatch], spec: BoostSpec) -> dict[str, np.ndarray]:
+    """Every cut of the (node, feature) groups whose sums a task has, by node,
+    feature and bin; a loss row (node -1) keeps its sums."""
+    parts = [[b.column(c).to_numpy() for c in ("node", "feature", "bin", "g", "h", "n")] for b in batches]
+    node, feature, bin_, g, h, n = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.empty(0)] * 6
+    loss = node < 0
+    wide = int(feature.max(initial=0)) + 1
+    keys, group = np.unique(node[~loss].astype(np.int64) * wide + feature[~loss], return_inverse=True)
+    sums = np.zeros((3, len(keys), 256))
+    for k, v in enumerate((g, h, n)):
+        np.add.at(sums[k], (group, bin_[~loss].astype(np.int64)), v[~loss])
+    whole, gone, upto = sums.sum(axis=2), sums[:, :, ABSENT], np.cumsum(sums[:, :, :ABSENT], axis=2)
+
+    def side(extra: int) -> tuple[np.ndarray, np.ndarray]:
+        left = upto + extra * gone[:, :, None]
+        right = whole[:, :, None] - left
+        score = left[0] ** 2 / (left[1] + spec.reg) + right[0] ** 2 / (right[1] + spec.reg) - (whole[0] ** 2 / (whole[1] + spec.reg))[:, None]
+        ok = (left[2] > 0) & (right[2] > 0) & (left[1] >= spec.child_weight) & (right[1] >= spec.child_weight)
+        return np.where(ok, score, -np.inf), left
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        (gain_l, left_l), (gain_r, left_r) = side(1), side(0)
+    to_left = (gone[2] > 0)[:, None] & (np.maximum(gain_l, -1) > np.maximum(gain_r, -1))
+    gain, left = np.where(to_left, gain_l, gain_r), np.where(to_left, left_l, left_r)
+    at, cut = np.nonzero(sums[2][:, :ABSENT])
+    out = {"node": keys[at] // wide, "feature": keys[at] % wide, "bin": cut, "gain": gain[at, cut], "missing_left": to_left[at, cut],
+           "g_left": left[0][at, cut], "h_left": left[1][at, cut], "n_left": left[2][at, cut],
+           "g": whole[0][at], "h": whole[1][at], "n": whole[2][at]}
+    if loss.any():
+        own = {"node": -1, "feature": -1, "bin": -1, "gain": -np.inf, "missing_left": False, "g": g[loss].sum(), "n": n[loss].sum()}
+        out = {k: np.append(v, own.get(k, 0)) for k, v in out.items()}
+    return out
 
-    def side(extra: int) -> str:
-        g, h, n = (f"({c}_upto + {extra} * {c}_gone)" for c in "ghn")
-        gr, hr, nr = f"(g_all - {g})", f"(h_all - {h})", f"(n_all - {n})"
-        score = f"{g} * {g} / ({h} + {spec.reg}D) + {gr} * {gr} / ({hr} + {spec.reg}D) - g_all * g_all / (h_all + {spec.reg}D)"
-        valid = f"{n} > 0 AND {nr} > 0 AND {h} >= {spec.child_weight}D AND {hr} >= {spec.child_weight}D"
-        return (f"named_struct('gain', CASE WHEN {valid} THEN {score} END, 'missing_left', {bool(extra)}, "
-                f"'g_left', {g}, 'h_left', {h}, 'n_left', CAST({n} AS BIGINT))")
 
-    d = d.selectExpr("*", f"{side(1)} AS l", f"{side(0)} AS r")
-    better = "CASE WHEN n_gone > 0 AND coalesce(l.gain, -1D) > coalesce(r.gain, -1D) THEN l ELSE r END AS s"
-    return d.selectExpr("node", "feature", "bin", better, "g_all AS g", "h_all AS h", "CAST(n_all AS BIGINT) AS n") \
-        .selectExpr("node", "feature", "bin", "s.*", "g", "h", "n")
+def _cuts(spec: BoostSpec, best: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _cut_rows(batches, spec)
+        if best:  # of each node here: the greatest gain, then the first feature and bin
+            order = np.lexsort((rows["bin"], rows["feature"], -np.maximum(rows["gain"], -1), rows["node"]))
+            node = rows["node"][order]
+            first = np.ones(len(node), dtype=bool)
+            first[1:] = node[1:] != node[:-1]
+            rows = {k: v[order[first]] for k, v in rows.items()}
+        kinds = {"node": pa.int32(), "feature": pa.int32(), "bin": pa.int32(), "missing_left": pa.bool_(), "n_left": pa.int64(), "n": pa.int64()}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v, mask=np.isneginf(v) if k == "gain" else None).cast(kinds.get(k, pa.float64()), safe=False) for k, v in rows.items()],
+            list(rows))
+    return run
 
 
-def _best(found: DataFrame) -> DataFrame:
-    """The best cut of each node (ties: first feature, then bin), and its sums."""
-    return found.groupBy("node").agg(F.expr(
-        f"max_by(struct({', '.join(found.columns[1:])}), struct(coalesce(gain, -1D), -feature, -bin)) AS s")).select("node", "s.*")
+def gains(sums: DataFrame, spec: BoostSpec) -> DataFrame:
+    """Every cut of every node: (node, feature, bin, gain, missing_left, g, h, n
+    of its left side and of the node). Gains are null where a side has no rows or
+    too little weight."""
+    return sums.mapInArrow(_cuts(spec, False), _CUTS)
 
 
 # ------------------------------------------------------------------ fitting
 
 def histogram(data: DataFrame, trees: list[Tree], tree: Tree, level: int, width: int, tasks: int) -> DataFrame:
-    """Sums over all rows by (node, feature, bin). The sums of ``tasks`` tasks are dealt by (node,
-    feature), which all that follows keeps; to one task if they are few in total."""
+    """Sums of (node, feature, bin), a task's sums each, dealt by (node, feature); to
+    one task if they are few in total."""
     parts = data.mapInArrow(_level(trees, tree, level, width), _HISTOGRAM)
     if tasks * 2 ** level * width * 256 > ONE_TASK:
+        # loss rows have a feature of their own, so they fall to one of the tasks
         parts = parts.repartition(int(data.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node", "feature")
     elif tasks > 1:
         parts = parts.repartition(1)
-    return parts.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
+    return parts
 
 
 def binned(df: DataFrame, features: list[str], label: str, cuts: list[list[float]]) -> DataFrame:
@@ -251,10 +281,15 @@ def _grown(data: DataFrame, trees: list[Tree], spec: BoostSpec, width: int, task
     tree, loss = Tree.empty(spec.depth), math.nan
     for level in range(spec.depth):
         first = 2 ** level - 1
-        rows = _best(gains(histogram(data, trees, tree, level, width, tasks), spec)).collect()  # one row a node of the level
-        total = next((r for r in rows if r["node"] < 0 and r["n"]), None)
-        loss = total["g"] / total["n"] if total and level == 0 else loss
-        rows = [r for r in rows if r["node"] >= 0]
+        sums = histogram(data, trees, tree, level, width, tasks)
+        found = sums.mapInArrow(_cuts(spec, True), _CUTS).collect()  # a row for each node of the level that a task has
+        lost = [r for r in found if r["node"] < 0]
+        if level == 0 and sum(r["n"] for r in lost):
+            loss = sum(r["g"] for r in lost) / sum(r["n"] for r in lost)
+        best: dict[int, Row] = {}
+        for r in sorted(found, key=lambda r: (-1 if r["gain"] is None else r["gain"], -r["feature"], -r["bin"])):
+            best[r["node"]] = r
+        rows = [r for k, r in best.items() if k >= 0]
         split = False
         for r in rows:
             i = first + r["node"]

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import rules, scalars
 from ..operators import activity as A
+from ..operators import sketches as K
+from ..session import scratch_path
 from ..sources import standins as S
+from ..sources.tables import checkpoint_table
 from . import oracle as O
 from .registry import query
 
@@ -424,3 +427,34 @@ def risk_bands(spark, sf):
     p = rules.round_prob("health_score")
     return r.select("id", p.alias("prob"), rules.risk_band(p).alias("risk"),
                     rules.result_text((p > 0.5).cast("int")).alias("result"))
+
+
+# ---------------------------------------------------------------- daily quantile sketches (A10)
+
+SHARES = [0.25, 0.5, 0.75]
+
+
+@query("daily_quantiles", W(f"""
+, r AS (SELECT CAST(created_at AS DATE) AS day, health_score AS v FROM records WHERE health_score IS NOT NULL),
+a AS (SELECT day, count(*) AS n FROM r GROUP BY day UNION ALL SELECT NULL, count(*) FROM r)
+SELECT day, CAST(p AS DOUBLE) AS p, CAST(n AS BIGINT) AS n, true AS within FROM a, unnest({SHARES}) t(p) WHERE n > 0"""))
+def daily_quantiles(spark, sf_dir):
+    """A10: a sketch a day, stored a day at a time (the first one twice), asked a
+    day and merged over all days (null day); whether the exact rank of every
+    answer is as close as the sketch promises (four times its 99% bound)."""
+    r = S.records(spark, sf_dir).select(F.col("created_at").cast("date").alias("day"), F.col("health_score").alias("v"))
+    days = checkpoint_table(K.daily_sketches(r, F.col("day"), [], "v"), "daily_sketches")
+    path = scratch_path(spark, "stored_sketches")
+    names = [x["day"] for x in days.select("day").distinct().orderBy("day").collect()]  # a row a day
+    for d in [*names, *names[:1]]:
+        K.store_day(days.where(F.col("day") == F.lit(d)), path, str(d))
+    held = K.stored(spark, path, days.schema)
+    whole = K.merged(held.withColumn("day", F.lit(None).cast("date")), ["day"])
+    asked = K.quantiles(held, ["day"], SHARES).unionByName(K.quantiles(whole, ["day"], SHARES))
+    rows = r.where("v is not null").withColumn("day", F.explode(F.array("day", F.lit(None).cast("date"))))
+    met = rows.join(F.broadcast(asked.withColumnRenamed("day", "d")), F.col("day").eqNullSafe(F.col("d")))  # three rows a day
+    exact = met.groupBy("day", "p").agg(F.count("*").alias("n"), F.count_if(F.col("v") < F.col("q")).alias("below"),
+                                        F.count_if(F.col("v") <= F.col("q")).alias("upto"))
+    slack = F.lit(4 * K.rank_error()) * F.col("n") + 1
+    return exact.select("day", "p", "n", ((F.col("below") <= F.col("p") * F.col("n") + slack)
+                                          & (F.col("upto") >= F.col("p") * F.col("n") - slack)).alias("within"))

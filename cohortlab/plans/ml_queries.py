@@ -103,6 +103,53 @@ def assemble(spark, sf):
     return pre.transform(df).select(C.ID_COL, vector_to_array("features").alias("features"))
 
 
+def _assembled_sql() -> str:
+    numeric = [c for c in COMBINED if c != "SEGMENT"]
+    parts = []
+    for i, c in enumerate(numeric):
+        v = f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM labelled))"
+        parts.append(f"SELECT SEQN, {i} AS place, '{c}' AS feature, round_even(({v} - avg({v}) OVER ()) / CASE WHEN coalesce("
+                     f"stddev_pop({v}) OVER (), 0) = 0 THEN 1 ELSE stddev_pop({v}) OVER () END, 6) AS value FROM labelled")
+    for k, x in enumerate(SEGMENTS[1:], len(numeric)):
+        parts.append(f"SELECT SEQN, {k}, 'SEGMENT={x}', CASE WHEN coalesce(SEGMENT, 'missing') = '{x}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
+                     "FROM labelled")
+    return O.with_cohort("\nUNION ALL ".join(parts))
+
+
+@query("assembled_values", _assembled_sql())
+def assembled_values(spark, sf):
+    """M1-M6: every value of the assembled vector, by place and feature name."""
+    df = combined(spark, sf)
+    num, cat = PP.split_types(df, COMBINED, C.ID_COL)
+    pre = PP.fit_preprocessor(df, num, cat)
+    x = pre.transform(df).select(C.ID_COL, F.posexplode(vector_to_array("features")).alias("place", "value"))
+    names = F.array(*map(F.lit, pre.feature_names))
+    return x.select(C.ID_COL, "place", F.get(names, F.col("place")).alias("feature"), F.bround("value", 6).alias("value"))
+
+
+MODEL_SETS = {"clinical": C.CLINICAL_FEATURES, "general": C.GENERAL_FEATURES, "combined": C.CLINICAL_FEATURES + C.GENERAL_FEATURES}
+
+
+@query("saved_models", O.with_cohort("\nUNION ALL ".join(
+    f"SELECT '{k}' AS dataset, count(*) AS n_rows, count(*) AS n_same FROM labelled" for k in MODEL_SETS)))
+def saved_models(spark, sf):
+    """For each of the three feature sets, preprocessor and random forest
+    fitted on all rows, saved as one model and loaded; rows that both answer alike."""
+    lab = ML.prepare(checkpoint_table(labelled(spark, sf), "labelled_cohort"), [])
+    out = None
+    for name, features in MODEL_SETS.items():
+        df = lab.select(C.ID_COL, Y, ML.LABEL, *features)
+        num, cat = PP.split_types(df, features, C.ID_COL)
+        model = ML.fit_model(ML.ModelSpec("Random Forest"), df, PP.fit_preprocessor(df, num, cat))
+        back = ML.load_model(ML.save_model(model, scratch_path(spark, f"model_{name}")))
+        both = ML.predict(model, df, [C.ID_COL]).join(ML.predict(back, df, [C.ID_COL]).select(
+            C.ID_COL, F.col("prediction").alias("p2"), F.col("prob").alias("q2")), C.ID_COL)
+        one = both.agg(F.count("*").alias("n_rows"), F.count_if((F.col("prediction") == F.col("p2")) & (F.col("prob") == F.col("q2")))
+                       .alias("n_same")).select(F.lit(name).alias("dataset"), "n_rows", "n_same")
+        out = one if out is None else out.union(one)
+    return out
+
+
 def _train(spark, sf, name):
     from ..operators import metrics as M
     df = ML.prepare(M.stratified_split(combined(spark, sf), Y, C.ID_COL), COMBINED)
