@@ -47,8 +47,9 @@ def stream_rate_limit(spark, sf):
 def stream_cooldown(spark, sf):
     """W5 as a stateful stream: decisions in event-time order."""
     path, schema = _request_files(spark, sf)
+    log = S.requests(spark, sf)
     st = jobs.stream_cooldown(jobs.request_stream(spark, path, schema, 2), COOLDOWN_TEST_DAYS * US_PER_DAY,
-                              cooldown.delay_of(S.requests(spark, sf)))
+                              cooldown.delay_of(log), cooldown.slots_of(log))
     return spark.read.parquet(jobs.run_to_parquet(st, "cooldown")).where("user_id is not null")
 
 
@@ -57,8 +58,9 @@ def stream_cooldown_chunks(spark, sf):
     """W5 as a stream with a state row per client and time chunk, and a delay taken from the log."""
     path, schema = _request_files(spark, sf)
     cooldown.use_rocksdb(spark)
+    log = S.requests(spark, sf)
     st = cooldown.stream_cooldown_chunks(jobs.request_stream(spark, path, schema, 2), COOLDOWN_TEST_DAYS * US_PER_DAY,
-                                         cooldown.delay_of(S.requests(spark, sf)), US_PER_DAY)
+                                         cooldown.delay_of(log), US_PER_DAY, cooldown.slots_of(log))
     return spark.read.parquet(jobs.run_to_parquet(st, "cooldown")).where("user_id is not null")
 
 
@@ -69,7 +71,8 @@ def stream_access(spark, sf):
     path, schema = _request_files(spark, sf, visits)
     status = checkpoint_table(account_status(spark, sf, visits), "account_status")
     cooldown.use_rocksdb(spark)
-    st = access.stream_access(jobs.request_stream(spark, path, schema, 2), status, cooldown.delay_of(visits))
+    st = access.stream_access(jobs.request_stream(spark, path, schema, 2), status, cooldown.delay_of(visits),
+                              slots=cooldown.slots_of(visits))
     return spark.read.parquet(jobs.run_to_parquet(st, "access")).where("id >= 0")
 
 

@@ -3,9 +3,9 @@
 The request stream is joined with the (static) table of account status. Most
 requests are decided by that alone and leave at once. Scoring requests that
 depend on earlier ones, of free accounts (a number a calendar month) and of
-visitors (cool-down of their session), go through keyed state: they are decided
-in event-time order when the watermark has passed them (see ``cooldown``), and
-a month's count goes when the month is over.
+visitors (cool-down of their session), go through state keyed by slots of clients:
+they are decided in event-time order when the watermark has passed them (see
+``cooldown``), and a month's count goes when the month is over.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .cooldown import US_PER_HOUR, InOrder, cooldown_flags
+from .cooldown import DEFAULT_SLOTS, US_PER_HOUR, InOrder, cooldown_flags, slot
 
 QUOTA, COOLDOWN = "quota", "cool-down"
 US_PER_DAY = 24 * US_PER_HOUR
@@ -30,32 +30,41 @@ def _month_end(month: int) -> int:
     return int((dt.datetime(year, place + 1, 1) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
 
 
+def _parts(who: str) -> tuple[str, int, str]:
+    """(rule, month, client) of a name in the state."""
+    rule, month, name = who.split("|", 2)
+    return rule, int(month), name
+
+
 class _Access(InOrder):
-    """Keys are (client, rule, month); months count for the quota only."""
+    """Names are rule|month|client; months count for the quota only."""
 
     def __init__(self, quota: int, gap_us: int, chunk_us: int):
         super().__init__(chunk_us)
         self.quota, self.gap = quota, gap_us
 
-    def decide(self, key, times, carried):
-        if key[1] == COOLDOWN:
+    def decide(self, who, times, carried):
+        if _parts(who)[0] == COOLDOWN:
             accepted, last = cooldown_flags(times, carried and carried[0], self.gap)
             return accepted, (last, 0)
         used = carried[1] if carried else 0
         return (np.arange(len(times)) < self.quota - used).astype(np.int32), (0, min(used + len(times), self.quota))
 
-    def matters_until(self, key, carried):
-        return -(-(carried[0] + self.gap) // 1000) if key[1] == COOLDOWN else _month_end(key[2])
+    def matters_until(self, who, carried):
+        rule, month, _ = _parts(who)
+        return -(-(carried[0] + self.gap) // 1000) if rule == COOLDOWN else _month_end(month)
 
-    def shape(self, key, ids, accepted):
-        user = int(key[0]) if key[1] == QUOTA else None
-        return pd.DataFrame({"id": ids, "user_id": pd.array([user] * len(ids), dtype="Int64"), "rule": key[1], "accepted": accepted})
+    def shape(self, who, ids, accepted):
+        rules = [_parts(w) for w in who]
+        users = [int(name) if rule == QUOTA else None for rule, _, name in rules]
+        return pd.DataFrame({"id": ids, "user_id": pd.array(users, dtype="Int64"), "rule": [r[0] for r in rules], "accepted": accepted})
 
 
 def stream_access(requests: DataFrame, status: DataFrame, delay: str, quota: int = C.MONTHLY_FREE_SCORINGS,
-                  days: float = C.COOLDOWN_DAYS, chunk_us: int = US_PER_DAY) -> DataFrame:
+                  days: float = C.COOLDOWN_DAYS, chunk_us: int = US_PER_DAY, slots: int = DEFAULT_SLOTS) -> DataFrame:
     """(id, user_id, endpoint, decision, reason) of a stream of requests (id,
-    user_id, session_id, endpoint, ts); ``status`` is (id, role, status, is_free)."""
+    user_id, session_id, endpoint, ts); ``status`` is (id, role, status, is_free).
+    ``slots`` is fixed for the life of a checkpoint."""
     c = F.col
     st = status.select(c("id").alias("__uid"), F.coalesce(
         (c("role") == "admin") | ((c("status") == "active") & ~F.coalesce(c("is_free"), F.lit(True))), F.lit(False)).alias("paid"))
@@ -70,11 +79,12 @@ def stream_access(requests: DataFrame, status: DataFrame, delay: str, quota: int
         "id", "user_id", "endpoint", F.when(allowed, "allow").otherwise("deny").alias("decision"), reason.alias("reason"))
 
     visitor = F.coalesce(c("session_id").cast("string"), F.concat(F.lit("request "), c("id").cast("string")))
+    month = F.when(anon, 0).otherwise(12 * F.year("ts") + F.month("ts") - 1)
     later = j.where(ordered).select(
-        "id", "ts", F.unix_micros("ts").alias("t"), F.coalesce(c("user_id").cast("string"), visitor).alias("client"),
-        F.when(anon, COOLDOWN).otherwise(QUOTA).alias("rule"),
-        F.when(anon, 0).otherwise(12 * F.year("ts") + F.month("ts") - 1).cast("long").alias("month"))
-    flags = later.groupBy("client", "rule", "month").transformWithStateInPandas(
+        "id", "ts", F.unix_micros("ts").alias("t"), F.concat_ws(
+            "|", F.when(anon, COOLDOWN).otherwise(QUOTA), month.cast("string"),
+            F.coalesce(c("user_id").cast("string"), visitor)).alias("who"))
+    flags = later.withColumn("slot", slot(c("who"), slots)).groupBy("slot").transformWithStateInPandas(
         statefulProcessor=_Access(quota, round(days * US_PER_DAY), chunk_us),
         outputStructType="id long, user_id long, rule string, accepted int", outputMode="append", timeMode="EventTime")
     ok, counted = c("accepted") == 1, c("rule") == QUOTA

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..session import drop_path, scratch_path
+from .cooldown import DEFAULT_SLOTS, by_client, client, cooldown_flags, decisions, slot
 
 
 def run_to_parquet(stream: DataFrame, name: str) -> str:
@@ -68,46 +69,48 @@ def stream_rate_limit(requests: DataFrame, width: str, limits: dict, default: in
 
 def _cooldown_fn(gap_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, times, ids = state.get if state.exists else (None, [], [])
-        t, i = [np.asarray(times, dtype=np.int64)], [np.asarray(ids, dtype=np.int64)]
+        clients, lasts, names, times, ids = state.get if state.exists else ([], [], [], [], [])
+        last = dict(zip(clients, lasts, strict=True))
+        w, t, i = [np.array(names, dtype=object)], [np.asarray(times, dtype=np.int64)], [np.asarray(ids, dtype=np.int64)]
         if not state.hasTimedOut:
             for pdf in pdfs:
+                w.append(pdf["who"].to_numpy(object))
                 t.append(pdf["t"].to_numpy(np.int64))
                 i.append(pdf["id"].to_numpy(np.int64))
-        t, i = np.concatenate(t), np.concatenate(i)
-        order = np.lexsort((i, t))
-        t, i = t[order], i[order]
+        w, t, i = np.concatenate(w), np.concatenate(t), np.concatenate(i)
         passed = state.getCurrentWatermarkMs() * 1000
-        n = int(np.searchsorted(t, passed, side="right"))  # no older request can come
-        accepted = np.zeros(n, dtype=np.int32)
-        at = 0 if last is None else int(np.searchsorted(t[:n], last + gap_us))
-        while at < n:  # from one accepted request to the next
-            accepted[at] = 1
-            last = int(t[at])
-            at = max(at + 1, int(np.searchsorted(t[:n], last + gap_us)))
-        if n:
-            yield pd.DataFrame({"id": i[:n], "user_id": [key[0]] * n, "accepted": accepted})
-        if n < len(t):
-            state.update((last, t[n:].tolist(), i[n:].tolist()))
-            state.setTimeoutTimestamp(max(int(t[n]) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        elif last is not None and last + gap_us > passed:
-            state.update((last, [], []))
-            state.setTimeoutTimestamp((last + gap_us) // 1000 + 1)
-        elif state.exists:
-            state.remove()
+        due, later = t <= passed, t > passed  # no older request can come
+        if due.any():
+            who, ids = w[due], i[due]
+            order, places = by_client(who, t[due], ids)
+            ordered, accepted = t[due][order], np.zeros(len(order), dtype=np.int32)
+            for name, lo, hi in places:
+                accepted[lo:hi], last[name] = cooldown_flags(ordered[lo:hi], last.get(name), gap_us)
+            yield decisions(who[order], ids[order], accepted)
+        # a last accepted time matters until its cool-down is over, and to requests at hand that are not decided yet
+        waiting = set(w[later].tolist())
+        last = {k: v for k, v in last.items() if v + gap_us > passed or k in waiting}
+        if not later.any() and not last:
+            if state.exists:
+                state.remove()
+            return
+        state.update((list(last), list(last.values()), w[later].tolist(), t[later].tolist(), i[later].tolist()))
+        until = int(t[later].min()) // 1000 if later.any() else (max(last.values()) + gap_us) // 1000
+        state.setTimeoutTimestamp(max(until + 1, state.getCurrentWatermarkMs() + 1))
     return fn
 
 
-def stream_cooldown(requests: DataFrame, gap_us: int, delay: str) -> DataFrame:
-    """Per-request accept flag. A client's state holds the last accepted time
-    and the requests that the watermark has not passed yet (no more than came
-    within ``delay``); it goes once the cool-down is over."""
+def stream_cooldown(requests: DataFrame, gap_us: int, delay: str, slots: int = DEFAULT_SLOTS) -> DataFrame:
+    """Per-request accept flag. Clients are dealt into ``slots`` by hash; the state
+    of a slot holds its clients' last accepted times and the requests that the
+    watermark has not passed yet (no more than came within ``delay``); a last time
+    goes once the cool-down is over. ``slots`` is fixed for the life of a checkpoint."""
     s = (requests.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-         .select("id", "user_id", "ts", F.unix_micros("ts").alias("t")))
-    return s.groupBy("user_id").applyInPandasWithState(
+         .select("id", client("user_id").alias("who"), "ts", F.unix_micros("ts").alias("t")))
+    return s.withColumn("slot", slot(F.col("who"), slots)).groupBy("slot").applyInPandasWithState(
         _cooldown_fn(gap_us), outputStructType="id long, user_id long, accepted int",
-        stateStructType="last long, times array<long>, ids array<long>", outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout)
+        stateStructType="clients array<string>, lasts array<long>, names array<string>, times array<long>, ids array<long>",
+        outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 # ------------------------------------------------------------------- M19
