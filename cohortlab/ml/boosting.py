@@ -9,9 +9,9 @@ missing rows on the left and on the right, and the best ones come back to the
 driver (at most 2^depth rows a task). Leaves take the Newton step
 -G / (H + reg), times the learning rate.
 
-Rows never leave the executors and are never written per round: tasks rebuild
-their margins from the stored one and the trees since, and every ``STORED`` rounds
-margins are written to the shared folder. A task holds 24 bytes for each (node of
+Rows never leave the executors: tasks rebuild
+their margins from the stored one and the trees since, and every few rounds (``STORED``;
+``STORED_SMALL`` if one task has all rows) margins are written to the shared folder. A task holds 24 bytes for each (node of
 the level, feature, bin).
 
 Defined results: a null or NaN feature is missing and follows the side learned
@@ -37,7 +37,8 @@ from ..session import drop_path, ship_package
 from ..sources.tables import written_table
 
 ABSENT = 255  # the bin of missing values
-STORED = 10
+STORED = 2         # walking a tree again in every level costs more than writing margins
+STORED_SMALL = 10  # for a small table the writing job costs more
 LEAST_GAIN = 1e-6
 ROWS_PER_TASK = 50_000
 ONE_TASK = 1 << 21  # sums of a level that one task may add up
@@ -153,7 +154,13 @@ def _binned(cuts: list[list[float]], names: list[str]):
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
+    """Values of ``width`` bytes each as a matrix, read where Arrow holds them."""
+    if not len(column):
+        return np.empty((0, width), np.uint8)
+    _, places, held = column.buffers()
+    ends = np.frombuffer(places, np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    first, last = int(ends[column.offset]), int(ends[column.offset + len(column)])
+    return np.frombuffer(held, np.uint8)[first:last].reshape(len(column), width)
 
 
 # ------------------------------------------------------------------ one level
@@ -339,7 +346,7 @@ def fit_boosting(df: DataFrame, features: list[str], label: str, spec: BoostSpec
         out.trees.append(tree)
         out.losses.append(loss)
         since.append(tree)
-        if len(since) == STORED and k + 1 < spec.rounds:
+        if len(since) == (STORED if tasks > 1 else STORED_SMALL) and k + 1 < spec.rounds:
             moved, new = written_table(data.mapInArrow(_advanced(since, width), "bins binary, y double, margin double"), "boost_rows")
             drop_path(df.sparkSession, path)
             data, path, since = moved, new, []
