@@ -50,6 +50,7 @@ K1, B = 1.2, 0.75
 SHARD_ITEMS = 2000
 SHARD_BYTES = 4 << 20
 LENGTHS = 64
+CELLS = 1 << 18  # entries that passages scored together hold
 _SEPARATE = np.array([i if chr(i).isalnum() or i >= 128 else 32 for i in range(256)], dtype=np.uint8)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -159,33 +160,54 @@ def _passage_terms(w: Words, g: Group) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return pair // len(g.vocabulary), pair % len(g.vocabulary), doc, first
 
 
+def _candidates(g: Group, passage: np.ndarray, term: np.ndarray, n: int,
+                threshold: float) -> Iterator[tuple[int, int, float]]:
+    """(passage, item of the group, score) of all pairs that reach the threshold,
+    in order, from sorted (passage, term) pairs. Passages whose bound reaches it
+    are scored many at a time, as many as fit into about ``CELLS`` entries."""
+    bound = np.bincount(passage, weights=g.most[term], minlength=n)
+    hopeful = (bound >= threshold - 1e-9)[passage]
+    passage, term = passage[hopeful], term[hopeful]
+    if not len(passage):
+        return
+    first = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+    count = g.start[term + 1] - g.start[term]
+    width = g.block_most.shape[1]
+    load = np.maximum(np.add.reduceat(np.maximum(count, width), first), len(g.rows))
+    cuts = np.flatnonzero(np.diff(np.cumsum(load) // CELLS, prepend=-1))
+    at = np.append(first, len(passage))
+    for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(first)], strict=True):
+        own = slice(at[lo], at[hi])
+        blocks = np.add.reduceat(g.block_most[term[own]], first[lo:hi] - at[lo], axis=0) >= threshold - 1e-4
+        which = np.repeat(np.arange(hi - lo), np.diff(at[lo:hi + 1]))
+        some = blocks.any(axis=1)[which]
+        which, begin, many = which[some], g.start[term[own][some]], count[own][some]
+        if not len(which):
+            continue
+        posting = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+        which = np.repeat(which, many)
+        keep = blocks[which, g.item[posting] // BLOCK]
+        posting, which = posting[keep], which[keep]
+        scores = np.bincount(which * len(g.rows) + g.item[posting], weights=g.impact[posting])
+        for k in np.flatnonzero(scores >= threshold).tolist():
+            yield int(passage[first[lo + k // len(g.rows)]]), k % len(g.rows), float(scores[k])
+
+
 def search(w: Words, groups: list[Group], parts: list, threshold: float = THRESHOLD) -> list[tuple]:
     """(row, item, score, item overlap, question overlap, answer overlap) of verified hits."""
     best: dict[tuple[int, int], tuple] = {}
     for g in groups:
         passage, term, doc, first = _passage_terms(w, g)
-        bound = np.bincount(passage, weights=g.most[term], minlength=len(doc))
-        hopeful = np.flatnonzero(bound >= threshold - 1e-9)
-        lo = np.searchsorted(passage, hopeful)
-        hi = np.searchsorted(passage, hopeful, side="right")
-        for p, s, e in zip(hopeful.tolist(), lo.tolist(), hi.tolist(), strict=True):
-            own = term[s:e]
-            blocks = np.flatnonzero(g.block_most[own].sum(axis=0) >= threshold - 1e-4)
-            if not len(blocks):
-                continue
-            at = np.concatenate([np.arange(g.start[t], g.start[t + 1]) for t in own.tolist()])
-            at = at[np.isin(g.item[at] // BLOCK, blocks)]
-            scores = np.bincount(g.item[at], weights=g.impact[at], minlength=len(g.rows))
-            for k in np.flatnonzero(scores >= threshold).tolist():
-                d, i = int(doc[p]), int(g.rows[k])
-                end = min(int(first[p]) + g.passage, int(w.first[d + 1]))
-                mine = w.hashes[0][first[p]:end]
-                held = [_overlap(x, mine) for x in parts[i]]
-                if not _verified(held):
-                    held = _in_order(parts[i], mine)
-                if _verified(held):
-                    hit = (d, i, float(scores[k]), *held)
-                    best[d, i] = max(best.get((d, i), hit), hit, key=lambda x: x[2:])
+        for p, k, score in _candidates(g, passage, term, len(doc), threshold):
+            d, i = int(doc[p]), int(g.rows[k])
+            end = min(int(first[p]) + g.passage, int(w.first[d + 1]))
+            mine = w.hashes[0][first[p]:end]
+            held = [_overlap(x, mine) for x in parts[i]]
+            if not _verified(held):
+                held = _in_order(parts[i], mine)
+            if _verified(held):
+                hit = (d, i, score, *held)
+                best[d, i] = max(best.get((d, i), hit), hit, key=lambda x: x[2:])
     return [best[k] for k in sorted(best)]
 
 

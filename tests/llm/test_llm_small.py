@@ -7,6 +7,7 @@ import random
 import re
 
 import brute
+import numpy as np
 import pytest
 from cohortlab.llm import (
     decontaminate,
@@ -463,6 +464,31 @@ def test_benchmark_hits(spark):
     assert decontaminate.hits(df, bench.limit(0)).count() == 0 and decontaminate.hits(empty(spark), bench).count() == 0
 
 
+@pytest.mark.parametrize("cells", [1, 40, 1 << 18])
+def test_passages_scored_together_as_one_by_one(monkeypatch, cells):
+    """Batches of passages give the pairs and scores that a plain loop over each passage's items gives."""
+    monkeypatch.setattr(decontaminate, "CELLS", cells)
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [" ".join(rng.choices(vocabulary, k=rng.randint(6, 30))) for _ in range(45)]
+    docs = ["", "zz", *[" ".join([*rng.choices(vocabulary, k=rng.randint(0, 200)), *items[k].split(), "zz"]) for k in range(30)]]
+    data = " ".join(docs).encode()
+    ends = np.cumsum([len(d) + 1 for d in docs])
+    w = decontaminate.Words(np.frombuffer(data, np.uint8), np.minimum(np.concatenate([[0], ends]), len(data)))
+    (g,), _ = decontaminate.build(items)
+    passage, term, doc, _ = decontaminate._passage_terms(w, g)
+    want = []
+    for p in range(len(doc)):
+        own = term[passage == p].tolist()
+        for k in range(len(items)):
+            score = sum(g.impact[at] for t in own for at in range(g.start[t], g.start[t + 1]) if g.item[at] == k)
+            if score >= decontaminate.THRESHOLD:
+                want.append((p, k, score))
+    got = list(decontaminate._candidates(g, passage, term, len(doc), decontaminate.THRESHOLD))
+    assert len(want) >= 30 and [x[:2] for x in got] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in got], [x[2] for x in want])
+
+
 def test_benchmark_edited_copies(spark):
     """Items of 10 to 30 words with one word changed, dropped or added in the
     middle; short ones as exact sequences; no hit of a shuffled copy or of half."""
