@@ -407,6 +407,18 @@ def test_linked_sizes_always_leave_a_shared_list(percent):
     assert not open_
 
 
+def test_index_entries_are_shuffled_once(spark):
+    """The three readers of the sorted entries share one shuffle, also below the joins with the classes."""
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i % 7}") for i in range(60)], "doc_id long, text string")
+    lists = ngram_join.map_arrow(docs, ngram_join._entries(4, 85), "key long, doc_id long")
+    rep_of = docs.groupBy("text").agg(F.min("doc_id").alias("rep")).join(docs, "text").select("doc_id", "rep")
+    pairs = ngram_join.star_pairs(lists, rep_of)
+    assert all(0 <= r.p < 7 and 0 <= r.x < 7 and r.p != r.x for r in pairs.collect())
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    ranged = [line for line in plan.splitlines() if "Exchange rangepartitioning" in line]
+    assert len(ranged) == 3 and sum("ReusedExchange" in line for line in ranged) == 2
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
