@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, shared_dir
-from .tables import file_listing, load_module, path_exists, publish, read_table, table_path
+from ..session import drop_path, scratch_path, shared_dir
+from .tables import file_listing, load_module, path_exists, publish, read_table, table_path, written_table
 
 
 def _scalar_count(df: DataFrame) -> Column:
@@ -119,6 +120,16 @@ def survey_modules(spark: SparkSession, sf_dir: str, absent: tuple = (),
 _RESOLVED: WeakKeyDictionary = WeakKeyDictionary()
 
 
+WRITERS = 4  # modules written at a time
+
+
+def side_by_side(write, names: list) -> None:
+    """``write(name)`` for every name, several at a time: most modules are small,
+    and a job's last tasks leave room for the next one's."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(write, names))
+
+
 def module_files(spark: SparkSession, sf_dir: str) -> dict:
     """Write every stand-in module to ``<shared>/standins/<key>/<MODULE>``
     once (two aggregates over orders/lineitem feed all twelve) and return
@@ -129,17 +140,16 @@ def module_files(spark: SparkSession, sf_dir: str) -> dict:
     names = ["DEMO", *MODULE_ORDER]
     if not path_exists(spark, base):
         fresh = scratch_path(spark, "standins")
-        # Both measure aggregates feed six modules each: keep them for the
-        # duration of the writes (recomputed from source if an executor is lost).
-        om = _orders_measures(spark, sf_dir).persist()
-        lm = _lineitem_measures(spark, sf_dir).persist()
+        # Both measure aggregates feed six modules each: they are written once, in
+        # as few files as their rows are worth, and the modules cut from them side by side.
+        om, om_path = written_table(_orders_measures(spark, sf_dir), "orders_measures")
+        lm, lm_path = written_table(_lineitem_measures(spark, sf_dir), "lineitem_measures")
         try:
             plans = _module_plans(spark, sf_dir, (), om, lm)
-            for m in names:
-                plans[m].write.parquet(f"{fresh}/{m}")
+            side_by_side(lambda m: plans[m].write.parquet(f"{fresh}/{m}"), names)
         finally:
-            om.unpersist()
-            lm.unpersist()
+            for path in (om_path, lm_path):
+                drop_path(spark, path)
         publish(spark, fresh, base)
     return {m: f"{base}/{m}" for m in names}
 
@@ -155,11 +165,13 @@ def module_tables(spark: SparkSession, paths: dict, buckets: int) -> dict:
     base = paths["DEMO"].rsplit("/", 1)[0] + f"-bucketed{buckets}"
     fresh = None if path_exists(spark, base) else scratch_path(spark, "bucketed")
     if fresh:
-        for m, src in paths.items():
+        def bucketed(m: str) -> None:
             name = f"cohortlab_{uuid.uuid4().hex}"
-            (load_module(spark, src).write.bucketBy(buckets, "SEQN").sortBy("SEQN")
+            (load_module(spark, paths[m]).write.bucketBy(buckets, "SEQN").sortBy("SEQN")
              .option("path", f"{fresh}/{m}").saveAsTable(name))
             spark.sql(f"DROP TABLE {name}")
+
+        side_by_side(bucketed, list(paths))
         publish(spark, fresh, base)
     out = {}
     for m in paths:

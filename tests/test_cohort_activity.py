@@ -142,3 +142,25 @@ def test_bucketed_modules_join_without_exchange(spark):
             spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     plain = co.build_cohort(S.survey_modules(spark, SF001)).select(*df.columns)
     assert rows == sorted(map(tuple, plain.collect()))
+
+
+def test_modules_are_cut_from_files_worth_their_rows(spark, tmp_path):
+    """Few rows make few files whatever the shuffle width, with the rows of the lazy plans; nothing else is left behind."""
+    import shutil
+    from pathlib import Path
+
+    from cohortlab.session import shared_dir
+    for t in ("customer", "orders", "lineitem"):
+        shutil.copy(f"{SF001}/{t}.parquet", tmp_path)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        paths = S.module_files(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    lazy = S.survey_modules(spark, str(tmp_path), materialize=False)
+    assert list(paths) == list(lazy)
+    for m, path in paths.items():
+        assert len(list(Path(path.removeprefix("file:")).glob("part-*"))) <= 8
+        assert sorted(map(tuple, spark.read.parquet(path).collect()), key=repr) == sorted(map(tuple, lazy[m].collect()), key=repr)
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("*_measures-*"))
