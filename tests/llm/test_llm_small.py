@@ -407,6 +407,68 @@ def test_linked_sizes_always_leave_a_shared_list(percent):
     assert not open_
 
 
+@pytest.mark.parametrize("block", [2, 1024])
+def test_rare_ngram_components(spark, monkeypatch, block):
+    """The index by least common n-grams links the same documents, whichever are named common."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "COUNTED", 2)
+    monkeypatch.setattr(ngram_join, "OFTEN", 2)
+    rows = varied()
+    want = brute.ngram_components([(i, t) for i, t in rows])
+    nameless = frame(spark, [rows[0]]).withColumn("doc_id", F.lit(None).cast("long"))
+    df = clashing(frame(spark, rows + [rows[0], rows[35]]).union(nameless))
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link_components(df, sketch=True, rare=True).collect()]
+    assert len(got) == len(rows) + 3 and got.count((None, want[0][0], None)) == 1
+    assert {r for r in got if r[0] is not None} == {(i, n, c) for i, (n, c) in want.items()}
+    assert ngram_join.link_components(empty(spark), sketch=True, rare=True).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_rare_index_holds_every_link(percent):
+    """Sets that link share an entry, whichever n-grams are common."""
+    rng = np.random.default_rng(6)
+    linked = 0
+    for n in [*range(1, 60), 100, 133, 170, 400]:
+        for extra in (0, 1, 2, n // 12, n // 8, n // 5):
+            for lost in (0, 1, n // 14, n // 8, n // 5):
+                a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+                b = np.concatenate([a[lost:], rng.integers(0, 1 << 63, extra).astype(np.uint64)])
+                if not len(b) or 100 * (n - lost) < percent * (n + extra):
+                    continue
+                grams = np.sort(rng.choice(np.union1d(a, b), size=rng.integers(0, n + extra + 1), replace=False))
+                common = (grams, rng.integers(1, 256, len(grams)).astype(np.uint64))
+                h = np.concatenate([np.sort(a), np.sort(b)])
+                row, gram = ngram_join.first_entries(h, np.array([0, n, n + len(b)]), np.arange(2), percent, common)
+                assert set(gram[row == 0].tolist()) & set(gram[row == 1].tolist()), (n, extra, lost)
+                linked += 1
+    assert linked > 500
+
+
+def test_common_grams_keep_their_most_common_levels(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "COUNTED", 1)
+    rows = [(i, " ".join(["a b c", *(["d e f"] if i < 9 else []), *(["g h i"] if i < 5 else []), f"x{i} y{i} z{i}"])) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    grams, level = ngram_join.common_grams(df, 3)
+    assert (np.diff(grams.astype(object)) > 0).all() and level.max() == 40 and level.min() >= 16
+    monkeypatch.setattr(ngram_join, "NAMED", 1)
+    grams, level = ngram_join.common_grams(df, 3)
+    assert level.tolist() == [40]
+    assert [len(x) for x in ngram_join.common_grams(empty(spark), 3)] == [0, 0]
+
+
+def test_a_shared_passage_makes_no_groups(spark, monkeypatch):
+    """Documents that have nothing but a passage in common are not compared by the pipeline."""
+    import corpus_pipeline
+    rng = random.Random(3)
+    passage = prose(rng, 24)
+    rows = [(i, " ".join(f"u{i}.{k}" for k in range(rng.randrange(90, 110))) + " " + passage) for i in range(1600)]
+    rows.append((5000, rows[7][1] + " more"))
+    seen, dealt = [], ngram_join.dealt
+    monkeypatch.setattr(ngram_join, "dealt", lambda stars, held: seen.append(stars.count()) or dealt(stars, held))
+    left = corpus_pipeline.near_duplicates(spark, frame(spark, rows), "")
+    assert {r.doc_id for r in left.collect()} == set(range(1600)) and max(seen) < 100
+
+
 def test_index_entries_are_shuffled_once(spark):
     """The three readers of the sorted entries share one shuffle, also below the joins with the classes."""
     docs = spark.createDataFrame([(i, f"a b c d e f g {i % 7}") for i in range(60)], "doc_id long, text string")
