@@ -2,6 +2,7 @@
 repeated rows, empty tables and clashing column names, against plain Python."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -660,3 +661,18 @@ def test_sketches_never_hide_a_link():
             assert may[i, j] or 100 * o < 85 * (len(a) + len(b) - o)
             pruned += not may[i, j]
     assert least[0, -1] == 0 and pruned > 1000
+
+
+def test_shingle_sets_are_sorted_text_by_text(monkeypatch):
+    """Never all texts of a batch by two keys; sets are distinct and in order, also of short and blank texts."""
+    def refused(*_):
+        raise AssertionError("all texts sorted together")
+    monkeypatch.setattr(np, "lexsort", refused)
+    monkeypatch.setattr(np, "intersect1d", refused)
+    rows = [b"a b c d a b c d a", b"", b"A B", b" \n ", b"x", b"d c b a", b"a b", b"a b c d"]
+    data, offsets = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0] + [len(r) for r in rows])
+    h, at = ngram_join.shingle_sets(data, offsets, 4)
+    sets = [h[s:e] for s, e in itertools.pairwise(at.tolist())]
+    assert [len(s) for s in sets] == [4, 0, 1, 0, 1, 1, 1, 1]
+    assert all((s[1:] > s[:-1]).all() for s in sets) and sets[2] == sets[6] and sets[7][0] in sets[0]
+    assert ngram_join.overlap_matrix(sets[:2], sets[2:]).tolist() == [[0, 0, 0, 0, 0, 1], [0] * 6]
