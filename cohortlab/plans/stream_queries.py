@@ -80,7 +80,7 @@ def stream_access(spark, sf):
 def stream_scores(spark, sf):
     """M19 on a stream: rows arriving as files scored by the fitted model."""
     from .ml_queries import _serving_model, clinical
-    model, _ = _serving_model(spark, sf)
+    model, _ = _serving_model(spark, sf, whole=True)  # a stream's rows cannot be dealt to parts of a forest
     rows = clinical(spark, sf).select(C.ID_COL, *C.CLINICAL_FEATURES)
     path = scratch_path(spark, "score_in")
     rows.write.parquet(path)
