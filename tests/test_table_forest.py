@@ -4,10 +4,13 @@ import random
 
 import numpy as np
 import pytest
+from cohortlab.ml import forest as FO
 from cohortlab.ml import models as ML
 from cohortlab.ml import preprocess as PP
 from cohortlab.ml import table_forest as TF
 from cohortlab.operators import metrics as M
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 
 def ring(spark, n=1500):
@@ -75,3 +78,32 @@ def test_a_large_forest_stays_a_table(spark, tmp_path, monkeypatch, part_rows):
     assert M.auc(ML.predict(model, fresh, ["label"]), "label", "prob").first()["auc"] > 0.97
     assert ML.score_batch(model, df.select("id", "a", "b"), ["a", "b", "c"]).count() == 1500
     assert ML.predict(model, df.limit(0), ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("part_rows", [150, 100_000])
+def test_cut_back_scores_of_a_table(spark, monkeypatch, part_rows):
+    """The full size is the forest itself; cut to depth 0 it is the mean of the roots; fewer trees, other scores."""
+    monkeypatch.setattr(TF, "PART_ROWS", part_rows)
+    df = PP.fit_preprocessor(ring(spark, 600), ["a", "b", "c"], []).transform(ring(spark, 600))
+    forest = TF.fit_forest(df, "label", 6, 12, 1, 3)
+    p = {(r.b, r.c): r for r in forest.transform(df).select("b", "c", "label", "probability").collect()}
+    x = df.select("b", "c", F.col("features").alias("v")).select("b", "c", vector_to_array("v").alias("x"))
+    rows = forest.cut_back_scores(x, "x", [FO.Setting(6, 12), FO.Setting(6, 0), FO.Setting(6, 2), FO.Setting(2, 12), FO.Setting(6, 12, 60)]).collect()
+    assert len(rows) == 600
+    assert all(abs(r.probs[0] - p[r.b, r.c].probability[1]) < 1e-9 for r in rows)
+    share = sum(r.label for r in p.values()) / 600
+    assert len({r.probs[1] for r in rows}) == 1 and abs(rows[0].probs[1] - share) < 0.05
+    assert len({r.probs[2] for r in rows}) <= 4 ** 6
+    right = [sum((r.probs[k] > 0.5) == (p[r.b, r.c].label == 1) for r in rows) / 600 for k in range(5)]
+    assert right[0] > 0.97 and right[3] > 0.9 and right[2] < right[0] and right[4] < right[0]
+    with pytest.raises(ValueError, match="fewer trees"):
+        forest.cut_back_scores(x, "x", [FO.Setting(7, 3)])
+
+
+def test_grid_search_over_table_forests(spark, monkeypatch):
+    monkeypatch.setattr(ML, "WHOLE_DRAWS", 0)
+    df = ring(spark, 400).selectExpr("row_number() over (order by a, b, c) as SEQN", "a", "b", "c", "cast(label as int) as y")
+    g = ML.grid_search(df, ["a", "b", "c"], trees=(2, 4), depths=(8, 2), splits=(2, 20), leaves=(1,), key="SEQN", target="y", folds=2)
+    rows = g.cv.collect()
+    assert len(rows) == 8 and isinstance(g.model.stages[-1], TF.TableForest) and g.test_auc > 0.8
+    assert len({r["count"] for r in g.scored.groupBy("setting").count().collect()}) == 1
