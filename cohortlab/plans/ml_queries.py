@@ -15,8 +15,9 @@ from ..ml import forest as FO
 from ..ml import kernel_svm as KS
 from ..ml import models as ML
 from ..ml import preprocess as PP
+from ..ml import table_forest as TF
 from ..operators import cohort as co
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 from ..sources.tables import checkpoint_table
 from . import oracle as O
 from .cohort_queries import cohort, labelled
@@ -412,11 +413,14 @@ def train_kernel_svm(spark, sf):
 
 def _forest_contributions(spark, sf):
     """Clinical rows with the served forest's contributions, probability and base value."""
-    model, pre = _serving_model(spark, sf, whole=True)
+    model, pre = _serving_model(spark, sf, whole=len(C.CLINICAL_FEATURES) > TF.KNOWN)
     x = model.transform(ML.prepare(clinical(spark, sf), C.CLINICAL_FEATURES)).select(
         C.ID_COL, vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("prob"))
-    forest = FO.load_forest(model.stages[-1], spark)
-    out, base = FO.contributions(x, "x", forest, len(pre.feature_names))
+    forest = model.stages[-1]
+    if isinstance(forest, TF.TableForest):
+        out, base = forest.contributions(x, "x")
+    else:
+        out, base = FO.contributions(x, "x", FO.load_forest(forest, spark), len(pre.feature_names))
     return out, base, pre.feature_names
 
 
