@@ -370,6 +370,48 @@ def _full(part: int, nodes: np.ndarray):
     return lambda bins: [nodes["value"][walk(bins)]]
 
 
+def _read_nodes(folder: str, copied: bool, top: Top, cuts: list[list[float]], kept: list[str]):
+    """Rows with ``__sum``, the sum of their values: nodes are read once for about
+    ``READ_FOR`` rows, some parts at a time."""
+    binned = _binned(cuts)
+
+    def values(bins: np.ndarray) -> np.ndarray:
+        files = sorted(glob.glob(f"{SparkFiles.get(folder) if copied else folder}/*.parquet"))
+        if not files:
+            raise FileNotFoundError(f"no nodes in {folder}")
+        walk, sums, reached = top.reached(), np.zeros(len(bins), np.int64), {}
+        for file in files:
+            for b in pq.ParquetFile(file).iter_batches(8, columns=["part", "nodes"]):
+                for part, nodes in zip(b.column("part").to_pylist(), b.column("nodes"), strict=True):
+                    tree = top.tree[part]
+                    if tree not in reached:
+                        reached[tree] = walk(bins, tree).astype(np.int32)
+                    rows = np.flatnonzero(reached[tree] == part)
+                    if len(rows):
+                        sums[rows] += _full(part, np.frombuffer(nodes.as_buffer(), NODE))(bins[rows])[0]
+        return sums
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+
+        def scored() -> Iterator[pa.RecordBatch]:
+            rows = [pa.RecordBatch.from_arrays([pa.nulls(b.num_rows), pa.nulls(b.num_rows), b.column("__x")], ["id", "y", "x"]) for b in held]
+            sums = values(np.concatenate([_unpacked(b.column("bins"), len(cuts)) for b in binned(iter(rows))]))
+            lo = 0
+            for b in held:
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(sums[lo:lo + b.num_rows])], [*kept, "__sum"])
+                lo += b.num_rows
+
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= READ_FOR:
+                yield from scored()
+                held = []
+        if sum(x.num_rows for x in held):
+            yield from scored()
+    return run
+
+
 def _cut_back(top: Top, settings: list[Setting]):
     """The values of a part's rows in the tree cut back to each setting, 0 in those of fewer trees."""
     def value_of(part: int, nodes: np.ndarray):
@@ -610,12 +652,33 @@ class TableForest:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``probability`` and ``prediction``. Rows are written once,
-        so that both their uses see the same numbers."""
+        so that both their uses see the same numbers; those of a stream stay in
+        their task, which reads the nodes, and lose ``features``."""
+        if df.isStreaming:
+            return self._answers(self._streamed(df))
         rows = checkpoint_table(df.withColumn("__row", F.monotonically_increasing_id()), "forest_rows")
         out = self._sums(rows, vector_to_array("features"), _full, ["__sum"])
+        return self._answers(out.drop("__row"))
+
+    def _answers(self, out: DataFrame) -> DataFrame:
         p = F.col("__sum") / F.lit(float(self.trees * ONE))
         return out.withColumn("probability", array_to_vector(F.array(1 - p, p))).withColumn(
-            "prediction", (p > 0.5).cast("double")).drop("__row", "__sum")
+            "prediction", (p > 0.5).cast("double")).drop("__sum")
+
+    def _streamed(self, df: DataFrame) -> DataFrame:
+        """A stream's rows with the same sums as ``_sums``, without state or files of
+        their own. Tasks read the folder of nodes where it is a shared path, else
+        Spark's own copy of it."""
+        spark, kept = self.spark, [f for f in df.schema.fields if f.name != "features"]
+        ship_package(spark)
+        if re.match(r"(file:|/)", self.path):
+            folder, copied = re.sub(r"^file:(//)?(?=/)", "", self.path), False
+        else:
+            spark.sparkContext.addFile(self.path, recursive=True)
+            folder, copied = self.path.rstrip("/").rsplit("/", 1)[-1], True
+        rows = df.repartition(spark.sparkContext.defaultParallelism).select(*[f.name for f in kept], vector_to_array("features").alias("__x"))
+        return rows.mapInArrow(_read_nodes(folder, copied, self.top, self.cuts, [f.name for f in kept]),
+                               T.StructType([*kept, T.StructField("__sum", T.LongType())]))
 
     def cut_back_scores(self, df: DataFrame, features: str, settings: list[Setting], output: str = "probs") -> DataFrame:
         """``df`` with an array of the probabilities of all ``settings``, as ``forest.cut_back_scores``."""

@@ -9,8 +9,10 @@ from cohortlab.ml import forest as FO
 from cohortlab.ml import models as ML
 from cohortlab.ml import preprocess as PP
 from cohortlab.ml import table_forest as TF
+from cohortlab.streaming import jobs
 from conftest import SF001
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 from test_table_forest import ring
 
 import __spark_entry__ as E
@@ -95,3 +97,20 @@ def test_large_contributions_need_no_model_on_the_driver(spark, monkeypatch):
     assert len(rows) > 100 and all(r.adds_up for r in rows)
     ranked = E.queries()["forest_contributions"](spark, SF001)
     assert ranked.count() == 5 * len(rows) and ranked.where("direction = 'raises' and contribution < 0").count() == 0
+
+
+@pytest.mark.parametrize("part_rows", [150, 100_000])
+def test_a_stream_scored_by_a_table_forest(spark, monkeypatch, tmp_path, part_rows):
+    """Every row as in the batch, with rows read in several blocks and files."""
+    monkeypatch.setattr(ML, "WHOLE_DRAWS", 0)
+    monkeypatch.setattr(TF, "PART_ROWS", part_rows)
+    monkeypatch.setattr(TF, "READ_FOR", 40)
+    df = ring(spark, 700)
+    model = ML.fit_model(ML.ModelSpec("Random Forest", rf_trees=6), df, PP.fit_preprocessor(df, ["a", "b", "c"], []))
+    rows = df.select("id", "a", "b", "c")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = spark.read.parquet(jobs.run_to_parquet(jobs.stream_scores(model, stream, ["a", "b", "c"]), "scores"))
+    want = ML.score_batch(model, rows, ["a", "b", "c"])
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert want.count() == 700 and want.select(F.countDistinct("Prob_Pos")).first()[0] > 3
