@@ -9,6 +9,7 @@ from cohortlab.ml import forest as FO
 from cohortlab.ml import models as ML
 from cohortlab.ml import preprocess as PP
 from cohortlab.ml import table_forest as TF
+from cohortlab.plans import ml_queries as Q
 from cohortlab.streaming import jobs
 from conftest import SF001
 from pyspark.ml.functions import vector_to_array
@@ -99,6 +100,29 @@ def test_large_contributions_need_no_model_on_the_driver(spark, monkeypatch):
     assert ranked.count() == 5 * len(rows) and ranked.where("direction = 'raises' and contribution < 0").count() == 0
 
 
+def test_trees_in_groups_answer_alike(spark, monkeypatch):
+    """One tree a group: the same nodes and the same scores as all trees at once."""
+    df = ring(spark, 500).coalesce(1)
+    x = PP.fit_preprocessor(df, ["a", "b", "c"], []).transform(df).cache()
+    once = TF.fit_forest(x, "label", 5, 10, 1, 3)
+    whole = once.transform(x).select("b", "c", "probability").collect()
+    assert TF.tree_groups(5, 500) == [range(5)] and TF.tree_groups(5, 0) == [range(5)]
+    monkeypatch.setattr(TF, "DEALT", 1000)
+    assert TF.tree_groups(5, 500) == [range(2), range(2, 4), range(4, 5)]
+    groups = TF.fit_forest(x, "label", 5, 10, 1, 3)
+    assert sorted(map(str, groups.transform(x).select("b", "c", "probability").collect())) == sorted(map(str, whole))
+    nodes = [sorted((r.part, bytes(r.nodes)) for r in spark.read.parquet(f.path).collect()) for f in (once, groups)]
+    assert nodes[0] == nodes[1] and len(nodes[0]) == 5
+
+
+def test_saved_models_leave_no_models(spark, monkeypatch):
+    monkeypatch.setattr(ML, "WHOLE_DRAWS", 0)
+    left = []
+    monkeypatch.setattr(Q, "drop_path", lambda s, path: left.append(path))
+    out = Q.saved_models(spark, SF001)
+    assert len(left) == 6 and all(r.n_rows == r.n_same > 100 for r in out.collect())
+
+
 @pytest.mark.parametrize("part_rows", [150, 100_000])
 def test_a_stream_scored_by_a_table_forest(spark, monkeypatch, tmp_path, part_rows):
     """Every row as in the batch, with rows read in several blocks and files."""
